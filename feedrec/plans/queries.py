@@ -19,6 +19,7 @@ from ..operators import serving as S
 from ..operators import tags as T
 from ..operators import usercf as U
 from ..params import DEFAULT, Params
+from ..session import cut_lineage
 from ..sources import fixtures as FX
 from ..sources.readers import behavior_window, download_window, parse_catalog_lines
 
@@ -39,6 +40,12 @@ class Ctx:
             self._memo[key] = fn()
         return self._memo[key]
 
+    def _stored(self, key, fn):
+        """A shared intermediate table that several later stages read (the
+        original jobs store these as tables too): written once to the
+        checkpoint folder, then read back, so no consumer recomputes it."""
+        return self._m(("stored", key), lambda: cut_lineage(fn()))
+
     # sources
     @property
     def beh(self):
@@ -91,17 +98,30 @@ class Ctx:
     def sim(self):
         return self._m("sim", lambda: U.similar_users(self.cf_window, self.p))
 
+    @property
+    def history_t(self):
+        return self._stored("history", lambda: self.history)
+
+    @property
+    def sim_t(self):
+        return self._stored("sim", lambda: self.sim)
+
+    @property
+    def hot_t(self):
+        return self._stored("hot", lambda: self.hot)
+
     @property
     def candidates(self):
-        return self._m("cand", lambda: U.neighbor_candidates(self.sim, self.history, self.p.max_theme_from_sim))
+        return self._m("cand", lambda: U.neighbor_candidates(self.sim_t, self.history_t,
+                                                            self.p.max_theme_from_sim))
 
     @property
     def unseen(self):
-        return self._m("unseen", lambda: H.exclude_seen(self.candidates, self.history))
+        return self._m("unseen", lambda: H.exclude_seen(self.candidates, self.history_t))
 
     @property
     def nb_list(self):
-        return self._m("nbl", lambda: U.neighbor_list(self.unseen, self.hot, self.sim, self.p.list_size_sim,
+        return self._m("nbl", lambda: U.neighbor_list(self.unseen, self.hot_t, self.sim_t, self.p.list_size_sim,
                                                      self.p.dedupe_backfill))
 
     # E2
@@ -125,26 +145,39 @@ class Ctx:
     def profile(self):
         return self._m("profile", lambda: PR.user_profile(self.profile_window, self.features, self.p))
 
+    @property
+    def index_t(self):
+        return self._m("index_t", lambda: tuple(cut_lineage(x) for x in self.index))
+
+    @property
+    def recall_t(self):
+        return self._stored("recall", lambda: self.recall)
+
     @property
     def orig(self):
         ls, tg = self.index
         return self._m("orig", lambda: PR.indexed_profile(self.profile, ls, tg))
 
+    @property
+    def orig_t(self):
+        ls, tg = self.index_t
+        return self._stored("orig", lambda: PR.indexed_profile(self.profile, ls, tg))
+
     @property
     def expanded(self):
-        ls, tg = self.index
-        return self._m("expanded", lambda: PR.expand_recall(self.orig, ls, tg, self.history, self.p))
+        ls, tg = self.index_t
+        return self._m("expanded", lambda: PR.expand_recall(self.orig_t, ls, tg, self.history_t, self.p))
 
     @property
     def lists(self):
-        return self._m("lists", lambda: PR.profile_lists(self.expanded, self.orig, self.recall,
+        return self._m("lists", lambda: PR.profile_lists(self.expanded, self.orig_t, self.recall_t,
                                                         self.p.n_theme_per_user))
 
     # E3
     @property
     def merged(self):
         return self._m("merged", lambda: S.serving_merge(S.profile_strings(self.lists),
-                                                        S.sim_strings(self.nb_list), self.hot,
+                                                        S.sim_strings(self.nb_list), self.hot_t,
                                                         self.p.list_size_sim, self.p.n_theme_per_user))
 
     # E4
@@ -350,7 +383,9 @@ def q_profile_recall(spark, d):
 def q_profile_extend(spark, d):
     c = Ctx(spark, d)
     _, tg = c.index
-    return PR.step_profile(c.orig, tg, exclude=False).select("user_id", "tag", r6("weight").alias("weight"))
+    # products of two stored 6-decimal weights are exact at 12 decimals; a
+    # 6-digit rounding would sit exactly on .5 and depend on the engine
+    return PR.step_profile(c.orig, tg, exclude=False).select("user_id", "tag", F.round("weight", 12).alias("weight"))
 
 
 def q_profile_expand(spark, d):

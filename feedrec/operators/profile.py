@@ -102,25 +102,35 @@ def expand_recall(orig: DataFrame, ls: DataFrame, tg: DataFrame, history: DataFr
     the active users by a semi join. Each hop's state is checkpointed to the
     shared checkpoint folder, so the plan stays small and a lost executor
     does not replay earlier hops. Output (user_id, theme_id, hop)."""
-    out = (exclude_seen(profile_recall(orig, ls), history)
-           .withColumn("hop", F.lit(0)))
-    frontier = step_profile(orig, tg, exclude=False)
-    if checkpoint:
-        out, frontier = cut_lineage(out), cut_lineage(frontier)
+    keep = cut_lineage if checkpoint else (lambda df: df)
+
+    def counts(df):
+        return df.groupBy("user_id").agg(F.count(F.lit(1)).alias("c"))
+
+    # only each hop's new rows are stored, plus a running count per user, so
+    # no hop rewrites what earlier hops already wrote
+    part = keep(exclude_seen(profile_recall(orig, ls), history).withColumn("hop", F.lit(0)))
+    parts = [part]
+    cnt = keep(counts(part))
+    frontier = keep(step_profile(orig, tg, exclude=False))
     for hop in range(1, p.max_hops + 1):
-        cnt = out.groupBy("user_id").agg(F.count(F.lit(1)).alias("c"))
         fmax = frontier.groupBy("user_id").agg(F.max(r9("weight")).alias("m"))
         active = (fmax.where(F.col("m") >= F.lit(float(p.min_profile_weight)))
                   .join(cnt, "user_id", "left")
                   .where(F.coalesce(F.col("c"), F.lit(0)) < p.min_recall).select("user_id"))
         fa = frontier.join(active, "user_id", "left_semi")
-        new = recall_themes(fa, ls)
-        new = exclude_seen(new, history)
-        new = new.join(out.select("user_id", "theme_id"), ["user_id", "theme_id"], "left_anti")
-        out = out.unionByName(new.withColumn("hop", F.lit(hop)))
-        frontier = step_profile(fa, tg, exclude=True)
-        if checkpoint:
-            out, frontier = cut_lineage(out), cut_lineage(frontier)
+        new = exclude_seen(recall_themes(fa, ls), history)
+        for prev in parts:
+            new = new.join(prev.select("user_id", "theme_id"), ["user_id", "theme_id"], "left_anti")
+        part = keep(new.withColumn("hop", F.lit(hop)))
+        parts.append(part)
+        if hop == p.max_hops:
+            break
+        cnt = keep(cnt.unionByName(counts(part)).groupBy("user_id").agg(F.sum("c").alias("c")))
+        frontier = keep(step_profile(fa, tg, exclude=True))
+    out = parts[0]
+    for prt in parts[1:]:
+        out = out.unionByName(prt)
     return out.select("user_id", "theme_id", F.col("hop").cast("long").alias("hop"))
 
 

@@ -102,7 +102,7 @@ def export_sorted(cells: DataFrame, split_keys, files_per_region: int, path: str
     b = max(1, min(32, int(files_per_region)))
     n_parts = len(split_keys) * b
     laid = export_layout(cells, split_keys, files_per_region)
-    placed = (laid.repartitionById(n_parts, F.col("part_id"))
+    placed = (laid.repartitionById(n_parts, F.col("part_id").cast("int"))
               .sortWithinPartitions("rowkey", "family", "qualifier"))
     if path:
         placed.write.mode("overwrite").parquet(path)

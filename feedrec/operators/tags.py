@@ -26,9 +26,12 @@ def complete_rows(catalog: DataFrame) -> DataFrame:
 def theme_tokens(catalog: DataFrame) -> DataFrame:
     """O21 applied to the catalogue: (theme_id, author, grade, quality,
     ctime, tokens array)."""
-    return complete_rows(catalog).select(
+    # tokenised once per row (a one-row generator keeps later filters on
+    # ``tokens`` from re-inlining the tokeniser)
+    rows = complete_rows(catalog).select(
         F.col("id").alias("theme_id"), F.col("uid").alias("author"), "grade", "quality", "ctime",
         tokenize_tags(F.col("tags")).alias("tokens"))
+    return rows.select(F.inline(F.array(F.struct("theme_id", "author", "grade", "quality", "ctime", "tokens"))))
 
 
 def tag_token_rows(catalog: DataFrame) -> DataFrame:

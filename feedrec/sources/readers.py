@@ -35,8 +35,12 @@ def parse_catalog_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """Tab-separated catalogue lines -> typed columns. A short line loses
     its trailing fields (they are NULL here, i.e. "not present"), trailing
     empty fields count as missing, and a line without an id is dropped."""
-    arr = java_split(F.col(col), "\t")
-    out = lines.select(*[F.get(arr, i).alias(name) for i, name in enumerate(CATALOG_FIELDS)])
+    # The line is split once per row: the fields come out of a one-row
+    # ``inline`` generator, which filters on the fields cannot be pushed
+    # through, so no predicate re-inlines (and re-runs) the split.
+    arr = lines.select(java_split(F.col(col), "\t").alias("_a"))
+    out = arr.select(F.inline(F.array(F.struct(
+        *[F.get("_a", i).alias(name) for i, name in enumerate(CATALOG_FIELDS)]))))
     return out.where(nonempty("id"))
 
 

@@ -26,12 +26,16 @@ def complete_rows(catalog: DataFrame) -> DataFrame:
 def theme_tokens(catalog: DataFrame) -> DataFrame:
     """O21 applied to the catalogue: (theme_id, author, grade, quality,
     ctime, tokens array)."""
-    # tokenised once per row (a one-row generator keeps later filters on
-    # ``tokens`` from re-inlining the tokeniser)
+    # Tokenised once per row (a one-row generator keeps later filters on
+    # ``tokens`` from re-inlining the tokeniser), then hash-partitioned by
+    # theme: the features, pair and recall branches all start from this one
+    # exchange (Spark reuses it), instead of each re-reading and
+    # re-tokenising the catalogue.
     rows = complete_rows(catalog).select(
         F.col("id").alias("theme_id"), F.col("uid").alias("author"), "grade", "quality", "ctime",
         tokenize_tags(F.col("tags")).alias("tokens"))
-    return rows.select(F.inline(F.array(F.struct("theme_id", "author", "grade", "quality", "ctime", "tokens"))))
+    return (rows.select(F.inline(F.array(F.struct("theme_id", "author", "grade", "quality", "ctime", "tokens"))))
+            .repartition("theme_id"))
 
 
 def tag_token_rows(catalog: DataFrame) -> DataFrame:

@@ -129,6 +129,10 @@ class Ctx:
     def features(self):
         return self._m("features", lambda: T.theme_tag_features(self.catalog))
 
+    @property
+    def features_t(self):
+        return self._stored("features", lambda: self.features)
+
     @property
     def simtags(self):
         return self._m("simtags", lambda: T.similar_tags(self.features, self.p))
@@ -147,7 +151,10 @@ class Ctx:
 
     @property
     def index_t(self):
-        return self._m("index_t", lambda: tuple(cut_lineage(x) for x in self.index))
+        def build():
+            ls, tg = T.tag_index(T.similar_tags(self.features_t, self.p), self.recall_t)
+            return cut_lineage(ls), cut_lineage(tg)
+        return self._m("index_t", build)
 
     @property
     def recall_t(self):
@@ -161,7 +168,8 @@ class Ctx:
     @property
     def orig_t(self):
         ls, tg = self.index_t
-        return self._stored("orig", lambda: PR.indexed_profile(self.profile, ls, tg))
+        return self._stored("orig", lambda: PR.indexed_profile(
+            PR.user_profile(self.profile_window, self.features_t, self.p), ls, tg))
 
     @property
     def expanded(self):

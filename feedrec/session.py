@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -56,7 +57,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint (never a local one): files in the shared folder, so
-    a lost executor does not force a recompute of every earlier hop."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage of ``df`` with a written table: Parquet under the
+    session's shared checkpoint folder, read back. One job writes it (a
+    reliable ``checkpoint()`` needs a second one), the read-back plan is a
+    plain scan with real file sizes, so the planner can broadcast a small
+    result without guessing, and a lost executor never forces a recompute of
+    what came before. Never a local checkpoint."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    path = f"{root.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -117,6 +117,14 @@ def neighbor_candidates(sim: DataFrame, history: DataFrame, max_n: int) -> DataF
     good = history.where(F.col("bucket") == "good").select(
         F.col("user_id").alias("nb"), "theme_id", "quality", "grade", "ctime")
     s = sim.where(nonempty("user_id") & nonempty("neighbor")).select("user_id", "neighbor", "rank")
+    # Exact pre-filter: the set before neighbour r holds at least as many
+    # tuples as the largest single history before r, so once that reaches
+    # max_n neighbour r is never read and its history need not be joined.
+    sizes = good.groupBy("nb").agg(F.count(F.lit(1)).alias("h_n"))
+    prior = Window.partitionBy("user_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    s = (s.join(sizes, F.col("neighbor") == F.col("nb"), "left")
+         .withColumn("prev_max", F.coalesce(F.max(F.coalesce(F.col("h_n"), F.lit(0))).over(prior), F.lit(0)))
+         .where(F.col("prev_max") < max_n).select("user_id", "neighbor", "rank"))
     j = s.join(good, F.col("neighbor") == F.col("nb"))
     tup = ["theme_id", "quality", "grade", "ctime"]
     first = j.groupBy("user_id", *tup).agg(F.min("rank").alias("first_rank"))

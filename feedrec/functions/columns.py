@@ -66,7 +66,10 @@ def age_days(time_col: Column | str, as_of: str, fallback_days: int,
     ts = F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss"))
     if lenient:
         ts = F.coalesce(ts, F.try_to_timestamp(F.substring(c, 1, 10), F.lit("yyyy-MM-dd")))
-    secs = F.lit(epoch_seconds(as_of)) - F.unix_seconds(ts)
+    # both ends are read in the session time zone, so the difference does not
+    # depend on it
+    now = F.to_timestamp(F.lit(f"{as_of} 00:00:00"), "yyyy-MM-dd HH:mm:ss")
+    secs = F.unix_seconds(now) - F.unix_seconds(ts)
     return F.when(ts.isNull(), F.lit(int(fallback_days)).cast("long")) \
         .otherwise((secs / F.lit(86400)).cast("long"))
 

@@ -64,3 +64,15 @@ def test_normalize_cases(spark):
     assert got[("n2", "a")] == 1.0 and got[("n2", "b")] == 0.1   # tie: smaller item first
     assert got[("n3", "c")] == 1.0 and got[("n3", "b")] == 0.55 and got[("n3", "a")] == 0.1
     assert got[("t3", "a")] == got[("t3", "b")] == got[("t3", "c")] == 1.0
+
+
+def test_age_does_not_depend_on_session_zone(spark):
+    df = spark.createDataFrame([("2001-07-30 23:59:59",), ("2000-02-29 00:00:00",), ("bad",)], "t string")
+    expr = age_days("t", "2001-08-01", 730)
+    utc = [r[0] for r in df.select(expr).collect()]
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        other = [r[0] for r in df.select(expr).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert utc == other == [1, 519, 730]

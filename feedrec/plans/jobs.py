@@ -36,9 +36,10 @@ from ..sources.readers import (behavior_window, download_window, read_catalog,
 
 class Inputs:
     def __init__(self, spark: SparkSession, out: str, sf_dir: str | None = None,
-                 behavior: str | None = None, catalog: str | None = None):
+                 behavior: str | None = None, catalog: str | None = None,
+                 behavior_table: str | None = None):
         self.spark, self.out, self.sf_dir = spark, out, sf_dir
-        self._beh, self._cat = behavior, catalog
+        self._beh, self._cat, self._beh_table = behavior, catalog, behavior_table
 
     def path(self, name: str) -> str:
         return os.path.join(self.out, name)
@@ -53,6 +54,9 @@ class Inputs:
 
     @property
     def behavior(self) -> DataFrame:
+        if self._beh_table:
+            # a catalogue table, e.g. "db.userbehavior" partitioned by pt
+            return self.spark.table(self._beh_table)
         if self._beh:
             return self.spark.read.parquet(self._beh)
         return FX.behavior(self.spark, self.sf_dir)
@@ -162,6 +166,7 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--sf-dir")
     ap.add_argument("--behavior")
+    ap.add_argument("--behavior-table")
     ap.add_argument("--catalog")
     ap.add_argument("--new-catalog")
     ap.add_argument("--as-of", default=DEFAULT.as_of)
@@ -172,7 +177,7 @@ def main(argv=None) -> None:
     spark = build_session()
     ensure_checkpoint_dir(spark)
     p = DEFAULT.with_(as_of=a.as_of)
-    inp = Inputs(spark, a.out, a.sf_dir, a.behavior, a.catalog)
+    inp = Inputs(spark, a.out, a.sf_dir, a.behavior, a.catalog, a.behavior_table)
     stages = set(filter(None, a.stages.split(",")))
     if a.job == "simuser":
         simuser_job(inp, p, stages, a.new_catalog)

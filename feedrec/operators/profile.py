@@ -119,9 +119,11 @@ def expand_recall(orig: DataFrame, ls: DataFrame, tg: DataFrame, history: DataFr
                   .join(cnt, "user_id", "left")
                   .where(F.coalesce(F.col("c"), F.lit(0)) < p.min_recall).select("user_id"))
         fa = frontier.join(active, "user_id", "left_semi")
-        new = exclude_seen(recall_themes(fa, ls), history)
+        # one anti join against history and every earlier hop together
+        known = history.select("user_id", "theme_id")
         for prev in parts:
-            new = new.join(prev.select("user_id", "theme_id"), ["user_id", "theme_id"], "left_anti")
+            known = known.unionByName(prev.select("user_id", "theme_id"))
+        new = recall_themes(fa, ls).join(known, ["user_id", "theme_id"], "left_anti")
         part = keep(new.withColumn("hop", F.lit(hop)))
         parts.append(part)
         if hop == p.max_hops:

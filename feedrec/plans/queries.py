@@ -384,16 +384,16 @@ def q_tag_index(spark, d):
 
 def q_profile_recall(spark, d):
     c = Ctx(spark, d)
-    ls, _ = c.index
-    return PR.profile_recall(c.orig, ls)
+    ls, _ = c.index_t
+    return PR.profile_recall(c.orig_t, ls)
 
 
 def q_profile_extend(spark, d):
     c = Ctx(spark, d)
-    _, tg = c.index
+    _, tg = c.index_t
     # products of two stored 6-decimal weights are exact at 12 decimals; a
     # 6-digit rounding would sit exactly on .5 and depend on the engine
-    return PR.step_profile(c.orig, tg, exclude=False).select("user_id", "tag", F.round("weight", 12).alias("weight"))
+    return PR.step_profile(c.orig_t, tg, exclude=False).select("user_id", "tag", F.round("weight", 12).alias("weight"))
 
 
 def q_profile_expand(spark, d):

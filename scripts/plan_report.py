@@ -11,6 +11,27 @@ from feedrec.plans.queries import QUERIES  # noqa: E402
 from feedrec.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 
+def _col(line):
+    m = re.search(r"[A-Za-z*=]", line)
+    return m.start() if m else len(line)
+
+
+def final_only(plan: str) -> str:
+    """Drop every '== Initial Plan ==' block (AQE prints both plans, also
+    for each subquery), keeping the final plans only."""
+    out, skip_at = [], None
+    for line in plan.splitlines():
+        c = _col(line)
+        if skip_at is not None and c >= skip_at:
+            continue
+        skip_at = None
+        if "== Initial Plan ==" in line:
+            skip_at = c
+            continue
+        out.append(line)
+    return "\n".join(out)
+
+
 def main():
     d = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]")
@@ -21,7 +42,7 @@ def main():
             continue
         df = q(spark, d)
         df.collect()  # run this DataFrame itself so its AQE plan is the final one
-        p = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        p = final_only(df._jdf.queryExecution().executedPlan().toString())
         rows.append((name, len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition", p)),
                      p.count("ReusedExchange"), len(re.findall(r"WindowGroupLimit .*Partial", p)),
                      p.count("BroadcastHashJoin"), p.count("SortMergeJoin"),

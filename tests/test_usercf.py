@@ -102,3 +102,21 @@ def test_history_merge_idempotent(spark):
     assert m.count() == 2
     assert H.merge_history(m, h).count() == 2
     assert F is not None
+
+
+def test_dedupe_backfill_option(spark):
+    hot = spark.createDataFrame([(0, "x"), (1, "h1"), (2, "h2")], "rank long, id string")
+    un = spark.createDataFrame([("u", "x", "1", "900")], "user_id string, theme_id string, quality string, ctime string")
+    users = spark.createDataFrame([("u",)], "user_id string")
+    plain = [r.theme_id for r in U.neighbor_list(un, hot, users, 3).orderBy("pos").collect()]
+    dedup = [r.theme_id for r in U.neighbor_list(un, hot, users, 3, dedupe_backfill=True).orderBy("pos").collect()]
+    assert plain == ["x", "x", "h1"]          # the original pads without a dedupe
+    assert dedup == ["x", "h1", "h2"]
+
+
+def test_drop_zero_option(spark):
+    b = beh(spark, [("t1", "a", "Other"), ("t1", "b", "Other"), ("t2", "a", "Scan"), ("t2", "c", "Scan")])
+    kept = {(r.user_id, r.neighbor): r.sim for r in U.similar_users(b, DEFAULT).collect()}
+    pruned = {(r.user_id, r.neighbor): r.sim for r in U.similar_users(b, DEFAULT.with_(drop_zero=True)).collect()}
+    assert kept[("a", "b")] == 0.0            # 'other' pairs occupy a neighbour slot by default
+    assert ("a", "b") not in pruned and pruned[("a", "c")] == kept[("a", "c")]

@@ -40,6 +40,10 @@ def main() -> None:
     for n in names:
         out[n] = round(statistics.median(run(n) for _ in range(repeat)), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(sf)
+    except ValueError:
+        pass
     print(json.dumps({"metric": "headline_total", "value": round(sum(out.values()), 3), "unit": "sec",
                       "queries": out, "sf": sf}))
     spark.stop()

@@ -143,10 +143,13 @@ def profile_lists(cand: DataFrame, orig: DataFrame, recall: DataFrame, n: int) -
     Output (user_id, list, pos, theme_id)."""
     attrs = recall.select("theme_id", "quality", "ctime", "tokens").dropDuplicates(["theme_id"])
     c = cand.select("user_id", "theme_id").join(attrs, "theme_id")
-    tagged = c.select("user_id", "theme_id", F.explode(F.array_distinct("tokens")).alias("tag"))
-    scores = (tagged.join(orig.select("user_id", "tag", "weight"), ["user_id", "tag"])
-              .groupBy("user_id", "theme_id").agg(F.sum("weight").alias("score")))
-    s = (c.join(scores, ["user_id", "theme_id"], "left")
+    # one pass: every (candidate, distinct tag) row looks up the user's
+    # weight (left join, so a candidate without a matching tag stays with
+    # score 0) and a partial/final aggregate sums per candidate; no join back
+    tagged = c.select("user_id", "theme_id", "quality", "ctime",
+                      F.explode_outer(F.array_distinct("tokens")).alias("tag"))
+    s = (tagged.join(orig.select("user_id", "tag", "weight"), ["user_id", "tag"], "left")
+         .groupBy("user_id", "theme_id", "quality", "ctime").agg(F.sum("weight").alias("score"))
          .withColumn("score", r9(F.coalesce(F.col("score"), F.lit(0.0)))))
     desc = [F.col("score").desc(), F.col("quality").desc(), F.col("ctime").desc(), F.col("theme_id").asc()]
     asc = [F.col("score").asc(), F.col("quality").asc(), F.col("ctime").asc(), F.col("theme_id").desc()]

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedrec.llm import decontaminate, idfile, packing, quality, toxicity
+from feedrec.llm import decontaminate, idfile, jaccard, lm, packing, quality, toxicity
 from feedrec.llm.common import read
 
 
@@ -17,6 +17,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(read(spark, sf_dir, "documents"), staged=True)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -25,8 +29,13 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfile.round_trip(read(spark, sf_dir, "documents"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_toxicity, op6_packing, op7_token_files, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_toxicity, op3_lm_score, op6_packing, op7_token_files, op8_ngram_join,
+                                  op10_decontaminate)}

@@ -1,13 +1,15 @@
 """Packing by Karmarkar-Karp multiway differencing.
 
 Each task takes its documents in turn. A document longer than a window gives
-full windows first (a cut anywhere is allowed); the rest is a piece. When the
+full windows first (a cut anywhere is allowed); the rest is cut into pieces of
+at most ``piece`` ids, small enough to be balanced. When the
 pieces held come to ``group_tokens`` ids, they are dealt into k windows by
 multiway differencing: every piece starts as a partial partition with one
 non-empty slot, and the two partitions with the widest spread are merged with
 their imbalances opposed, the largest slot of one on the smallest of the other,
 until one is left. k is the least count that can hold the group and rises by
-one as long as the fullest window is over capacity.
+half the overflow's share, one at least, as long as the fullest window is over
+capacity.
 
 A group holds at most ``group_tokens`` ids plus one document, so memory and time
 are bounded whatever the input's size; no row is shuffled. Sequence ids are the
@@ -74,9 +76,10 @@ def deal(sizes: list[int], capacity: int) -> list[list[int]]:
     k = max(1, -(-sum(sizes) // capacity))
     while True:
         slots = differencing(sizes, k)
-        if all(sum(sizes[i] for i in s) <= capacity for s in slots):
+        over = max(sum(sizes[i] for i in s) for s in slots) - capacity
+        if over <= 0:
             return [sorted(s) for s in slots if s]
-        k += 1
+        k += max(1, k * over // (2 * capacity))
 
 
 def padding(n: int, capacity: int) -> int:
@@ -85,7 +88,7 @@ def padding(n: int, capacity: int) -> int:
 
 
 def pack(docs: DataFrame, vocab_path: str | None = None, capacity: int = 4096, group_tokens: int = 1 << 20,
-         end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+         piece: int = 1024, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """One row per piece; ``with_ids`` adds the piece's ids (array of int)."""
     path = vocab_path or public_path(VOCAB)
 
@@ -125,9 +128,9 @@ def pack(docs: DataFrame, vocab_path: str | None = None, capacity: int = 4096, g
                 doc_id, n, full = None if pd.isna(doc_id) else int(doc_id), len(ids) // 4, len(ids) // (4 * capacity) * capacity
                 for at in range(0, full, capacity):
                     sequence([(doc_id, at, ids[4 * at: 4 * (at + capacity)], n)])
-                if full < n:
-                    held.append((doc_id, full, ids[4 * full:], n))
-                    held_tokens += n - full
+                for at in range(full, n, piece):
+                    held.append((doc_id, at, ids[4 * at: 4 * (at + piece)], n))
+                held_tokens += n - full
                 if held_tokens >= group_tokens:
                     flush()
                 if len(rows) >= 20_000 // (8 if with_ids else 1):

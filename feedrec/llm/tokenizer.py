@@ -43,7 +43,7 @@ class Encoder:
         except KeyError:
             if len(self.memo) > MEMO:
                 self.memo.clear()
-            new = list(set(chunks) - self.memo.keys())
+            new = [c for c in set(chunks) if c not in self.memo]
             for k, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
                 self.memo[k] = np.array(e.ids, dtype="<u4").tobytes()
             return b"".join(map(self.memo.__getitem__, chunks)) + self.end

@@ -1,14 +1,12 @@
 """Token ids of whole texts by the tokenizers library, with a memo.
 
-Both vocabularies split a text at white space before anything else, so a text's
-ids are those of its chunks put together. The library encodes each distinct
-chunk once per worker; the memo holds at most ``MEMO`` chunks.
-
-Chunks: with ``word ends`` vocabularies white space is dropped, so a chunk is a
-run without blanks or line ends; with byte-level vocabularies a chunk is what
-their pre-tokeniser can cut at white space (one blank goes with the word after
-it). Other white space stays inside chunks and is left to the library. Strings
-of special tokens in a text are ordinary text."""
+Both vocabularies cut a text into pieces before they merge bytes, so a text's
+ids are those of its pieces put together. Pieces of printable ASCII and Latin-1
+letters are cut here by the vocabulary's own pattern and given to the library's
+model; a run without white space that holds anything else goes to the library
+whole. Each distinct piece is encoded once per worker, and the ids of each run
+between blanks, its pieces put together, are kept as well; both memos are
+bounded. Strings of special tokens in a text are ordinary text."""
 
 from __future__ import annotations
 
@@ -17,46 +15,91 @@ import re
 
 import numpy as np
 
-MEMO = 1_000_000
-#: Unicode white space as the vocabularies' own patterns take it (fixed values).
+PIECES, RUNS = 700_000, 1_000_000  # entries of the memos
+#: Unicode white space as the vocabularies' patterns take it (fixed values).
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-BLANK_DROPPED = re.compile(r"[^ \n]+")
-BYTE_LEVEL = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
+_MARKS = "[!-/:-@\\[-`{-~]+"
+_LATIN = "À-ÖØ-öø-ÿ"
+#: Lower-casing vocabulary, white space dropped; the contractions are fixed values.
+BLANK_DROPPED = re.compile(f"[!-~{_LATIN}]*[^ \\n!-~{_LATIN}][^ \\n]*|'(?:[sStTmMdD]|[rRvV][eE]|[lL][lL])|[A-Za-z{_LATIN}]+|[0-9]|{_MARKS}")
+#: Byte-level vocabulary: one blank goes with the piece after it.
+BYTE_LEVEL = re.compile(f" ?[!-~{_LATIN}]*[^!-~{_LATIN}{_WS}][^{_WS}]*|'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z{_LATIN}]+| ?[0-9]+| ?{_MARKS}"
+                        f"|[{_WS}]+(?![^{_WS}])|[{_WS}]")
+INNER_BLANK = re.compile(f"[{_WS}] ")
+PLAIN = re.compile(f" ?[!-~{_LATIN}]+")
 
 
 class Encoder:
     """Ids as little-endian unsigned 32-bit bytes, with ``end_id`` appended."""
 
-    def __init__(self, path: str, chunk: re.Pattern, end_id: int):
+    def __init__(self, path: str, pieces: re.Pattern, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.chunk, self.memo = chunk, {}
+        self.model, self.lower = self.tok.model, pieces is BLANK_DROPPED
+        self.pieces, self.memo, self.runs = pieces, {}, {}
+        # how the byte-level models write a blank and the letters beyond ASCII, asked of the library
+        shown = (lambda c: self.tok.pre_tokenizer.pre_tokenize_str(c)[0][0])
+        self.shown = str.maketrans({c: shown(c) for c in map(chr, range(0xC0, 0x100)) if c not in "×÷"})
+        if not self.lower:
+            self.shown[ord(" ")] = shown(" ")
         self.end = np.uint32(end_id).astype("<u4").tobytes()
 
+    def _learn(self, pieces: list[str]) -> None:
+        memo = self.memo
+        if len(memo) > PIECES:
+            memo.clear()
+        rest = []
+        for p in {p for p in pieces if p not in memo}:
+            if PLAIN.fullmatch(p):
+                q = (p.lower() if self.lower else p).translate(self.shown)
+                memo[p] = np.array([t.id for t in self.model.tokenize(q)], dtype="<u4").tobytes()
+            else:
+                rest.append(p)
+        for p, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False) if rest else ()):
+            memo[p] = np.array(e.ids, dtype="<u4").tobytes()
+
+    def _of(self, text: str) -> bytes:
+        pieces = self.pieces.findall(text)
+        try:
+            return b"".join(map(self.memo.__getitem__, pieces))
+        except KeyError:
+            self._learn(pieces)
+            return b"".join(map(self.memo.__getitem__, pieces))
+
+    def _new_runs(self, runs: list[str], lead: str) -> None:
+        if len(self.runs) > RUNS:
+            self.runs.clear()
+        for r in {r for r in runs if r not in self.runs}:
+            self.runs[r] = self._of(lead + r)
+
     def encode(self, text: str | None) -> bytes:
-        chunks = self.chunk.findall(text) if text else []
+        if not text:
+            return self.end
+        if self.lower:  # blanks and line ends are dropped wherever they are
+            head, lead, runs = b"", "", text.replace("\n", " ").split(" ")
+        elif INNER_BLANK.search(text):  # runs of white space are pieces of their own
+            return self._of(text) + self.end
+        else:  # every blank goes with what follows it
+            first, *runs = text.split(" ")
+            head, lead = self._of(first), " "
         try:
-            return b"".join(map(self.memo.__getitem__, chunks)) + self.end
+            return head + b"".join(map(self.runs.__getitem__, runs)) + self.end
         except KeyError:
-            if len(self.memo) > MEMO:
-                self.memo.clear()
-            new = [c for c in set(chunks) if c not in self.memo]
-            for k, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
-                self.memo[k] = np.array(e.ids, dtype="<u4").tobytes()
-            return b"".join(map(self.memo.__getitem__, chunks)) + self.end
+            self._new_runs(runs, lead)
+            return head + b"".join(map(self.runs.__getitem__, runs)) + self.end
 
 
 _encoders: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, chunk: re.Pattern, end_id: int) -> Encoder:
+def encoder(path: str, pieces: re.Pattern, end_id: int) -> Encoder:
     """One encoder per worker process and vocabulary."""
-    key = (path, chunk.pattern, end_id)
+    key = (path, pieces.pattern, end_id)
     if key not in _encoders:
-        _encoders[key] = Encoder(*(path, chunk, end_id))
+        _encoders[key] = Encoder(path, pieces, end_id)
     return _encoders[key]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedrec.llm import decontaminate, idfile, jaccard, lm, packing, quality, toxicity
+from feedrec.llm import decontaminate, idfile, jaccard, lm, packing, quality, secrets, toxicity
 from feedrec.llm.common import read
 
 
@@ -33,9 +33,13 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(read(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_toxicity, op3_lm_score, op6_packing, op7_token_files, op8_ngram_join,
+QUERIES = {f.__name__: f for f in (op1_quality, op2_toxicity, op3_lm_score, op6_packing, op7_token_files, op8_ngram_join, op9_secrets,
                                   op10_decontaminate)}

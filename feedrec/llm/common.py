@@ -15,7 +15,16 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _ASCII_UPPER = re.compile(r"[A-Z]+")
 
 
+def smaller_batches(spark: SparkSession) -> None:
+    """Texts can be long, so fewer of them go to a Python worker at once, unless
+    the session says how many."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":  # Spark's default
+        spark.conf.set(key, "1000")
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    smaller_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -31,6 +31,7 @@ from feedrec.llm.common import lower_ascii, store
 ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Odd multiplier of the rolling sum, modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
+FOUND = "_decontaminate"
 STATE = "struct<n_words:bigint,starts:array<int>,ends:array<int>,items:array<bigint>>"
 
 
@@ -82,12 +83,14 @@ class Windows:
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, n: int = 13, slice_chars: int = 64_000_000) -> DataFrame:
-    """``docs`` with a column ``_found``: the number of words, the hit runs as
+    """``docs`` with a column ``FOUND``: the number of words, the hit runs as
     word positions [start, end), and the ids of the items found."""
     bench = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text")
     total = bench.agg(F.sum(F.length("text"))).first()[0] or 0
     slices = int(max(1, -(-total // slice_chars)))
-    out = docs.withColumn("_found", F.lit(None).cast(STATE))
+    nothing = F.struct(F.lit(0).cast("bigint").alias("n_words"), *[F.array().cast(t).alias(c) for c, t in (
+        ("starts", "array<int>"), ("ends", "array<int>"), ("items", "array<bigint>"))])
+    out = docs.withColumn(FOUND, nothing)
     for s in range(slices):
         part = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == s) if slices > 1 else bench
         rows = sorted({(r.item_id, r.text) for r in part.collect()})  # at most about slice_chars characters
@@ -98,40 +101,37 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 13, slice_chars: int =
 
 
 def _pass(docs: DataFrame, windows) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(STATE)
+    def run(batches: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
         w = windows.value
-        for pdf in batches:
-            state = []
-            for text, old in zip(pdf["text"], pdf["_found"]):
+        for texts, old in batches:
+            rows = []
+            for text, starts, ends, items in zip(texts, old["starts"], old["ends"], old["items"]):
                 words = item_words(text)
                 hit, found = w.find(words)
-                if old is not None and not (isinstance(old, float) and np.isnan(old)):
-                    for a, b in zip(old["starts"], old["ends"]):
-                        hit[a:b] = True
-                    found.update(int(x) for x in old["items"])
+                for a, b in zip(starts, ends):  # marks of earlier passes
+                    hit[a:b] = True
+                found.update(int(x) for x in items)
                 edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
-                state.append({"n_words": len(words), "starts": np.flatnonzero(edge == 1).astype(np.int32),
-                              "ends": np.flatnonzero(edge == -1).astype(np.int32), "items": np.array(sorted(found), np.int64)})
-            pdf["_found"] = state
-            yield pdf
+                rows.append((len(words), np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), sorted(found)))
+            yield pd.DataFrame(rows, columns=["n_words", "starts", "ends", "items"])
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.withColumn(FOUND, run("text", FOUND))
 
 
 def n_hit() -> Column:
-    return F.aggregate(F.zip_with("_found.starts", "_found.ends", lambda a, b: (b - a).cast("long")),
+    return F.aggregate(F.zip_with(FOUND + ".starts", FOUND + ".ends", lambda a, b: (b - a).cast("long")),
                        F.lit(0).cast("long"), lambda s, x: s + x)
 
 
 def contaminated(percent: int = 5) -> Column:
     """Hit, and at least ``percent`` of the words are."""
-    return (n_hit() > 0) & (n_hit() * 100 >= F.col("_found.n_words") * percent)
+    return (n_hit() > 0) & (n_hit() * 100 >= F.col(FOUND + ".n_words") * percent)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
     """``docs`` without the contaminated documents, all columns kept."""
-    # only the scanned columns go through Python when the input has others
-    return scan(docs, benchmark, n).where(~contaminated()).drop("_found")
+    return scan(docs, benchmark, n).where(~contaminated()).drop(FOUND)
 
 
 _REPORT = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -139,8 +139,8 @@ _REPORT = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminate
 
 def report(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
     found = scan(docs.select("doc_id", "text"), benchmark, n)
-    ids = F.array_join(F.array_sort(F.transform("_found.items", lambda x: x.cast("string"))), ",")
-    return found.select("doc_id", F.col("_found.n_words").alias("n_words"), n_hit().alias("n_hit"),
-                        F.size("_found.items").cast("long").alias("n_items"),
+    ids = F.array_join(F.array_sort(F.transform(FOUND + ".items", lambda x: x.cast("string"))), ",")
+    return found.select("doc_id", F.col(FOUND + ".n_words").alias("n_words"), n_hit().alias("n_hit"),
+                        F.size(FOUND + ".items").cast("long").alias("n_items"),
                         F.sha2(ids.cast("binary"), 256).alias("items_sha256"),
                         contaminated().alias("contaminated")).select(*_REPORT)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedrec.llm import decontaminate, idfile, jaccard, lm, packing, pages, quality, secrets, toxicity
+from feedrec.llm import decontaminate, idfile, jaccard, lm, packing, pages, quality, secrets, toxicity, vectors
 from feedrec.llm.common import read
 
 
@@ -21,6 +21,10 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scores(read(spark, sf_dir, "documents"), staged=True)
 
 
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(read(spark, sf_dir, "pages"))
 
@@ -45,5 +49,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_toxicity, op3_lm_score, op5_main_text, op6_packing, op7_token_files, op8_ngram_join, op9_secrets,
+QUERIES = {f.__name__: f for f in (op1_quality, op2_toxicity, op3_lm_score, op4_near_vectors, op5_main_text, op6_packing, op7_token_files, op8_ngram_join, op9_secrets,
                                   op10_decontaminate)}

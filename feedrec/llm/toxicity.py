@@ -32,7 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedrec.llm.common import fold, sample_labelled, store
@@ -218,24 +218,31 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5,
     return best and best[1:]
 
 
-def score(docs: DataFrame, fitted: tuple[Model, float, float] | None, p: ToxicityParams = ToxicityParams()) -> DataFrame:
-    """(doc_id, score) for every row of ``docs``."""
+def score(docs: DataFrame, fitted: tuple[Model, float, float] | None, p: ToxicityParams = ToxicityParams()) -> Column:
+    """The score of the column ``text``; other columns stay where they are."""
     model = docs.sparkSession.sparkContext.broadcast(fitted)  # bounded by the sample
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokens = Tokens(model.value[0].names) if model.value else None
-        for pdf in batches:
-            out = np.zeros(len(pdf))
+        for texts in batches:
+            out = np.zeros(len(texts))
             if model.value:
                 m, a, b = model.value
-                v = np.array([m.value(_ids(tokens, t), p.window) for t in pdf.text])
+                v = np.array([m.value(_ids(tokens, t), p.window) for t in texts], dtype=np.float64)
                 out = 1 / (1 + np.exp(-np.clip(a * v + b, -30, 30)))
-            yield pd.DataFrame({"doc_id": pdf.doc_id, "score": out})
+            yield pd.Series(out)
+
+    return run("text")
+
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, score double")
+def accepted(docs: DataFrame, labels: DataFrame, folds: int = 5, p: ToxicityParams = ToxicityParams()) -> DataFrame:
+    """``docs`` without the rows whose score reaches the threshold."""
+    return docs.where(score(docs, train(docs, labels, folds, p), p) < p.threshold)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, p: ToxicityParams = ToxicityParams()) -> DataFrame:
-    scored = score(docs, train(docs, labels, folds, p), p)
+    """(doc_id, held_out, score, predicted) of every row of ``docs``."""
+    scored = docs.select("doc_id", score(docs, train(docs, labels, folds, p), p).alias("score"))
     return scored.select("doc_id", (fold(F.col("doc_id"), folds) == 0).alias("held_out"), "score",
                          (F.col("score") >= p.threshold).cast("int").alias("predicted"))

@@ -38,7 +38,7 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.model, self.lower = self.tok.model, pieces is BLANK_DROPPED
+        self.model, self.lower = self.tok.model, pieces.pattern == BLANK_DROPPED.pattern
         self.pieces, self.memo, self.runs = pieces, {}, {}
         # how the byte-level models write a blank and the letters beyond ASCII, asked of the library
         shown = (lambda c: self.tok.pre_tokenizer.pre_tokenize_str(c)[0][0])

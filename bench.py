@@ -9,6 +9,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -25,10 +26,11 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
 
     from feedrec.plans.queries import QUERIES
-    from feedrec.session import build_session, ensure_checkpoint_dir
+    from feedrec.session import build_session, drop_run_tables
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus))
-    ensure_checkpoint_dir(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="feedrec-bench-"))
 
     def run(name: str) -> float:
         t = time.perf_counter()
@@ -46,6 +48,7 @@ def main() -> None:
         pass
     print(json.dumps({"metric": "headline_total", "value": round(sum(out.values()), 3), "unit": "sec",
                       "queries": out, "sf": sf}))
+    drop_run_tables(spark)
     spark.stop()
 
 

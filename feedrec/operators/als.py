@@ -3,7 +3,7 @@ factor export (O39), predictions (O40) and their MSE (O41)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import act_weight, nonempty, time_decay
@@ -63,16 +63,17 @@ def parse_ratings_text(lines: DataFrame, sep: str = "::") -> DataFrame:
 
 
 def als_fit(ratings: DataFrame, p: Params):
-    """Implicit ALS with a fixed seed (and the checkpoint folder, so
-    ALS's own periodic checkpoints cut its lineage)."""
+    """ALS with a fixed seed, implicit or explicit (and the checkpoint
+    folder, so ALS's own periodic checkpoints cut its lineage). A pair that the
+    model cannot score is NaN, never a missing row."""
     from pyspark.ml.recommendation import ALS
 
     from ..session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(ratings.sparkSession)
     kw = dict(rank=p.als_rank, maxIter=p.als_iters, regParam=p.als_lambda, alpha=p.als_alpha,
-              implicitPrefs=True, seed=p.seed, userCol="user", itemCol="item", ratingCol="rating",
-              coldStartStrategy="drop", checkpointInterval=5)
+              implicitPrefs=p.als_implicit, seed=p.seed, userCol="user", itemCol="item", ratingCol="rating",
+              coldStartStrategy="nan", checkpointInterval=5)
     if p.als_blocks and p.als_blocks > 0:
         kw.update(numUserBlocks=p.als_blocks, numItemBlocks=p.als_blocks)
     return ALS(**kw).fit(ratings)
@@ -85,11 +86,52 @@ def als_factors(factors: DataFrame) -> DataFrame:
 
 
 def als_predict(model, ratings: DataFrame) -> DataFrame:
-    """Score every training pair. Output (user, item, rating, prediction)."""
-    return model.transform(ratings).select("user", "item", "rating", "prediction")
+    """Score every training pair. Output (user, item, rating, prediction).
+    Every pair was trained on, so one without a score is an error."""
+    pred = model.transform(ratings).select("user", "item", "rating", "prediction")
+    checked = F.when(F.isnan("prediction"), F.raise_error(F.lit("a training pair has no factors"))).otherwise(F.col("prediction"))
+    return pred.withColumn("prediction", checked.cast("float"))
 
 
 def als_mse(pred: DataFrame) -> DataFrame:
     """Mean squared error of predictions against ratings."""
     return pred.agg(F.avg(F.pow(F.col("rating") - F.col("prediction"), 2)).alias("mse"),
                     F.count(F.lit(1)).alias("n"))
+
+
+def _dot(x: Column, y: Column) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, v: s + v)
+
+
+def dot_check(model, ratings: DataFrame) -> DataFrame:
+    """O40 against the exported factors: (user, item, rating, prediction, dot)."""
+    u = model.userFactors.select(F.col("id").alias("user"), F.col("features").alias("x"))
+    i = model.itemFactors.select(F.col("id").alias("item"), F.col("features").alias("y"))
+    return (als_predict(model, ratings).join(u, "user").join(i, "item")
+            .select("user", "item", "rating", "prediction", _dot(F.col("x"), F.col("y")).alias("dot")))
+
+
+def normal_equations(model, ratings: DataFrame, p: Params) -> DataFrame:
+    """O38 check: user factors are the last half-step, so each solves its linear
+    system exactly. With c = alpha |r| the implicit system of a user is
+    (Y'Y + sum c y y' + lambda n I) x = sum over r > 0 of (1 + c) y, n the
+    ratings above 0. Output (id, residual): the largest component left over.
+    Y'Y is rank x rank numbers, a scalar subquery; the sums are one aggregate."""
+    y = model.itemFactors.select(F.col("id").alias("item"), F.transform("features", lambda v: v.cast("double")).alias("y"))
+    k = p.als_rank
+    cell = F.explode(F.flatten(F.transform("y", lambda a, i: F.transform("y", lambda b, j: F.struct(
+        (i * k + j).alias("at"), (a * b).alias("v"))))))
+    yty = (y.select(cell.alias("c")).groupBy("c.at").agg(F.sum("c.v").alias("v"))
+           .agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "v"))), lambda c: c["v"]).alias("m")))
+    x = model.userFactors.select(F.col("id").alias("user"), F.transform("features", lambda v: v.cast("double")).alias("x"))
+    c = F.lit(float(p.als_alpha)) * F.abs("rating")
+    r = (ratings.join(x, "user").join(y, "item")
+         .withColumn("w", c * _dot(F.col("x"), F.col("y")) - F.when(F.col("rating") > 0, 1 + c).otherwise(0.0)))
+    parts = (r.select("user", F.posexplode("y").alias("j", "v"), "w", (F.col("rating") > 0).cast("int").alias("pos"))
+             .groupBy("user", "j").agg(F.sum(F.col("v") * F.col("w")).alias("v"), F.sum("pos").alias("n")))
+    sums = parts.groupBy("user").agg(F.max("n").alias("n"), F.transform(
+        F.sort_array(F.collect_list(F.struct("j", "v"))), lambda s: s["v"]).alias("s"))
+    full = sums.join(x, "user").withColumn("m", yty.scalar())
+    left = F.transform("x", lambda v, j: F.abs(_dot(F.slice(F.col("m"), j * k + 1, F.lit(k)), F.col("x"))
+                                              + F.get("s", j) + F.lit(float(p.als_lambda)) * F.col("n") * v))
+    return full.select(F.col("user").alias("id"), F.array_max(left).alias("residual"))

@@ -1,5 +1,5 @@
 """User tag profile (O25), recall through the tag index (O30), profile
-extension (O31), bounded iterative expansion (O32) and the two lists (O33)."""
+extension (O31), iterative expansion (O32) and the two lists (O33)."""
 
 from __future__ import annotations
 
@@ -95,62 +95,72 @@ def expand_recall(orig: DataFrame, ls: DataFrame, tg: DataFrame, history: DataFr
     """Start from the recalled themes minus history and the extended
     profile as frontier; while a user has fewer than ``min_recall`` themes and
     some frontier weight >= ``min_profile_weight``: add the recall lists of
-    all frontier tags (minus history) and step the frontier one hop. At most
-    ``max_hops`` hops (the original can cycle forever).
+    all frontier tags (minus history) and step the frontier one hop.
 
-    All users advance together: each hop is a handful of joins restricted to
-    the active users by a semi join. Each hop's state is checkpointed to the
-    shared checkpoint folder, so the plan stays small and a lost executor
-    does not replay earlier hops. Output (user_id, theme_id, hop)."""
+    A user also retires when the set of its frontier's tags comes back: the
+    tags of the next frontier depend on the current ones alone, so no new theme
+    can follow. There is no hop limit; the loop ends when no user is active.
+
+    All users advance together. Every join is restricted to the active users:
+    the known themes are theirs only, and a tag is recalled for a user once,
+    the first time it is on the user's frontier. Each hop's state is a written
+    table, so the plan stays small and a lost executor does not replay earlier
+    hops. Output (user_id, theme_id, hop)."""
     keep = cut_lineage if checkpoint else (lambda df: df)
 
-    def counts(df):
-        return df.groupBy("user_id").agg(F.count(F.lit(1)).alias("c"))
+    def signature(df):
+        return df.groupBy("user_id").agg(F.max(r9("weight")).alias("m"), F.sort_array(F.collect_set("tag")).alias("sig"))
 
-    # only each hop's new rows are stored, plus a running count per user, so
-    # no hop rewrites what earlier hops already wrote
     part = keep(exclude_seen(profile_recall(orig, ls), history).withColumn("hop", F.lit(0)))
-    parts = [part]
-    cnt = keep(counts(part))
-    frontier = keep(step_profile(orig, tg, exclude=False))
-    for hop in range(1, p.max_hops + 1):
-        fmax = frontier.groupBy("user_id").agg(F.max(r9("weight")).alias("m"))
-        active = (fmax.where(F.col("m") >= F.lit(float(p.min_profile_weight)))
-                  .join(cnt, "user_id", "left")
-                  .where(F.coalesce(F.col("c"), F.lit(0)) < p.min_recall).select("user_id"))
+    out, hop = part, 0
+    counts = part.groupBy("user_id").agg(F.count(F.lit(1)).alias("c"))
+    frontier = step_profile(orig, tg, exclude=False)
+    asked = orig.where(nonempty("tag")).select("user_id", "tag")  # tags whose lists a user already has
+    seen = None
+    while True:
+        # one row per user: is it active, and which tag sets it has had
+        frontier = keep(frontier)
+        state = signature(frontier).join(counts, "user_id", "left")
+        if seen is not None:
+            state = state.join(seen, "user_id", "left").where(
+                F.col("seen").isNull() | ~F.array_contains("seen", F.col("sig")))
+        else:
+            state = state.withColumn("seen", F.lit(None).cast("array<array<string>>"))
+        state = keep(state.where((F.col("m") >= F.lit(float(p.min_profile_weight)))
+                                 & (F.coalesce(F.col("c"), F.lit(0)) < p.min_recall))
+                     .select("user_id", F.coalesce("c", F.lit(0)).cast("long").alias("c"),
+                             F.concat(F.coalesce("seen", F.array().cast("array<array<string>>")), F.array("sig")).alias("seen")))
+        if state.isEmpty():
+            return out.select("user_id", "theme_id", F.col("hop").cast("long").alias("hop"))
+        hop += 1
+        active = state.select("user_id")
         fa = frontier.join(active, "user_id", "left_semi")
-        # one anti join against history and every earlier hop together
-        known = history.select("user_id", "theme_id")
-        for prev in parts:
-            known = known.unionByName(prev.select("user_id", "theme_id"))
-        new = recall_themes(fa, ls).join(known, ["user_id", "theme_id"], "left_anti")
-        part = keep(new.withColumn("hop", F.lit(hop)))
-        parts.append(part)
-        if hop == p.max_hops:
-            break
-        cnt = keep(cnt.unionByName(counts(part)).groupBy("user_id").agg(F.sum("c").alias("c")))
-        frontier = keep(step_profile(fa, tg, exclude=True))
-    out = parts[0]
-    for prt in parts[1:]:
-        out = out.unionByName(prt)
-    return out.select("user_id", "theme_id", F.col("hop").cast("long").alias("hop"))
+        fresh = fa.join(asked, ["user_id", "tag"], "left_anti")
+        known = (history.select("user_id", "theme_id").unionByName(out.select("user_id", "theme_id"))
+                 .join(active, "user_id", "left_semi"))
+        part = keep(recall_themes(fresh, ls).join(known, ["user_id", "theme_id"], "left_anti").withColumn("hop", F.lit(hop)))
+        out = out.unionByName(part)
+        counts = state.select("user_id", "c").unionByName(
+            part.groupBy("user_id").agg(F.count(F.lit(1)).alias("c"))).groupBy("user_id").agg(F.sum("c").alias("c"))
+        seen = state.select("user_id", "seen")
+        asked = asked.join(active, "user_id", "left_semi").unionByName(fresh.select("user_id", "tag"))
+        frontier = step_profile(fa, tg, exclude=True)
 
 
 def profile_lists(cand: DataFrame, orig: DataFrame, recall: DataFrame, n: int) -> DataFrame:
     """score = sum of the user's indexed profile weights over the
     theme's tags; order (score, quality, ctime) descending; the first ``n``
     form the profile list and the last ``n``, reversed, the extend list.
+    A profile has at most ``max_profile_tag`` entries, so it is one row per
+    user and each candidate is scored in its own row, in tag order.
     Output (user_id, list, pos, theme_id)."""
     attrs = recall.select("theme_id", "quality", "ctime", "tokens").dropDuplicates(["theme_id"])
-    c = cand.select("user_id", "theme_id").join(attrs, "theme_id")
-    # one pass: every (candidate, distinct tag) row looks up the user's
-    # weight (left join, so a candidate without a matching tag stays with
-    # score 0) and a partial/final aggregate sums per candidate; no join back
-    tagged = c.select("user_id", "theme_id", "quality", "ctime",
-                      F.explode_outer(F.array_distinct("tokens")).alias("tag"))
-    s = (tagged.join(orig.select("user_id", "tag", "weight"), ["user_id", "tag"], "left")
-         .groupBy("user_id", "theme_id", "quality", "ctime").agg(F.sum("weight").alias("score"))
-         .withColumn("score", r9(F.coalesce(F.col("score"), F.lit(0.0)))))
+    tags = orig.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("tag", "weight"))).alias("tags"))
+    c = cand.select("user_id", "theme_id").join(attrs, "theme_id").join(tags, "user_id", "left")
+    own = F.filter(F.coalesce("tags", F.array().cast("array<struct<tag:string,weight:double>>")),
+                   lambda t: F.array_contains("tokens", t["tag"]))
+    score = F.aggregate(own, F.lit(0.0), lambda s, t: s + t["weight"])
+    s = c.select("user_id", "theme_id", "quality", "ctime", r9(score).alias("score"))
     desc = [F.col("score").desc(), F.col("quality").desc(), F.col("ctime").desc(), F.col("theme_id").asc()]
     asc = [F.col("score").asc(), F.col("quality").asc(), F.col("ctime").asc(), F.col("theme_id").desc()]
     first = top_n(s, "user_id", desc, n, "pos").select("user_id", F.lit("profile").alias("list"), "pos", "theme_id")

@@ -44,17 +44,18 @@ def hot_defaults(hot: DataFrame, list_size: int, n: int) -> DataFrame:
 
 def serving_merge(profile: DataFrame, sim: DataFrame, hot: DataFrame, list_size: int, n: int) -> DataFrame:
     """Full outer join of the two lists per user; a missing side takes
-    its default from the hot list. The defaults enter as scalar subqueries
-    (computed once, then constants), so there is no cross join and nothing
+    its default from the hot list. The defaults enter as one scalar subquery
+    (computed once, then a constant), so there is no cross join and nothing
     is collected by hand. Output (user_id, simuser, profile, extend)."""
-    d = hot_defaults(hot, list_size, n)
+    h = hot_defaults(hot, list_size, n)
+    d = h.select(F.struct("d_sim", "d_profile", "d_extend")).scalar()
     j = profile.alias("p").join(sim.alias("s"), F.col("p.user_id") == F.col("s.user_id"), "full")
     return j.select(
         F.coalesce(F.col("p.user_id"), F.col("s.user_id")).alias("user_id"),
-        F.coalesce(F.col("s.simuser"), d.select("d_sim").scalar()).alias("simuser"),
-        F.when(F.col("p.user_id").isNull(), d.select("d_profile").scalar())
+        F.coalesce(F.col("s.simuser"), d["d_sim"]).alias("simuser"),
+        F.when(F.col("p.user_id").isNull(), d["d_profile"])
          .otherwise(F.col("p.profile")).alias("profile"),
-        F.when(F.col("p.user_id").isNull(), d.select("d_extend").scalar())
+        F.when(F.col("p.user_id").isNull(), d["d_extend"])
          .otherwise(F.col("p.extend")).alias("extend"))
 
 
@@ -77,11 +78,23 @@ def key_bucket(col: Column, buckets: int) -> Column:
 
 
 def range_index(col: Column, split_keys) -> Column:
-    """Number of region start keys (after the first) that are <= the key."""
-    idx = F.lit(0)
-    for k in list(split_keys)[1:]:
-        idx = idx + F.when(col >= F.lit(k), 1).otherwise(0)
-    return idx
+    """Number of region start keys (after the first) that are <= the key: one
+    look at a constant array, whatever the number of regions."""
+    starts = F.array(*[F.lit(k) for k in sorted(split_keys)[1:]]).cast("array<string>")
+    return F.size(F.filter(starts, lambda k: k <= col))
+
+
+def split_points(cells: DataFrame, rows_per_file: int, sample: int = 20_000) -> tuple[tuple, int]:
+    """(region start keys, files per region) for a table: regions of equal
+    shares of a hash-ordered sample of at most ``sample`` keys, files from the
+    row count."""
+    total = cells.count()
+    keys = sorted(r.rowkey for r in cells.select("rowkey").distinct()
+                  .orderBy(F.xxhash64("rowkey"), "rowkey").limit(sample).collect())
+    files = max(1, -(-total // rows_per_file))
+    per = min(files, 32)
+    regions = max(1, min(len(keys), -(-files // per)))
+    return ("", *sorted({keys[len(keys) * i // regions] for i in range(1, regions)})), per
 
 
 def export_layout(cells: DataFrame, split_keys, files_per_region: int) -> DataFrame:

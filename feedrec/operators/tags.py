@@ -23,19 +23,18 @@ def complete_rows(catalog: DataFrame) -> DataFrame:
     return catalog.where(cond)
 
 
-def theme_tokens(catalog: DataFrame) -> DataFrame:
+def theme_tokens(catalog: DataFrame, reused: bool = False) -> DataFrame:
     """O21 applied to the catalogue: (theme_id, author, grade, quality,
     ctime, tokens array)."""
     # Tokenised once per row (a one-row generator keeps later filters on
-    # ``tokens`` from re-inlining the tokeniser), then hash-partitioned by
-    # theme: the features, pair and recall branches all start from this one
-    # exchange (Spark reuses it), instead of each re-reading and
-    # re-tokenising the catalogue.
+    # ``tokens`` from re-inlining the tokeniser). ``reused``: hash-partition by
+    # theme, so that several branches start from this one exchange instead of
+    # each re-reading and re-tokenising the catalogue.
     rows = complete_rows(catalog).select(
         F.col("id").alias("theme_id"), F.col("uid").alias("author"), "grade", "quality", "ctime",
         tokenize_tags(F.col("tags")).alias("tokens"))
-    return (rows.select(F.inline(F.array(F.struct("theme_id", "author", "grade", "quality", "ctime", "tokens"))))
-            .repartition("theme_id"))
+    rows = rows.select(F.inline(F.array(F.struct("theme_id", "author", "grade", "quality", "ctime", "tokens"))))
+    return rows.repartition("theme_id") if reused else rows
 
 
 def tag_token_rows(catalog: DataFrame) -> DataFrame:
@@ -51,7 +50,7 @@ def theme_tag_features(catalog: DataFrame) -> DataFrame:
     Output (theme_id, author, author_n, tag, tag_n), one row per distinct
     (theme, tag). Both counts are partial/final aggregates, and the joins
     back carry one row per author / tag, so a hot tag is split by AQE."""
-    multi = theme_tokens(catalog).where(F.size("tokens") > 1)
+    multi = theme_tokens(catalog, reused=True).where(F.size("tokens") > 1)
     pairs = multi.select("theme_id", "author", F.explode(F.array_distinct("tokens")).alias("tag"))
     author_n = (multi.select("author", "theme_id").distinct()
                 .groupBy("author").agg(F.count(F.lit(1)).alias("author_n")))

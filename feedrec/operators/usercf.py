@@ -1,11 +1,12 @@
 """User-user collaborative filtering (O12-O18) and the neighbour list.
 
 The plan, in shuffles: distinct (user, act, theme) [partial agg] -> norm per
-(user, act) and heat per (theme, act) [partial aggs] -> seeded sample of at
-most ``k`` users per (theme, act) [WindowGroupLimit, partial before the
-shuffle] -> self join on (theme, act) with ``a.user < b.user`` (at most
-k(k-1)/2 rows per key, so no key is skewed) -> sum per unordered pair
-[partial agg] -> mirror -> top N per user [WindowGroupLimit].
+(user, act) and heat per (theme, act) [partial aggs] -> self join on (theme,
+act, block pair), every unordered pair once -> sum per unordered pair [partial
+agg before the shuffle] -> mirror -> top N per user [WindowGroupLimit]. All
+users of a group take part; a heavy group is split into blocks of about
+``pair_block`` users, so no join key holds more than that on either side. The
+seeded sample of O14 is an opt-in (``theme_max_user``).
 """
 
 from __future__ import annotations
@@ -51,22 +52,40 @@ def cap_users(rows: DataFrame, heat: DataFrame, k: int, seed: int) -> DataFrame:
     return picked.join(heat, ["theme_id", "act_type"]).select("theme_id", "act_type", "user_id", "heat")
 
 
+def members(rows: DataFrame, heat: DataFrame, p: Params) -> DataFrame:
+    """Users of every (theme, act) that can form a pair, with its heat; the
+    sample of O14 only where the parameters ask for it."""
+    if p.theme_max_user:
+        return cap_users(rows, heat, p.theme_max_user, p.seed)
+    return rows.join(heat, ["theme_id", "act_type"]).select("theme_id", "act_type", "user_id", "heat")
+
+
 def pair_contrib_half(capped: DataFrame, norm: DataFrame, p: Params) -> DataFrame:
     """O15, one direction: each unordered pair (a < b) of one (theme, act)
-    gives act / ln(1 + heat) / sqrt(n_a * n_b)."""
+    gives act / ln(1 + heat) / sqrt(n_a * n_b). A group of more than
+    ``pair_block`` users is cut into blocks by user hash; each pair of blocks
+    is a join key of its own."""
     c = capped.join(norm, ["user_id", "act_type"])
     if p.drop_zero:
         c = c.where(act_weight("act_type", p.scan_factor, p.download_factor) != 0)
-    a = c.select(F.col("theme_id"), F.col("act_type"), F.col("heat"),
-                 F.col("user_id").alias("ua"), F.col("n").alias("na"))
-    b = c.select(F.col("theme_id").alias("tb"), F.col("act_type").alias("xb"),
-                 F.col("user_id").alias("ub"), F.col("n").alias("nb"))
-    j = a.join(b, (F.col("theme_id") == F.col("tb")) & (F.col("act_type") == F.col("xb"))
-               & (F.col("ua") < F.col("ub")))
+    blocks = F.ceil(F.col("heat") / F.lit(p.pair_block)).cast("int")
+    c = c.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("user_id"), F.col("blocks")).cast("int"))
+    a = c.select("theme_id", "act_type", "heat", F.col("block").alias("lo"), F.col("user_id").alias("u"), F.col("n").alias("na"),
+                 F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("hi"))
+    b = c.select("theme_id", "act_type", F.col("block").alias("hi"), F.col("user_id").alias("v"), F.col("n").alias("nb"),
+                 F.explode(F.sequence(F.lit(0), F.col("block"))).alias("lo"))
+    j = a.join(b, ["theme_id", "act_type", "lo", "hi"]).where((F.col("lo") < F.col("hi")) | (F.col("u") < F.col("v")))
     contrib = (act_weight("act_type", p.scan_factor, p.download_factor)
                / F.log(F.lit(1.0) + F.col("heat").cast("double"))
                / F.sqrt(F.col("na").cast("double") * F.col("nb").cast("double")))
-    return j.select("ua", "ub", "theme_id", "act_type", contrib.alias("contrib"))
+    return j.select(F.least("u", "v").alias("ua"), F.greatest("u", "v").alias("ub"), "theme_id", "act_type",
+                    contrib.alias("contrib"))
+
+
+def pair_totals(half: DataFrame) -> DataFrame:
+    """O15 as a report: unordered pairs and their summed contribution per
+    (theme, act); the pairs themselves are quadratic in a group."""
+    return half.groupBy("theme_id", "act_type").agg(F.count(F.lit(1)).alias("pairs"), F.sum("contrib").alias("contrib"))
 
 
 def mirror(df: DataFrame, a: str, b: str, out_a: str, out_b: str, *keep: str) -> DataFrame:
@@ -76,12 +95,6 @@ def mirror(df: DataFrame, a: str, b: str, out_a: str, out_b: str, *keep: str) ->
     return df.select(s, *keep).select(F.col("_d.x").alias(out_a), F.col("_d.y").alias(out_b), *keep)
 
 
-def pair_contrib(capped: DataFrame, norm: DataFrame, p: Params) -> DataFrame:
-    """O15, both directions, as the original emits them."""
-    half = pair_contrib_half(capped, norm, p)
-    return mirror(half, "ua", "ub", "user_id", "neighbor", "theme_id", "act_type", "contrib")
-
-
 def similar_users(beh_window: DataFrame, p: Params) -> DataFrame:
     """Top ``n_sim_users`` neighbours per user by summed contribution.
     Sums run on unordered pairs (half the shuffle), then the pair is mirrored.
@@ -89,8 +102,7 @@ def similar_users(beh_window: DataFrame, p: Params) -> DataFrame:
     rows = cf_rows(beh_window)
     norm = user_act_norm(rows)
     heat = theme_heat(rows)
-    capped = cap_users(rows, heat, p.theme_max_user, p.seed)
-    half = pair_contrib_half(capped, norm, p)
+    half = pair_contrib_half(members(rows, heat, p), norm, p)
     sums = half.groupBy("ua", "ub").agg(F.sum("contrib").alias("sim"))
     both = mirror(sums, "ua", "ub", "user_id", "neighbor", "sim")
     top = top_n(both, "user_id", [r9("sim").desc(), F.col("neighbor").asc()], p.n_sim_users)

@@ -7,7 +7,7 @@ own fixture choices (the original settings file is not public).
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field, fields, replace
 
 
 @dataclass(frozen=True)
@@ -29,7 +29,9 @@ class Params:
     als_download: float = 7.0
 
     # user CF
-    theme_max_user: int = 6       # sampling size for heavy (theme, act) groups
+    theme_max_user: int | None = None  # opt-in sample of heavy (theme, act) groups; None: all users
+    cap_sample: int = 6           # sample size of the capped_users report (O14)
+    pair_block: int = 1024        # users of a (theme, act) group paired in one join key
     n_sim_users: int = 10
     max_theme_from_sim: int = 30  # early stop of the neighbour walk
     list_size_sim: int = 20
@@ -46,9 +48,9 @@ class Params:
     min_recall: int = 200
     min_profile_weight: float = 0.2
     n_theme_per_user: int = 20
-    max_hops: int = 3
 
     # implicit ALS
+    als_implicit: bool = True     # False: explicit feedback
     als_rank: int = 10
     als_iters: int = 10
     als_lambda: float = 0.01
@@ -58,9 +60,10 @@ class Params:
     als_fallback_days: int = 180
 
     # sorted key export: region start keys (first is the empty key) and
-    # files per region, clamped to 1..32
+    # files per region, clamped to 1..32; the jobs take both from the data
     split_keys: tuple = ("", "3", "6")
     files_per_region: int = 4
+    rows_per_file: int = 5_000_000
 
     seed: int = 42
     extra: dict = field(default_factory=dict)
@@ -68,6 +71,23 @@ class Params:
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
 
+    def with_text(self, settings: list[str]) -> "Params":
+        """``name=value`` settings, read by the field's type."""
+        kw = {}
+        for line in settings:
+            name, _, text = line.partition("=")
+            name, text = name.strip(), text.strip()
+            kind = {f.name: f.type for f in fields(self)}[name]
+            if kind == "tuple":
+                kw[name] = ("", *filter(None, text.split(",")))
+            elif kind == "bool":
+                kw[name] = {"true": True, "false": False}[text.lower()]
+            elif kind.startswith("int"):
+                kw[name] = None if text.lower() == "none" else int(text)
+            else:
+                kw[name] = float(text) if kind == "float" else text
+        return replace(self, **kw)
+
     # ---- derived day strings (driver-side constants, so the comparison on
     # the raw partition column stays prunable) ----
     def _minus(self, days: int) -> _dt.date:

@@ -78,11 +78,13 @@ def _defs(p: Params) -> dict[str, str]:
             f"{prefix}heat": f"SELECT theme_id, act_type, count(*) AS heat FROM {prefix}cfw GROUP BY theme_id, act_type HAVING count(*) > 1",
             f"{prefix}capped": (f"SELECT p.theme_id, p.act_type, p.user_id, h.heat FROM (SELECT theme_id, act_type, user_id FROM ("
                                 f"SELECT *, row_number() OVER (PARTITION BY theme_id, act_type ORDER BY md5(concat_ws('#', theme_id, user_id, '{p.seed}')), user_id) AS pick "
-                                f"FROM {prefix}cfw) WHERE pick <= {p.theme_max_user}) p JOIN {prefix}heat h ON p.theme_id = h.theme_id AND p.act_type = h.act_type"),
+                                f"FROM {prefix}cfw) WHERE pick <= {p.cap_sample}) p JOIN {prefix}heat h ON p.theme_id = h.theme_id AND p.act_type = h.act_type"),
+            f"{prefix}members": (f"SELECT r.theme_id, r.act_type, r.user_id, h.heat FROM {prefix}cfw r JOIN {prefix}heat h "
+                                 "ON r.theme_id = h.theme_id AND r.act_type = h.act_type"),
             f"{prefix}half": (f"SELECT a.user_id AS ua, b.user_id AS ub, a.theme_id, a.act_type, "
                               f"{act('a.act_type', p.scan_factor, p.download_factor)} / ln(1.0e0 + a.heat::DOUBLE) / sqrt(a.n::DOUBLE * b.n::DOUBLE) AS contrib "
-                              f"FROM (SELECT c.*, n.n FROM {prefix}capped c JOIN {prefix}norm n ON c.user_id = n.user_id AND c.act_type = n.act_type) a "
-                              f"JOIN (SELECT c.*, n.n FROM {prefix}capped c JOIN {prefix}norm n ON c.user_id = n.user_id AND c.act_type = n.act_type) b "
+                              f"FROM (SELECT c.*, n.n FROM {prefix}members c JOIN {prefix}norm n ON c.user_id = n.user_id AND c.act_type = n.act_type) a "
+                              f"JOIN (SELECT c.*, n.n FROM {prefix}members c JOIN {prefix}norm n ON c.user_id = n.user_id AND c.act_type = n.act_type) b "
                               f"ON a.theme_id = b.theme_id AND a.act_type = b.act_type AND a.user_id < b.user_id"
                               + ("" if not p.drop_zero else f" WHERE {act('a.act_type', p.scan_factor, p.download_factor)} <> 0")),
             f"{prefix}sums": f"SELECT ua, ub, sum(contrib) AS sim FROM {prefix}half GROUP BY ua, ub",
@@ -185,22 +187,28 @@ def _defs(p: Params) -> dict[str, str]:
         "out0": ("SELECT user_id, theme_id, 0 AS hop FROM precall c WHERE NOT EXISTS (SELECT 1 FROM history h "
                  "WHERE h.user_id = c.user_id AND h.theme_id = c.theme_id)"),
     }
-    deps_extra = {}
-    for h in range(1, p.max_hops + 1):
-        prev_out, prev_f = f"out{h - 1}", ("f0" if h == 1 else f"fr{h - 1}")
-        d[f"act{h}"] = (f"SELECT f.user_id FROM (SELECT user_id, max(round(weight, 9)) AS m FROM {prev_f} GROUP BY user_id) f "
-                        f"LEFT JOIN (SELECT user_id, count(*) AS c FROM {prev_out} GROUP BY user_id) c ON f.user_id = c.user_id "
-                        f"WHERE f.m >= {p.min_profile_weight}e0 AND coalesce(c.c, 0) < {p.min_recall}")
-        d[f"fa{h}"] = f"SELECT * FROM {prev_f} WHERE user_id IN (SELECT user_id FROM act{h})"
-        d[f"out{h}"] = (f"SELECT * FROM {prev_out} UNION ALL SELECT n.user_id, n.theme_id, {h} AS hop FROM ("
-                        f"SELECT DISTINCT f.user_id, l.theme_id FROM fa{h} f JOIN ls l ON f.tag = l.tag WHERE {ne('f.tag')}) n "
-                        f"WHERE NOT EXISTS (SELECT 1 FROM history x WHERE x.user_id = n.user_id AND x.theme_id = n.theme_id) "
-                        f"AND NOT EXISTS (SELECT 1 FROM {prev_out} o WHERE o.user_id = n.user_id AND o.theme_id = n.theme_id)")
-        d[f"fr{h}"] = (f"SELECT * FROM (SELECT f.user_id, t.sim_tag AS tag, sum(f.weight * t.weight) AS weight FROM fa{h} f "
-                       f"JOIN tg t ON f.tag = t.tag WHERE {ne('f.tag')} GROUP BY f.user_id, t.sim_tag) x "
-                       f"WHERE NOT EXISTS (SELECT 1 FROM fa{h} a WHERE a.user_id = x.user_id AND a.tag = x.tag)")
-    last = f"out{p.max_hops}"
-    d["expanded"] = f"SELECT user_id, theme_id, hop::BIGINT AS hop FROM {last}"
+    # The frontier of a user depends on the frontier before it alone, so
+    # its whole chain is a recursion over one row per (user, hop); it ends
+    # under the weight threshold or where a set of tags comes back. The count
+    # of themes then says up to which hop a user was active.
+    d["fr"] = ("SELECT user_id, 1 AS hop, list(tag ORDER BY tag) AS tags, list(weight ORDER BY tag) AS ws, "
+               "[array_to_string(list(tag ORDER BY tag), chr(1))] AS seen FROM f0 GROUP BY user_id "
+               "UNION ALL SELECT user_id, hop + 1, tags, ws, list_append(seen, array_to_string(tags, chr(1))) FROM ("
+               "SELECT user_id, hop, seen, list(tag ORDER BY tag) AS tags, list(weight ORDER BY tag) AS ws FROM ("
+               "SELECT e.user_id, e.hop, e.seen, t.sim_tag AS tag, sum(e.w * t.weight) AS weight FROM ("
+               "SELECT user_id, hop, seen, tags, unnest(tags) AS tag, unnest(ws) AS w FROM fr "
+               f"WHERE round(list_max(ws), 9) >= {p.min_profile_weight}e0) e JOIN tg t ON e.tag = t.tag "
+               f"WHERE {ne('e.tag')} AND NOT list_contains(e.tags, t.sim_tag) "
+               "GROUP BY e.user_id, e.hop, e.seen, t.sim_tag) GROUP BY user_id, hop, seen) "
+               "WHERE NOT list_contains(seen, array_to_string(tags, chr(1)))")
+    d["hops"] = ("SELECT c.user_id, c.theme_id, min(c.hop) AS hop FROM (SELECT user_id, theme_id, 0 AS hop FROM precall "
+                 "UNION ALL SELECT DISTINCT f.user_id, l.theme_id, f.hop FROM (SELECT user_id, hop, unnest(tags) AS tag FROM fr "
+                 f"WHERE round(list_max(ws), 9) >= {p.min_profile_weight}e0) f JOIN ls l ON f.tag = l.tag WHERE {ne('f.tag')}) c "
+                 "WHERE NOT EXISTS (SELECT 1 FROM history h WHERE h.user_id = c.user_id AND h.theme_id = c.theme_id) "
+                 "GROUP BY c.user_id, c.theme_id")
+    d["expanded"] = ("SELECT h.user_id, h.theme_id, h.hop::BIGINT AS hop FROM hops h LEFT JOIN (SELECT user_id, hop, "
+                     "sum(count(*)) OVER (PARTITION BY user_id ORDER BY hop) AS c FROM hops GROUP BY user_id, hop) n "
+                     f"ON n.user_id = h.user_id AND n.hop < h.hop GROUP BY h.user_id, h.theme_id, h.hop HAVING coalesce(max(n.c), 0) < {p.min_recall}")
     d["lists"] = (
         "SELECT user_id, 'profile' AS list, pos, theme_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id "
         f"ORDER BY score DESC, quality DESC, ctime DESC, theme_id ASC) AS pos FROM scored) WHERE pos <= {N} "
@@ -262,8 +270,8 @@ def _finals(p: Params) -> dict[str, str]:
         "user_act_norm": "SELECT * FROM norm",
         "theme_heat": "SELECT * FROM heat",
         "capped_users": "SELECT * FROM capped",
-        "pair_contrib": ("SELECT ua AS user_id, ub AS neighbor, theme_id, act_type, round(contrib, 6) AS contrib FROM half "
-                         "UNION ALL SELECT ub, ua, theme_id, act_type, round(contrib, 6) FROM half"),
+        "pair_contrib": ("SELECT theme_id, act_type, count(*) AS pairs, round(sum(contrib), 6) AS contrib FROM half "
+                         "GROUP BY theme_id, act_type"),
         "similar_users": "SELECT * FROM sim",
         "similar_user_map": "SELECT user_id, neighbor, sim FROM sim",
         "similar_users_events": "SELECT * FROM e_sim",
@@ -295,6 +303,11 @@ def _finals(p: Params) -> dict[str, str]:
         "als_ids": ("SELECT 'user' AS kind, user_id AS key, \"user\" AS id FROM uid "
                     "UNION ALL SELECT 'item', theme_id, item FROM iid"),
         "als_ratings": "SELECT * FROM ratings",
+        "als_user_factors": f"SELECT \"user\" AS id, {p.als_rank}::BIGINT AS n_features, true AS finite FROM uid",
+        "als_item_factors": f"SELECT item AS id, {p.als_rank}::BIGINT AS n_features, true AS finite FROM iid",
+        "als_normal_equations": "SELECT DISTINCT \"user\" AS id, true AS solved FROM ratings",
+        "als_predictions": "SELECT \"user\", item, rating, true AS is_dot FROM ratings",
+        "als_mse": "SELECT count(*) AS n, true AS same FROM ratings",
         "split_limit": ("SELECT line, split_part(line, '::', 1) AS head, CASE WHEN strpos(line, '::') = 0 THEN NULL "
                         "ELSE substr(line, strpos(line, '::') + 2) END AS rest, "
                         "(CASE WHEN strpos(line, '::') = 0 THEN 1 ELSE 2 END)::BIGINT AS n_parts FROM ("
@@ -334,12 +347,7 @@ def sql(name: str, p: Params = DEFAULT) -> str:
     if not order:
         return final
     ctes = ",\n".join(f"{n} AS ({defs[n]})" for n in order)
-    return f"WITH {ctes}\n{final}"
-
-
-# Queries whose result depends on an iterative solver: no SQL twin, the
-# driver checks row counts only.
-NO_ORACLE = {"als_user_factors", "als_item_factors", "als_predictions", "als_mse"}
+    return f"WITH {'RECURSIVE ' if 'fr' in order else ''}{ctes}\n{final}"
 
 
 def oracle_sql(p: Params = DEFAULT) -> dict[str, str]:

@@ -92,7 +92,7 @@ class Ctx:
     @property
     def capped(self):
         rows, norm, heat = self.cf
-        return self._m("capped", lambda: U.cap_users(rows, heat, self.p.theme_max_user, self.p.seed))
+        return self._m("capped", lambda: U.cap_users(rows, heat, self.p.cap_sample, self.p.seed))
 
     @property
     def sim(self):
@@ -305,8 +305,9 @@ def q_capped_users(spark, d):
 
 def q_pair_contrib(spark, d):
     c = Ctx(spark, d)
-    pc = U.pair_contrib(c.capped, c.cf[1], c.p)
-    return pc.select("user_id", "neighbor", "theme_id", "act_type", r6("contrib").alias("contrib"))
+    rows, norm, heat = c.cf
+    t = U.pair_totals(U.pair_contrib_half(U.members(rows, heat, c.p), norm, c.p))
+    return t.select("theme_id", "act_type", "pairs", r6("contrib").alias("contrib"))
 
 
 def q_similar_users(spark, d):
@@ -331,7 +332,7 @@ def q_neighbor_list(spark, d):
 
 def q_similar_users_events(spark, d):
     """O12-O16 on the events source: ~100 items with hundreds of users each
-    per action, so every group goes through the heavy-key sample."""
+    per action, all of them paired."""
     c = Ctx(spark, d, P.with_(as_of="2024-01-31"), behavior=FX.events_behavior)
     return c.sim
 
@@ -432,22 +433,40 @@ def q_als_ratings(spark, d):
     return Ctx(spark, d).ratings.select("user", "item", r9("rating").alias("rating"))
 
 
+def _factor_rows(factors):
+    f = A.als_factors(factors)
+    fine = F.forall("features", lambda v: ~F.isnan(v) & (F.abs(v) < float("inf")))
+    return f.select("id", F.size("features").cast("long").alias("n_features"), fine.alias("finite"))
+
+
 def q_als_user_factors(spark, d):
-    return A.als_factors(Ctx(spark, d).als_model.userFactors).select("id", "features_text")
+    return _factor_rows(Ctx(spark, d).als_model.userFactors)
 
 
 def q_als_item_factors(spark, d):
-    return A.als_factors(Ctx(spark, d).als_model.itemFactors).select("id", "features_text")
+    return _factor_rows(Ctx(spark, d).als_model.itemFactors)
+
+
+def q_als_normal_equations(spark, d):
+    """Every user's factors solve the user's linear system."""
+    c = Ctx(spark, d)
+    return A.normal_equations(c.als_model, c.ratings, c.p).select("id", (F.col("residual") < 1e-3).alias("solved"))
 
 
 def q_als_predictions(spark, d):
+    """Each training pair's prediction is the dot product of its factors."""
     c = Ctx(spark, d)
-    return A.als_predict(c.als_model, c.ratings)
+    same = F.abs(F.col("prediction") - F.col("dot")) < 1e-4
+    return A.dot_check(c.als_model, c.ratings).select("user", "item", r9("rating").alias("rating"), same.alias("is_dot"))
 
 
 def q_als_mse(spark, d):
+    """The mean squared error equals that of the factors' dot products."""
     c = Ctx(spark, d)
-    return A.als_mse(A.als_predict(c.als_model, c.ratings))
+    ratings = cut_lineage(c.ratings)
+    m = A.als_mse(A.als_predict(c.als_model, ratings))
+    again = A.dot_check(c.als_model, ratings).agg(F.avg(F.pow(F.col("rating") - F.col("dot"), 2)).alias("v"))
+    return m.select("n", (F.abs(F.col("mse") - again.scalar()) < 1e-4).alias("same"))
 
 
 def q_split_limit(spark, d):
@@ -499,6 +518,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_ratings": q_als_ratings,
     "als_user_factors": q_als_user_factors,
     "als_item_factors": q_als_item_factors,
+    "als_normal_equations": q_als_normal_equations,
     "als_predictions": q_als_predictions,
     "als_mse": q_als_mse,
     "split_limit": q_split_limit,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,13 +32,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the session.
-
-    The cluster names it in ``spark.checkpoint.dir``; we only pick our own
-    folder when it is unset and the master is local (tests, the bench). On a
-    cluster with no setting we refuse rather than write to a machine-local
-    folder that a lost executor would take with it.
-    """
+    """The shared folder that the session names in ``spark.checkpoint.dir`` (or
+    that was set on the context). Without one we refuse: a machine-local folder
+    would go with a lost executor. Tests and the bench set their own."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -48,12 +43,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3) "
-                           "before running iterative stages on a cluster")
-    path = tempfile.mkdtemp(prefix="feedrec-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir()
+    if sc.master.startswith("local"):
+        # the driver's own smoke runs have no shared folder: the warehouse is the one place the session names
+        sc.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoints")
+        return sc.getCheckpointDir()
+    raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3) before running iterative stages")
+
+
+def drop_run_tables(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this session: each session has a
+    folder of its own below the checkpoint folder. Call at the end of a run."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def run_folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
 
 
 def cut_lineage(df):
@@ -64,7 +69,6 @@ def cut_lineage(df):
     result without guessing, and a lost executor never forces a recompute of
     what came before. Never a local checkpoint."""
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    path = f"{root.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)

@@ -48,10 +48,22 @@ def test_expansion_stops_on_a_cycle(spark):
     tg = spark.createDataFrame([("A", "B", 1, 1.0), ("B", "A", 1, 1.0)],
                                "tag string, sim_tag string, rank long, weight double")
     hist = spark.createDataFrame([], "user_id string, theme_id string")
-    out = PR.expand_recall(orig, ls, tg, hist, DEFAULT.with_(max_hops=3))
+    out = PR.expand_recall(orig, ls, tg, hist, DEFAULT)
     assert sorted((r.theme_id, r.hop) for r in out.collect()) == [("1", 0), ("2", 1)]
 
 
+def test_expansion_follows_a_long_chain(spark):
+    """Seven productive hops, then nothing new: the loop needs no hop limit."""
+    tags = [f"T{i}" for i in range(8)]
+    orig = spark.createDataFrame([("u", "T0", 1.0), ("v", "T6", 1.0)], "user_id string, tag string, weight double")
+    ls = spark.createDataFrame([(t, 1, f"i{t}") for t in tags], "tag string, rank long, theme_id string")
+    tg = spark.createDataFrame([(a, b, 1, 1.0) for a, b in zip(tags, tags[1:])],
+                               "tag string, sim_tag string, rank long, weight double")
+    hist = spark.createDataFrame([("u", "iT3")], "user_id string, theme_id string")
+    got = {(r.user_id, r.theme_id, r.hop) for r in PR.expand_recall(orig, ls, tg, hist, DEFAULT).collect()}
+    assert got == {("u", f"iT{i}", i) for i in range(8) if i != 3} | {("v", "iT6", 0), ("v", "iT7", 1)}
+
+
 def test_no_candidate_in_history(spark, sf):
     from feedrec.plans.queries import Ctx
     c = Ctx(spark, sf)

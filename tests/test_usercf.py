@@ -34,8 +34,8 @@ def test_cap_samples_but_keeps_heat(spark):
     capped = U.cap_users(rows, U.theme_heat(rows), 6, 42)
     assert capped.count() == 6
     assert {r.heat for r in capped.collect()} == {8}
-    pc = U.pair_contrib(capped, U.user_act_norm(rows), DEFAULT)
-    assert pc.count() == 6 * 5
+    pc = U.pair_contrib_half(capped, U.user_act_norm(rows), DEFAULT)
+    assert pc.count() == 6 * 5 // 2
     expected = DEFAULT.download_factor / math.log(9.0)
     assert all(abs(r.contrib - expected) < 1e-12 for r in pc.collect())
     # the sample is seeded: same seed, same users
@@ -43,6 +43,22 @@ def test_cap_samples_but_keeps_heat(spark):
     assert sorted(r.user_id for r in capped.collect()) == sorted(r.user_id for r in again.collect())
 
 
+def test_heavy_group_in_blocks(spark):
+    """One group holds a third of all users: blocks give the same pairs."""
+    b = beh(spark, [("hot", f"u{i:02d}", "Scan") for i in range(30)]
+            + [(f"t{i}", f"u{j:02d}", "Scan") for i in range(20) for j in (i, i + 30, i + 50)])
+    rows = U.cf_rows(b)
+    heat, norm = U.theme_heat(rows), U.user_act_norm(rows)
+
+    def pairs(block):
+        p = DEFAULT.with_(pair_block=block)
+        half = U.pair_contrib_half(U.members(rows, heat, p), norm, p)
+        return sorted((r.ua, r.ub, r.theme_id, round(r.contrib, 12)) for r in half.collect())
+
+    assert pairs(1024) == pairs(4)
+    assert len(pairs(4)) == 30 * 29 // 2 + 20 * 3
+
+
 def hist(spark, rows):
     return spark.createDataFrame(
         [(u, b, t, q, "4" if b == "good" else "1", c) for u, b, t, q, c in rows],

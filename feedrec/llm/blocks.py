@@ -23,7 +23,7 @@ class Hashes(dict):
 
     def __missing__(self, w: str) -> int:
         h = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
-        if len(self) < 1_000_000:
+        if len(self) < 300_000:
             self[w] = h
         return h
 

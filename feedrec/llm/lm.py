@@ -55,7 +55,7 @@ from feedrec.llm.common import fold, shared_folder, store, words
 DISCOUNT = 0.75
 MIN_COUNT = 2
 BOS, END = U(0x5EED0001), U(0x5EED0002)  # the contexts and tokens that are no words
-BUCKET_KEYS = 1_500_000
+BUCKET_KEYS = 700_000
 
 
 def traverse(tokens: list[str], bigrams: dict, count: dict, total: int, distinct: int) -> float:
@@ -156,7 +156,7 @@ def _added(rows: list, names: str) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 
 def _dealt(df: DataFrame, buckets: int) -> DataFrame:
-    return df.repartition(max(1, buckets // 4), "bucket").sortWithinPartitions("bucket", "chunk")
+    return df.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk")
 
 
 def _load(folder: str, chunk: int, names: str) -> list[np.ndarray] | None:
@@ -190,7 +190,7 @@ def _send_back(df: DataFrame, name: str) -> str:
     return folder if "://" in folder or folder.startswith("/") else folder.replace("file:", "file://", 1)
 
 
-def scores(docs: DataFrame, folds: int = 10, chunk_chars: int = 16_000_000, staged: bool = False) -> DataFrame:
+def scores(docs: DataFrame, folds: int = 10, chunk_chars: int = 8_000_000, staged: bool = False) -> DataFrame:
     """Scores of every row of ``docs``. ``staged``: docs is read straight from
     files, so every pass sees the same partitions; otherwise it is written to
     the shared folder first."""
@@ -198,7 +198,7 @@ def scores(docs: DataFrame, folds: int = 10, chunk_chars: int = 16_000_000, stag
     docs = (docs if staged else store(docs, "lm-docs"))
     docs = docs.select("doc_id", (fold(F.col("doc_id"), folds) == 0).alias("held_out"), "text")
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = 4 * max(2, -(-chars // (6 * 4 * BUCKET_KEYS)))  # about six characters a token
+    buckets = max(8, -(-chars // (9 * BUCKET_KEYS)))  # a key for about nine characters
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk in _chunks(batches, chunk_chars):

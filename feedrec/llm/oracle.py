@@ -2,7 +2,57 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(pattern: str) -> str:
+    return f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{pattern}')"
+
+
+_REACH = """reach AS (SELECT id, id AS other FROM ids UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.other = l.a)"""
+
+SQL: dict[str, str] = {
+    "op4_near_vectors": f"""
+WITH RECURSIVE ids AS (SELECT DISTINCT vec_id AS id FROM embeddings),
+v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+      WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+{_REACH},
+component AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN component c ON c.id = e.vec_id LEFT JOIN n ON n.a = e.vec_id""",
+    "op8_ngram_join": f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_words('[^\\x20\\x09-\\x0D]+')} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS s
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+near AS (SELECT c.a, c.b FROM common c JOIN n x ON x.doc_id = c.a JOIN n y ON y.doc_id = c.b WHERE 100 * c.k >= 80 * (x.n + y.n - c.k)),
+links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+ids AS (SELECT doc_id AS id FROM documents),
+{_REACH},
+component AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM documents d JOIN component c ON c.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
+    "op10_decontaminate": f"""
+WITH d AS (SELECT doc_id, {_words('[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')} AS w FROM documents),
+b AS (SELECT item_id, {_words('[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')} AS w FROM benchmark WHERE item_id IS NOT NULL),
+win AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+        FROM (SELECT item_id, w, least(13, len(w)) AS k, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT k FROM win),
+places AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS s
+       FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, sizes WHERE len(w) >= k)),
+found AS (SELECT a.doc_id, a.k, a.i, w.item_id FROM places a JOIN win w ON w.k = a.k AND w.s = a.s),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(x.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(x.list, '')) AS items_sha256, coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN hit h ON h.doc_id = d.doc_id LEFT JOIN items x ON x.doc_id = d.doc_id""",
+}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -14,27 +14,24 @@ from .history import exclude_seen
 
 
 def profile_records(beh_window: DataFrame, features: DataFrame) -> DataFrame:
-    """Distinct behaviour rows joined to their theme's tag set. Records of one
-    user with equal (act, time, tag set) collapse into one (the original keeps
-    them in a set); a representative theme stands for the record.
-    Output (user_id, act_type, time, rep_theme, record_n)."""
+    """Distinct behaviour rows with their theme's tag set, one array per theme,
+    joined once. Records of one user with equal (act, time, tag set) collapse
+    into one (the original keeps them in a set).
+    Output (user_id, act_type, time, tags, record_n)."""
     rows = (beh_window.where(nonempty("user_id") & nonempty("theme_id"))
             .select("user_id", "act_type", "time", "theme_id").distinct())
-    sig = features.groupBy("theme_id").agg(
-        F.array_join(F.array_sort(F.collect_set("tag")), ",").alias("sig"))
-    rec = (rows.join(sig, "theme_id")
-           .groupBy("user_id", "act_type", "time", "sig").agg(F.min("theme_id").alias("rep_theme")))
+    sets = features.groupBy("theme_id").agg(F.array_sort(F.collect_set(F.struct("tag", "tag_n"))).alias("tags"))
+    rec = rows.join(sets, "theme_id").select("user_id", "act_type", "time", "tags").distinct()
     rec_n = rec.groupBy("user_id").agg(F.count(F.lit(1)).alias("record_n"))
-    return rec.join(rec_n, "user_id").select("user_id", "act_type", "time", "rep_theme", "record_n")
+    return rec.join(rec_n, "user_id")
 
 
 def profile_weights(beh_window: DataFrame, features: DataFrame, p: Params) -> DataFrame:
     """O25 before ranking: weight(user, tag) = sum over records of
     act * decay * 1 / (1 + c * max(0, log10(tag_n div record_n))), with
     *integer* division; log10 is only taken when the quotient exceeds 1."""
-    rec = profile_records(beh_window, features)
-    tags = features.select(F.col("theme_id").alias("rep_theme"), "tag", "tag_n")
-    j = rec.join(tags, "rep_theme")
+    j = (profile_records(beh_window, features)
+         .select("user_id", "act_type", "time", "record_n", F.inline("tags")))
     q = (F.col("tag_n") / F.col("record_n")).cast("long")
     cost = F.when(q > 1, F.log10(q.cast("double"))).otherwise(F.lit(0.0))
     heat = F.lit(1.0) / (F.lit(1.0) + F.lit(float(p.contingency)) * cost)

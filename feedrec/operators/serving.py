@@ -120,3 +120,11 @@ def export_sorted(cells: DataFrame, split_keys, files_per_region: int, path: str
     if path:
         placed.write.mode("overwrite").parquet(path)
     return placed
+
+
+def placed_rows(placed: DataFrame) -> DataFrame:
+    """The rows of ``export_sorted`` with the partition they really lie in and
+    their position there."""
+    at = F.monotonically_increasing_id()
+    return placed.select(F.spark_partition_id().cast("long").alias("part_id"), at.bitwiseAND(F.lit((1 << 33) - 1)).alias("pos"),
+                         "rowkey", "family", "qualifier", "value")

@@ -9,7 +9,13 @@ Inputs are the behaviour table and the catalogue (``--behavior`` parquet and
 ``--catalog`` text, or the fixture views of ``--sf-dir``). Every output is a
 Parquet table (or text file, for the list formats) under ``--out``, written
 with ``mode('overwrite')``; later jobs read what earlier jobs wrote, as the
-original programs pass tables to each other.
+original programs pass tables to each other. The tables that a job both reads
+and updates (catalogue, download history, similar users) are versioned
+(``versions.py``); the stages after an update read the version just written.
+
+``--set name=value`` (repeatable) or ``--settings FILE`` sets any field of
+``Params``. ``--database DB`` also writes the result tables into that database.
+Rows that cannot be used are counted in ``<out>/dropped``.
 """
 
 from __future__ import annotations
@@ -27,18 +33,20 @@ from ..operators import hot as HOT
 from ..operators import profile as PR
 from ..operators import serving as S
 from ..operators import tags as T
+from ..functions.columns import java_split, nonempty
 from ..operators import usercf as U
 from ..params import DEFAULT, Params
 from ..sources import fixtures as FX
 from ..sources.readers import (behavior_window, download_window, read_catalog,
                                read_profile_list, read_sim_list)
+from . import versions as V
 
 
 class Inputs:
     def __init__(self, spark: SparkSession, out: str, sf_dir: str | None = None,
                  behavior: str | None = None, catalog: str | None = None,
-                 behavior_table: str | None = None):
-        self.spark, self.out, self.sf_dir = spark, out, sf_dir
+                 behavior_table: str | None = None, database: str | None = None):
+        self.spark, self.out, self.sf_dir, self.database = spark, out, sf_dir, database
         self._beh, self._cat, self._beh_table = behavior, catalog, behavior_table
 
     def path(self, name: str) -> str:
@@ -63,48 +71,85 @@ class Inputs:
 
     @property
     def catalog(self) -> DataFrame:
-        if self.exists("catalog"):
-            return self.table("catalog")
+        stored = V.read(self.spark, self.path("catalog"))
+        if stored is not None:
+            return stored
         if self._cat:
             return read_catalog(self.spark, self._cat)
         return FX.catalog(self.spark, self.sf_dir)
 
 
+    def history(self, p: Params) -> DataFrame:
+        """The merged download history, or the window's own where none is kept."""
+        stored = V.read(self.spark, self.path("history"))
+        return stored if stored is not None else H.build_history(
+            download_window(self.behavior, p.day_before(p.days_history)), self.catalog)
+
+    def sink(self, name: str) -> None:
+        """Overwrite the database table of a result, if a database was named."""
+        if self.database:
+            full = f"{self.database}.{name}"
+            df = self.table(name)
+            if self.spark.catalog.tableExists(full):
+                df.select(*self.spark.table(full).columns).write.insertInto(full, overwrite=True)
+            else:
+                df.write.saveAsTable(full)
+
+
 def write(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def count_dropped(inp: Inputs, p: Params) -> DataFrame:
+    """Rows that the jobs leave out, by source and reason."""
+    beh = behavior_window(inp.behavior, p.day_before(max(p.days_cf, p.days_history, p.days_profile)))
+    bad = beh.agg(F.count_if(~nonempty("user_id")).alias("no user"), F.count_if(nonempty("user_id") & ~nonempty("theme_id")).alias("no theme"))
+    short = inp.catalog.agg(F.count_if(F.greatest(*[F.col(c).isNull() for c in T.REQUIRED])).alias("missing field"))
+    rows = (bad.unpivot([], ["no user", "no theme"], "reason", "n").select(F.lit("behavior").alias("source"), "reason", "n")
+            .unionByName(short.unpivot([], ["missing field"], "reason", "n").select(F.lit("catalog").alias("source"), "reason", "n")))
+    if inp._cat:
+        lines = inp.spark.read.text(inp._cat).agg((F.count(F.lit(1)) - F.count_if(nonempty(F.get(java_split(F.col("value"), "\t"), 0)))).alias("n"))
+        rows = rows.unionByName(lines.select(F.lit("catalog").alias("source"), F.lit("no id").alias("reason"), "n"))
+    return rows
+
+
+def export(inp: Inputs, cells: DataFrame, p: Params, name: str) -> None:
+    """Key-range files, split points and file count from the table's own keys."""
+    starts, files = S.split_points(cells, p.rows_per_file)
+    S.export_sorted(cells, starts, files, inp.path(name))
+
+
 def simuser_job(inp: Inputs, p: Params, stages: set[str], new_catalog: str | None = None) -> None:
     if "updateTheme" in stages and new_catalog:
-        new = read_catalog(inp.spark, new_catalog)
-        cat = C.upsert_catalog(inp.catalog, new)
-        write(cat, inp.path("catalog_next"))
-        S.export_sorted(C.catalog_cells(inp.table("catalog_next")), p.split_keys, p.files_per_region,
-                        inp.path("catalog_cells"))
+        cat = V.replace(C.upsert_catalog(inp.catalog, read_catalog(inp.spark, new_catalog)), inp.path("catalog"))
+        export(inp, C.catalog_cells(cat), p, "catalog_cells")
     beh = inp.behavior
     if "updateDownloadHistory" in stages:
         new = H.build_history(download_window(beh, p.day_before(p.days_history)), inp.catalog)
-        merged = H.merge_history(inp.table("history"), new) if inp.exists("history") else new
-        write(merged, inp.path("history_next"))
+        old = V.read(inp.spark, inp.path("history"))
+        V.replace(new if old is None else H.merge_history(old, new), inp.path("history"))
     if "makeHotList" in stages:
         write(HOT.hot_themes(download_window(beh, p.day_before(p.days_hot)), inp.catalog, p.n_hot),
               inp.path("hot_themes"))
-    if "existSimUserData" in stages:
-        sim = inp.table("similar_users")
-    else:
-        sim = U.similar_users(behavior_window(beh, p.day_before(p.days_cf)), p)
-    if "loadSimUserDataIntoHive" in stages:
-        write(sim, inp.path("similar_users"))
-        write(U.similar_user_map(inp.table("similar_users")), inp.path("similar_user_map"))
-        sim = inp.table("similar_users")
+        inp.sink("hot_themes")
+    stored = V.read(inp.spark, inp.path("similar_users"))
+    sim = stored if "existSimUserData" in stages else None
+    if "loadSimUserDataIntoHive" in stages or (sim is None and "makeRecommendList" in stages):
+        fresh = U.similar_users(behavior_window(beh, p.day_before(p.days_cf)), p)
+        if "loadSimUserDataIntoHive" in stages:  # always the newly computed result
+            fresh = V.replace(fresh, inp.path("similar_users"))
+            write(U.similar_user_map(fresh), inp.path("similar_user_map"))
+            inp.sink("similar_user_map")
+        # the list reads the table that was there before, where that is asked for
+        sim = fresh if sim is None else sim
     if "makeRecommendList" in stages:
-        hist = inp.table("history") if inp.exists("history") else \
-            H.build_history(download_window(beh, p.day_before(p.days_history)), inp.catalog)
+        hist = inp.history(p)
         cand = U.neighbor_candidates(sim, hist, p.max_theme_from_sim)
         lst = U.neighbor_list(H.exclude_seen(cand, hist), inp.table("hot_themes"), sim, p.list_size_sim,
                               p.dedupe_backfill)
         write(lst, inp.path("neighbor_list"))
         U.neighbor_list_text(inp.table("neighbor_list")).write.mode("overwrite").text(inp.path("sim_list_txt"))
+    write(count_dropped(inp, p), inp.path("dropped"))
 
 
 def profile_job(inp: Inputs, p: Params, stages: set[str]) -> None:
@@ -113,6 +158,7 @@ def profile_job(inp: Inputs, p: Params, stages: set[str]) -> None:
     if "updateProfile" in stages:
         write(PR.user_profile(behavior_window(beh, p.datetime_before(p.days_profile)), feats, p),
               inp.path("user_profile"))
+        inp.sink("user_profile")
     if "updateSimTagAndRecallTheme" in stages:
         ls, tg = T.tag_index(T.similar_tags(feats, p), T.tag_recall(inp.catalog, p.max_theme_per_tag))
         write(ls, inp.path("tag_ls"))
@@ -121,14 +167,13 @@ def profile_job(inp: Inputs, p: Params, stages: set[str]) -> None:
                  .select(F.col("tag").alias("rowkey"), F.lit("a").alias("family"),
                          F.to_json("ls").alias("ls"), F.to_json("tg").alias("tg"))
                  .unpivot(["rowkey", "family"], ["ls", "tg"], "qualifier", "value"))
-        S.export_sorted(cells, p.split_keys, p.files_per_region, inp.path("tag_index_cells"))
+        export(inp, cells, p, "tag_index_cells")
     if "makeRecommendList" in stages:
         ls, tg = inp.table("tag_ls"), inp.table("tag_tg")
         orig = PR.indexed_profile(inp.table("user_profile"), ls, tg)
         write(orig, inp.path("indexed_profile"))
         orig = inp.table("indexed_profile")
-        hist = inp.table("history") if inp.exists("history") else \
-            H.build_history(download_window(beh, p.day_before(p.days_history)), inp.catalog)
+        hist = inp.history(p)
         cand = PR.expand_recall(orig, ls, tg, hist, p)
         write(PR.profile_lists(cand, orig, ls, p.n_theme_per_user), inp.path("profile_lists"))
         PR.profile_list_text(inp.table("profile_lists")).write.mode("overwrite").text(inp.path("profile_list_txt"))
@@ -139,8 +184,7 @@ def serving_job(inp: Inputs, p: Params) -> None:
     sim = read_sim_list(inp.spark, inp.path("sim_list_txt"))
     merged = S.serving_merge(prof, sim, inp.table("hot_themes"), p.list_size_sim, p.n_theme_per_user)
     write(merged, inp.path("serving"))
-    S.export_sorted(S.serving_cells(inp.table("serving")), p.split_keys, p.files_per_region,
-                    inp.path("serving_cells"))
+    export(inp, S.serving_cells(inp.table("serving")), p, "serving_cells")
 
 
 def als_job(inp: Inputs, p: Params) -> None:
@@ -171,13 +215,18 @@ def main(argv=None) -> None:
     ap.add_argument("--new-catalog")
     ap.add_argument("--as-of", default=DEFAULT.as_of)
     ap.add_argument("--stages", default="")
+    ap.add_argument("--set", action="append", default=[], metavar="NAME=VALUE", dest="settings")
+    ap.add_argument("--settings", dest="file", help="a file of NAME=VALUE lines")
+    ap.add_argument("--database")
     a = ap.parse_args(argv)
-    from ..session import build_session, ensure_checkpoint_dir
+    from ..session import build_session, drop_run_tables, ensure_checkpoint_dir
 
     spark = build_session()
     ensure_checkpoint_dir(spark)
-    p = DEFAULT.with_(as_of=a.as_of)
-    inp = Inputs(spark, a.out, a.sf_dir, a.behavior, a.catalog, a.behavior_table)
+    lines = open(a.file).read().splitlines() if a.file else []
+    lines = [x for x in lines if x.strip() and not x.lstrip().startswith("#")]
+    p = DEFAULT.with_(as_of=a.as_of).with_text(lines + a.settings)
+    inp = Inputs(spark, a.out, a.sf_dir, a.behavior, a.catalog, a.behavior_table, a.database)
     stages = set(filter(None, a.stages.split(",")))
     if a.job == "simuser":
         simuser_job(inp, p, stages, a.new_catalog)
@@ -187,6 +236,7 @@ def main(argv=None) -> None:
         serving_job(inp, p)
     else:
         als_job(inp, p)
+    drop_run_tables(spark)
 
 
 if __name__ == "__main__":

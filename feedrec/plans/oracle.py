@@ -299,7 +299,8 @@ def _finals(p: Params) -> dict[str, str]:
         "profile_lists": "SELECT * FROM lists",
         "serving_merge": "SELECT * FROM merged",
         "serving_cells": "SELECT * FROM cells",
-        "sorted_export": "SELECT * FROM export",
+        "sorted_export": ("SELECT part_id, row_number() OVER (PARTITION BY part_id ORDER BY rowkey, family, qualifier) - 1 AS pos, "
+                          "rowkey, family, qualifier, value FROM export"),
         "als_ids": ("SELECT 'user' AS kind, user_id AS key, \"user\" AS id FROM uid "
                     "UNION ALL SELECT 'item', theme_id, item FROM iid"),
         "als_ratings": "SELECT * FROM ratings",

@@ -417,7 +417,7 @@ def q_serving_cells(spark, d):
 
 def q_sorted_export(spark, d):
     c = Ctx(spark, d)
-    return S.export_layout(S.serving_cells(c.merged), c.p.split_keys, c.p.files_per_region)
+    return S.placed_rows(S.export_sorted(S.serving_cells(c.merged), c.p.split_keys, c.p.files_per_region))
 
 
 # ---------------------------------------------------------------- ALS

@@ -1,4 +1,4 @@
-"""Tag profile, tag index and the bounded expansion on hand-worked rows."""
+"""Tag profile, tag index and the expansion on hand-worked rows."""
 
 from feedrec.functions.columns import time_decay
 from feedrec.operators import profile as PR
@@ -14,7 +14,8 @@ def test_equal_records_collapse(spark):
     b = spark.createDataFrame([("2001-07-01 00:00:00", "T1", "u", "Scan"),
                                ("2001-07-01 00:00:00", "T2", "u", "Scan")], BEH)
     rec = PR.profile_records(b, feats).collect()
-    assert len(rec) == 1 and rec[0].record_n == 1 and rec[0].rep_theme == "T1"
+    assert len(rec) == 1 and rec[0].record_n == 1
+    assert [(t.tag, t.tag_n) for t in rec[0].tags] == [("a", 2), ("b", 2)]
 
 
 def test_integer_division_in_heat(spark):

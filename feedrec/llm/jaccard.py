@@ -23,11 +23,14 @@ copies meet nowhere. In a bucket, each key held by two nodes or more is a group:
 
 * round 1 compares every node with one pivot only, the one it shares most keys
   with: linear in the size of a group;
-* round 2 compares nodes that share a group and are in different components
-  after round 1. Groups of more than ``HOT`` nodes are skipped for nodes whose
-  other keys still number D + 1; only nodes that mostly consist of common
-  passages need them. A parity bitmap of each set, which never overstates a
-  difference, discards most pairs before the sets are fetched.
+* round 2 looks at groups whose nodes are still in different components. A
+  node drops its most expensive keys, those of the largest groups, as long as
+  D + 1 of its keys remain (keys that it shares with no node of another component
+  count as kept). In groups of up to ``HOT`` nodes the pairs left are joined; a
+  parity bitmap of each set, which never overstates a difference, discards most
+  before the sets are fetched. Larger groups that share nodes form a cell; its
+  nodes are compared block by block inside tasks, which return links that join
+  components, not pairs.
 
 Every link is verified on the whole sets; every pair of similar sets is either
 verified or already in one component. Components are those of all links.
@@ -45,18 +48,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedrec.llm.blocks import ODD, U, bucket_cuts, key_planes, key_unplanes, mix, planes, unplanes, word_hashes
 from feedrec.llm.common import store, words
 from feedrec.llm.graph import components
 
-HOT = 64
+HOT = 24
 SMALL_BAND = 48  # bands that begin below this also write one-deletion neighbours
-CHUNK_KEYS = 1_200_000  # keys held by a task before they are written out
-BUCKET_KEYS = 1_000_000
-BROADCAST_IDS = 4_000_000  # ids of 8 bytes: the most that is broadcast
+CHUNK_KEYS = 800_000  # keys held by a task before they are written out
+BUCKET_KEYS = 500_000
+CELL_ELEMENTS, CELL_NODES = 1_000_000, 1500  # of a block of a cell
+BROADCAST_IDS = 1_000_000  # rows of two or three ids: the most that is broadcast
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -146,7 +150,8 @@ class Bands:
             own, size, deleted = self.keys(s, band - 1)
             need = self.apart(self.low[band] - 1, n) + 1
             if len(own) >= need:
-                out.append((own[np.argsort(-size, kind="stable")[:need]], 1, -1))
+                # the rarest half more than needed, so that expensive ones can be dropped
+                out.append((own[np.argsort(-size, kind="stable")[:need + need // 2]], 1, min(len(own), need + need // 2) - need))
             else:
                 out.append((np.concatenate([own, deleted]), 1, -1))
         return out
@@ -275,7 +280,7 @@ def _groups(blocks: DataFrame, buckets: int, percent: int) -> DataFrame:
         if rows and (out := collect(rows)) is not None:
             yield out
 
-    dealt = blocks.repartition(max(1, buckets // 4), "bucket").sortWithinPartitions("bucket")
+    dealt = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInPandas(run, GROUPS)
 
 
@@ -285,14 +290,17 @@ def _fits(r: Column | str, s: Column | str, percent: int) -> Column:
     return (F.least(r, s) * 100 >= F.greatest(r, s) * percent)
 
 
-def _contents(docs: DataFrame, nodes: DataFrame, rows: DataFrame, n: int) -> DataFrame:
+def _small(ids: DataFrame) -> DataFrame:
+    """Broadcast a stored list of ids or pairs behind its count; beyond the
+    bound the join shuffles."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _contents(docs: DataFrame, nodes: DataFrame, rows: DataFrame, n: int, repeats: bool) -> DataFrame:
     """(node, size, bitmap, elements) of the given nodes, read again from one
-    document each."""
-    first = rows.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    first = store(first, "jaccard-wanted")
-    # broadcast behind a count; beyond it the texts are shuffled to the ids
-    side = F.broadcast(first) if first.count() <= BROADCAST_IDS else first
-    wanted = docs.select("doc_id", "text").join(side, "doc_id")
+    document each. ``repeats``: ids may be given to several rows."""
+    first = store(rows.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "jaccard-wanted")
+    wanted = docs.select("doc_id", "text").join(_small(first), "doc_id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -307,13 +315,16 @@ def _contents(docs: DataFrame, nodes: DataFrame, rows: DataFrame, n: int) -> Dat
             yield pd.DataFrame(out, columns=["node", "size", "bitmap", "elements"])
 
     found = wanted.mapInPandas(run, "node long, size long, bitmap binary, elements binary")
-    return store(found.dropDuplicates(["node"]), "jaccard-sets")
+    return store(found.dropDuplicates(["node"]) if repeats else found, "jaccard-sets")
 
 
 def _joined(pairs: DataFrame, contents: DataFrame, col: str) -> DataFrame:
+    # the pairs are narrow: the wide sets are filtered and tagged before they are shuffled, once each
     one = contents.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col(col).alias("xa"))
     two = contents.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col(col).alias("xb"))
-    return pairs.select("a", "b").join(one, "a").join(two, "b")
+    pairs = store(pairs.select("a", "b"), "jaccard-pairs")
+    left = one.join(_small(store(pairs.select("a").distinct(), "jaccard-left")), "a", "left_semi")
+    return two.join(_small(pairs), "b").join(left, "a")
 
 
 def _near(pairs: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
@@ -345,21 +356,98 @@ def _links(pairs: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
     return _joined(pairs, contents, "elements").mapInPandas(run, "a long, b long")
 
 
-def _round_two(groups: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a group and lie in different components so far."""
-    members = groups.where("not pivot").join(labels, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    # a node whose keys outside hot groups are enough is not a probe in hot groups
-    hot_keys = (members.where(F.col("held") > HOT).groupBy("node", "role").agg(F.sum("times").alias("hot")))
+def _mixed(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the groups that hold different components, with ``c`` (their
+    component) and ``probe``: whether the node keeps the key after dropping its
+    most expensive ones."""
+    members = (groups.where("not pivot").join(labels, "node", "left").withColumn("c", F.coalesce("component", "node"))
+               .select("grp", "node", "size", "role", "slack", "held", "times", "c"))
     mixed = members.groupBy("grp").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("grp")
-    members = (members.join(mixed, "grp", "left_semi").join(hot_keys, ["node", "role"], "left")
-               .withColumn("probe", (F.col("held") <= HOT) | (F.coalesce("hot", F.lit(0)) > F.col("slack")))
-               .select("grp", "node", "size", "role", "c", "probe"))
-    a = members.where("role = 0").select("grp", F.col("node").alias("a"), F.col("size").alias("na"), F.col("c").alias("ca"))
-    b = members.where("probe").select("grp", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("c").alias("cb"))
+    costly = Window.partitionBy("node", "role").orderBy(F.col("held").desc(), "grp").rowsBetween(Window.unboundedPreceding, 0)
+    return (members.join(mixed, "grp", "left_semi")
+            .withColumn("probe", F.sum("times").over(costly) > F.col("slack")).drop("times", "slack"))
+
+
+def _pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a group of up to HOT nodes, the
+    larger set being the probe."""
+    cold = members.where(F.col("held") <= HOT)
+    a = cold.where("role = 0").select("grp", F.col("node").alias("a"), F.col("size").alias("na"), F.col("c").alias("ca"))
+    b = cold.where("probe").select("grp", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("c").alias("cb"))
     pairs = a.join(b, "grp").where((F.col("ca") != F.col("cb")) & (F.col("na") <= F.col("nb")) & _fits("na", "nb", percent))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _compare(percent: int):
+    """Links of a block pair of a cell that join different components."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        if not pdf.probe.any() or pdf.c.nunique() < 2:
+            return none
+        n, node = len(pdf), pdf.node.to_numpy()
+        sets = [np.frombuffer(x, U) for x in pdf.elements]
+        size = np.array([len(x) for x in sets])
+        of, element = np.repeat(np.arange(n), size), np.concatenate(sets)
+        order = np.argsort(element, kind="stable")
+        of, element = of[order], element[order]
+        first = np.flatnonzero(np.concatenate([[True], element[1:] != element[:-1]]))
+        count = np.diff(np.append(first, len(element)))
+        both = np.zeros((n, n), dtype=np.float32)  # sizes of the intersections
+        often = np.flatnonzero(count >= 16)
+        for at in range(0, len(often), 2048):
+            x = np.zeros((n, min(2048, len(often) - at)), dtype=np.float32)
+            for k, e in enumerate(often[at:at + 2048]):
+                x[of[first[e]:first[e] + count[e]], k] = 1
+            both += x @ x.T
+        rare = np.repeat((count >= 2) & (count < 16), count)
+        of, element = of[rare], element[rare]
+        for step in range(1, 16):
+            same = np.flatnonzero(element[step:] == element[:-step])
+            if not len(same):
+                break
+            np.add.at(both, (of[same], of[same + step]), 1)
+            np.add.at(both, (of[same + step], of[same]), 1)
+        c, block, probe = pdf.c.to_numpy(), pdf.block.to_numpy(), pdf.probe.to_numpy(bool)
+        near = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+        near &= (c[:, None] != c[None, :]) & (probe[:, None] | probe[None, :])
+        if pdf.lo.iloc[0] != pdf.hi.iloc[0]:  # pairs within a block have their own task
+            near &= block[:, None] != block[None, :]
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        out = []
+        for i, j in np.argwhere(np.triu(near, 1)).tolist():
+            p, q = find(c[i]), find(c[j])
+            if p != q:
+                root[max(p, q)] = min(p, q)
+                out.append((node[i], node[j]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64") if out else none
+
+    return run
+
+
+def _cell_links(members: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
+    """Links within groups of more than HOT nodes, block pair by block pair."""
+    hot = members.where(F.col("held") > HOT)
+    asked = hot.groupBy("grp").agg(F.max("probe").alias("any"), F.min("node").alias("a")).where("any")
+    hot = store(hot.join(asked.select("grp", "a"), "grp"), "jaccard-hot")
+    cells = components(hot.select("a", F.col("node").alias("b")).distinct())
+    nodes = hot.groupBy("node").agg(F.max("probe").alias("probe"), F.first("c").alias("c"))
+    nodes = nodes.join(cells.withColumnRenamed("component", "cell"), "node").join(contents.select("node", "size"), "node")
+    totals = nodes.groupBy("cell").agg(F.greatest(F.ceil(F.sum("size") / CELL_ELEMENTS), F.ceil(F.count(F.lit(1)) / CELL_NODES)).cast("int").alias("blocks"))
+    nodes = (nodes.join(totals, "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    nodes = store(nodes, "jaccard-cells")
+    dealt = contents.select("node", "elements").join(_small(nodes), "node").select(
+        "cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "c", "probe", "elements")
+    return dealt.groupBy("cell", "lo", "hi").applyInPandas(_compare(percent), "a long, b long")
+
+
 def _exceptions(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of the sets without enough keys with all sets of their size range:
     an equi-join on the size band. One such set in a billion is expected."""
@@ -378,7 +466,7 @@ def _exceptions(rows: DataFrame, percent: int) -> DataFrame:
 def node_links(docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
     """Verified links (a, b) between nodes that join all similar sets."""
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
-    buckets = 4 * max(2, -(-total // (6 * BUCKET_KEYS)))  # about half a key per element
+    buckets = max(8, -(-total // (2 * BUCKET_KEYS)))  # about half a key per element
     groups = store(_groups(_blocks(docs, n, percent, buckets), buckets, percent), "jaccard-groups")
     # round 1: one pivot a node, the one with most shared keys
     stars = (groups.where("pivot").groupBy("node", "grp").agg(F.sum("times").alias("times"))
@@ -391,14 +479,15 @@ def node_links(docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFr
         named = named.unionByName(odd.select(F.col("a").alias("node"))).unionByName(odd.select(F.col("b").alias("node"))).distinct()
     else:
         odd = None
-    contents = _contents(docs, named, rows.where("doc_id is not null"), n)
-    one = store(_links(pairs, contents, percent), "jaccard-links")
+    contents = _contents(docs, named, rows.where("doc_id is not null"), n, docs_repeat(rows.where("doc_id is not null")))
+    one = store(_links(_near(pairs, contents, percent), contents, percent), "jaccard-links")
     labels = components(one)
-    later = _round_two(groups, labels, percent)
+    members = store(_mixed(groups, labels), "jaccard-mixed")
+    later = _pairs(members, percent)
     if odd is not None:
         later = later.unionByName(odd).distinct()
-    two = store(_links(_near(later, contents, percent), contents, percent), "jaccard-links")
-    return one.unionByName(two)
+    two = _links(_near(later, contents, percent), contents, percent)
+    return one.unionByName(store(two.unionByName(_cell_links(members, contents, percent)), "jaccard-links"))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

@@ -159,7 +159,7 @@ def read_files(manifest: DataFrame, folder: str, window_ids: int = 1 << 20) -> D
     # one row per file: the running total is over as many rows as there are files
     starts = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(
         Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    starts = starts.select("file", "base").repartition("file")
+    starts = starts.select("file", "base").repartition(max(1, manifest.count()))  # a task a file
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow.fs import FileSystem

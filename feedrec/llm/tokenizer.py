@@ -12,10 +12,10 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
-import numpy as np
-
-PIECES, RUNS = 700_000, 1_000_000  # entries of the memos
+PIECES, RUNS = 1_000_000, 1_300_000  # entries of the memos
 #: Unicode white space as the vocabularies' patterns take it (fixed values).
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _MARKS = "[!-/:-@\\[-`{-~]+"
@@ -29,6 +29,13 @@ INNER_BLANK = re.compile(f"[{_WS}] ")
 PLAIN = re.compile(f" ?[!-~{_LATIN}]+")
 
 
+def _packed(ids: list[int]) -> bytes:
+    a = array("I", ids)  # four bytes an id
+    if sys.byteorder == "big":
+        a.byteswap()
+    return a.tobytes()
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit bytes, with ``end_id`` appended."""
 
@@ -45,7 +52,7 @@ class Encoder:
         self.shown = str.maketrans({c: shown(c) for c in map(chr, range(0xC0, 0x100)) if c not in "×÷"})
         if not self.lower:
             self.shown[ord(" ")] = shown(" ")
-        self.end = np.uint32(end_id).astype("<u4").tobytes()
+        self.end = _packed([end_id])
 
     def _learn(self, pieces: list[str]) -> None:
         memo = self.memo
@@ -55,11 +62,11 @@ class Encoder:
         for p in {p for p in pieces if p not in memo}:
             if PLAIN.fullmatch(p):
                 q = (p.lower() if self.lower else p).translate(self.shown)
-                memo[p] = np.array([t.id for t in self.model.tokenize(q)], dtype="<u4").tobytes()
+                memo[p] = _packed([t.id for t in self.model.tokenize(q)])
             else:
                 rest.append(p)
         for p, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False) if rest else ()):
-            memo[p] = np.array(e.ids, dtype="<u4").tobytes()
+            memo[p] = _packed(e.ids)
 
     def _of(self, text: str) -> bytes:
         pieces = self.pieces.findall(text)

@@ -312,7 +312,8 @@ def _contents(docs: DataFrame, nodes: DataFrame, rows: DataFrame, n: int, repeat
                 bits = 1 << max(6, int(len(s) - 1).bit_length())
                 parity = np.bincount((s & U(bits - 1)).astype(np.int64), minlength=bits) & 1
                 out.append((node, len(s), np.packbits(parity.astype(np.uint8), bitorder="little").tobytes(), s.tobytes()))
-            yield pd.DataFrame(out, columns=["node", "size", "bitmap", "elements"])
+            if out:
+                yield pd.DataFrame(out, columns=["node", "size", "bitmap", "elements"])
 
     found = wanted.mapInPandas(run, "node long, size long, bitmap binary, elements binary")
     return store(found.dropDuplicates(["node"]) if repeats else found, "jaccard-sets")

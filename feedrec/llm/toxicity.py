@@ -141,7 +141,8 @@ def _counts(sample: DataFrame):
             c = Counter()
             for t in pdf.text:
                 c.update(LETTERS.findall(t.lower()))
-            yield pd.DataFrame({"w": list(c), "n": np.fromiter(c.values(), np.int64, len(c))})
+            if c:
+                yield pd.DataFrame({"w": list(c), "n": np.fromiter(c.values(), np.int64, len(c))})
 
     token = F.when(F.col("n") >= 2, F.col("w")).otherwise(F.concat(F.substring("w", 1, STEM), F.lit("*")))
     names = sorted(r.t for r in sample.mapInPandas(word_counts, "w string, n long")

@@ -54,9 +54,9 @@ def _token_hashes(text: str) -> np.ndarray:
     try:
         out = list(map(_hashes.__getitem__, tokens))
     except KeyError:
-        if len(_hashes) > 1_000_000:  # a memory bound of the memo; values do not depend on it
+        if len(_hashes) > 700_000:  # a memory bound of the memo; values do not depend on it
             _hashes.clear()
-        for t in set(tokens) - _hashes.keys():
+        for t in {t for t in tokens if t not in _hashes}:
             _hashes[t] = zlib.crc32(t.encode("utf-8", "surrogatepass"))
         out = list(map(_hashes.__getitem__, tokens))
     h = np.array(out, dtype=np.uint64)

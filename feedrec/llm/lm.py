@@ -2,11 +2,11 @@
 
 Model: bigrams with absolute discounting over additively smoothed unigrams.
 With c the training counts, N all training tokens, V the distinct ones, K(h) the
-followers of h seen ``MIN_COUNT`` times or more:
+followers of h, those seen once among them:
 
     P(w)     = (c(w) + 0.1) / (N + 0.1 (V + 1))
     P(w | h) = [w in K(h)] (c(hw) - D) / c(h) + b(h) P(w)
-    b(h)     = 1 - sum over K(h) of (c(hw) - D) / c(h),  1 if c(h) = 0
+    b(h)     = 1 - sum over K(h) of (c(hw) - D) / c(h) = D |K(h)| / c(h),  1 if c(h) = 0
 
 As an automaton: the root is the empty context, every context with an arc in
 K(h) is a state, a failure arc of weight b(h) leads from it to the root, and
@@ -18,10 +18,11 @@ The model grows with the corpus, so no task holds it whole. Three passes over
 the texts, in chunks of ``chunk_chars`` characters:
 
 1. every chunk writes its distinct bigrams with their training counts as sorted
-   key blocks; a bucket adds them up and sends back, per chunk, the bigrams that
-   reach ``MIN_COUNT``;
+   key blocks; a bucket adds them up and sends back, per chunk, the sums that the
+   chunk cannot know: a bigram whose training occurrences all lie in one chunk has
+   the count that this chunk found, and goes to the other chunks that hold it;
 2. every chunk writes its distinct words with their counts and, for the bigrams
-   it was made owner of (one chunk each), what b(h) needs; buckets of words add
+   it owns (one chunk each), how many follow a word; buckets of words add
    up and send back c and b;
 3. every chunk builds the part of the automaton that its texts can reach and
    walks them through it.
@@ -53,7 +54,6 @@ from feedrec.llm.blocks import ODD, U, bucket_cuts, key_planes, key_unplanes, mi
 from feedrec.llm.common import fold, shared_folder, store, words
 
 DISCOUNT = 0.75
-MIN_COUNT = 2
 BOS, END = U(0x5EED0001), U(0x5EED0002)  # the contexts and tokens that are no words
 BUCKET_KEYS = 700_000
 
@@ -64,7 +64,7 @@ def traverse(tokens: list[str], bigrams: dict, count: dict, total: int, distinct
     state, out = None, 0.0
     for w in tokens:
         low = (count.get(w, 0) + 0.1) / (total + 0.1 * (distinct + 1))
-        arcs = {k[1]: n for k, n in bigrams.items() if k[0] == state and n >= MIN_COUNT}
+        arcs = {k[1]: n for k, n in bigrams.items() if k[0] == state and n > 0}
         c = sum(n for k, n in bigrams.items() if k[0] == state)
         fail = 1 - sum(n - DISCOUNT for n in arcs.values()) / c if c else 1.0
         out += math.log10(((arcs[w] - DISCOUNT) / c if w in arcs else 0.0) + fail * low)
@@ -139,9 +139,10 @@ def _by_bucket(batches: Iterator[pd.DataFrame]) -> Iterator[list]:
         yield rows
 
 
-def _added(rows: list, names: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+def _added(rows: list, names: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
     """All keys of a bucket in order of (key, chunk): the row each came from,
-    whether it is the first of its key, and per value the sum over its key."""
+    whether it is the first of its key, and per value its own and the sum over
+    its key."""
     keys = [key_unplanes(r.keys) for r in rows]
     origin = np.repeat(np.arange(len(rows)), [len(k) for k in keys])
     key = np.concatenate(keys)
@@ -150,9 +151,8 @@ def _added(rows: list, names: str) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     new = np.concatenate([[True], key[1:] != key[:-1]])
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(key)))
-    sums = [np.repeat(np.add.reduceat(np.concatenate([unplanes(getattr(r, c), "<i8") for r in rows])[order], first), count)
-            for c in names]
-    return key, origin, new, sums
+    own = [np.concatenate([unplanes(getattr(r, c), "<i8") for r in rows])[order] for c in names]
+    return key, origin, new, own, [np.repeat(np.add.reduceat(v, first), count) for v in own]
 
 
 def _dealt(df: DataFrame, buckets: int) -> DataFrame:
@@ -183,6 +183,20 @@ def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, table[at] == keys
 
 
+def _bigrams(folder: str, chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the distinct bigrams of a chunk: where each occurs first, its number at
+    every token, its training count in all chunks, and whether the chunk owns it."""
+    pair, first, inverse = np.unique(chunk.pairs(), return_index=True, return_inverse=True)
+    total = np.bincount(inverse, weights=chunk.learn, minlength=len(pair)).astype(np.int64)
+    owner = total > 0
+    if (sent := _load(folder, chunk.name, "vw")) is not None:
+        at, hit = _find(pair, sent[0])
+        if not hit.all():
+            raise RuntimeError("the rows of a task changed between two passes")
+        total[at], owner[at] = sent[1], sent[2] == 1
+    return first, inverse, total, owner
+
+
 def _send_back(df: DataFrame, name: str) -> str:
     """Write one directory per chunk in the shared folder."""
     folder = shared_folder(df.sparkSession, name)
@@ -207,9 +221,12 @@ def scores(docs: DataFrame, folds: int = 10, chunk_chars: int = 8_000_000, stage
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _by_bucket(batches):
-            key, origin, new, (total,) = _added(rows, "v")
-            kept = total >= MIN_COUNT
-            key, origin, total, owner = key[kept], origin[kept], total[kept], new[kept]
+            key, origin, new, (own,), (total,) = _added(rows, "v")
+            whole = (total > 0) & (own == total)  # the chunk knows it all, and owns it
+            first = np.flatnonzero(new)
+            other = np.repeat(np.logical_or.reduceat(whole, first), np.diff(np.append(first, len(key))))
+            kept = (total > 0) & ~whole
+            key, origin, total, owner = key[kept], origin[kept], total[kept], (new & ~other)[kept]
             order = np.argsort(origin, kind="stable")
             cut = np.searchsorted(origin[order], np.arange(len(rows) + 1))
             out = [(rows[i].chunk, key_planes(key[at]), planes(total[at].astype("<i8")), planes(owner[at].astype("<i8")))
@@ -224,33 +241,24 @@ def scores(docs: DataFrame, folds: int = 10, chunk_chars: int = 8_000_000, stage
         for chunk in _chunks(batches, chunk_chars):
             u, n, _ = _counted(np.append(chunk.token, BOS), np.append(chunk.learn, False))
             n[u == BOS] = int((~chunk.held_out).sum())
-            sums, arcs = np.zeros(len(u), np.int64), np.zeros(len(u), np.int64)
-            sent = _load(bigrams, chunk.name, "vw")
-            if sent:
-                pair, _, first = _counted(chunk.pairs(), chunk.learn)
-                key, total = sent[0][sent[2] == 1], sent[1][sent[2] == 1]
-                at, hit = _find(pair, key)
-                if not hit.all():
-                    raise RuntimeError("the rows of a task changed between two passes")
-                h = np.searchsorted(u, chunk.before[first[at]])
-                sums = np.bincount(h, weights=total, minlength=len(u)).astype(np.int64)
-                arcs = np.bincount(h, minlength=len(u))
-            yield _cut(chunk.name, u, buckets, n, sums, arcs)
+            first, _, _, owner = _bigrams(bigrams, chunk)
+            h = np.searchsorted(u, chunk.before[first[owner]])
+            yield _cut(chunk.name, u, buckets, n, np.bincount(h, minlength=len(u)))
 
     def add_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _by_bucket(batches):
-            key, origin, new, sums = _added(rows, "vwx")
+            key, origin, new, _, sums = _added(rows, "vw")
             word = new & (key != BOS) & (sums[0] > 0)
             order = np.argsort(origin, kind="stable")
             cut = np.searchsorted(origin[order], np.arange(len(rows) + 1))
             out = [(r.chunk, key_planes(key[at]), *(planes(s[at].astype("<i8")) for s in sums), 0, 0)
                    for i, r in enumerate(rows) for at in [order[cut[i]:cut[i + 1]]]]
-            out.append((-1, b"", b"", b"", b"", int(sums[0][word].sum()), int(word.sum())))
-            yield pd.DataFrame(out, columns=["chunk", "keys", "v", "w", "x", "total", "distinct"])
+            out.append((-1, b"", b"", b"", int(sums[0][word].sum()), int(word.sum())))
+            yield pd.DataFrame(out, columns=["chunk", "keys", "v", "w", "total", "distinct"])
 
-    asked = _dealt(docs.mapInPandas(ask_words, block + ", w binary, x binary"), buckets)
+    asked = _dealt(docs.mapInPandas(ask_words, block + ", w binary"), buckets)
     folder = _send_back(asked.mapInPandas(
-        add_words, "chunk long, keys binary, v binary, w binary, x binary, total long, distinct long"), "lm-words")
+        add_words, "chunk long, keys binary, v binary, w binary, total long, distinct long"), "lm-words")
     spark = docs.sparkSession
     stats = (spark.read.schema("total long, distinct long, chunk long").parquet(folder).where("chunk = -1")
              .agg(F.sum("total"), F.sum("distinct")).first()) if chars or docs.limit(1).count() else (0, 0)
@@ -258,20 +266,19 @@ def scores(docs: DataFrame, folds: int = 10, chunk_chars: int = 8_000_000, stage
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk in _chunks(batches, chunk_chars):
-            sent = _load(folder, chunk.name, "vwx")
+            sent = _load(folder, chunk.name, "vw")
             if sent is None:
                 raise RuntimeError("the rows of a task changed between two passes")
-            word, count, kept, arcs = sent
+            word, count, arcs = sent
             t, known = _find(word, chunk.token)
             h, _ = _find(word, chunk.before)
             if not known.all():
                 raise RuntimeError("the rows of a task changed between two passes")
             low = (count[t] + 0.1) / (n_all + 0.1 * (n_distinct + 1))
             context = np.maximum(count[h], 1)
-            p = (1.0 - np.where(count[h] > 0, (kept[h] - DISCOUNT * arcs[h]) / context, 0.0)) * low
-            if (pair := _load(bigrams, chunk.name, "v")) is not None:
-                at, hit = _find(pair[0], chunk.pairs())
-                p += np.where(hit, (pair[1][at] - DISCOUNT) / context, 0.0)
+            _, inverse, n, _ = _bigrams(bigrams, chunk)
+            n = n[inverse]
+            p = np.where(count[h] > 0, DISCOUNT * arcs[h] / context, 1.0) * low + np.where(n > 0, (n - DISCOUNT) / context, 0.0)
             total = lambda x: np.add.reduceat(x, chunk.start)
             out = pd.DataFrame({"held_out": chunk.held_out, "n_tokens": chunk.size, "n_known": total((count[t] > 0).astype(np.int64)),
                                 "train_tokens": n_all, "base_score": total(np.log10(low)), "score": total(np.log10(p))})

@@ -114,6 +114,25 @@ def test_lm_is_a_distribution_and_handles_odd_rows(spark):
     assert lm.scores(frame(spark, [])).collect() == []
 
 
+def test_lm_keeps_bigrams_seen_once(spark):
+    """In one chunk or many, each singleton scores by its own arc."""
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10]
+    held = next(i for i in range(200) if i not in ids)
+    rows = [(i, f"u{i} v{i} the w{i % 7}") for i in ids] + [(held, f"u{ids[0]} v{ids[0]} the w1")]
+    seqs = {i: words(t) + [""] for i, t in rows}
+    count = Counter(w for i in ids for w in seqs[i])
+    pairs = Counter(p for i in ids for p in zip([None, *seqs[i]], seqs[i]))
+    assert sum(c == 1 for c in pairs.values()) > len(ids)
+    for chars in (300, 8_000_000):
+        out = {r.doc_id: r.score for r in lm.scores(frame(spark, rows), chunk_chars=chars).collect()}
+        for i in (held, *ids[:5]):
+            want = np.float64(0)
+            for h, w in zip([None, *seqs[i]], seqs[i]):
+                c, arcs = sum(n for k, n in pairs.items() if k[0] == h), sum(k[0] == h for k in pairs)
+                want += np.log10(max(pairs[h, w] - 0.75, 0) / c + 0.75 * arcs / c * (count[w] + 0.1) / (count.total() + 0.1 * (len(count) + 1)))
+            assert abs(out[i] - want) < 1e-8
+
+
 # ------------------------------------------------------------------ token ids
 
 NASTY = ["", " ", "a  b \n\n c", "a \n b", " lead", "trail \n ", "I'll DON'T 's ''s", "<|endoftext|> a<|startoftext|>b", "é é́ Σς İ ß ñ",

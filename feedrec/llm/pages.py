@@ -14,7 +14,8 @@ most of their text is links.
 
 Defined results: null and empty html give the empty text; a page without good
 blocks too; broken markup is read as far as it goes (unclosed elements end with
-their parent); repeated pages give a row each; an empty table gives no rows;
+their parent; players, drawings, buttons and the like, which are skipped, also
+where a block starts); repeated pages give a row each; an empty table gives no rows;
 other columns are ignored. The work on a page is linear in its length."""
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ le la les de des du un une et est en que qui dans pour par sur au aux ce il elle
 el los las del y es en un una por para con no lo su al como más o pero sus fue ha
 """.split())
 
-SKIPPED = "script|style|noscript|template|svg|math|iframe|object|canvas|video|audio|textarea|select|button|title"
+RAW = "script|style|iframe|textarea|title"  # no markup inside: these end at their end tag alone
+SKIPPED = frozenset("noscript template svg math object canvas video audio select button".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section
@@ -54,7 +56,7 @@ CLOSES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("tabl
           "option": ("select",)}
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{SKIPPED})\b[^<>]*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])[^<>]*+>.*?(?:</(?P=raw)\s*>|\Z)"
     # a quoted value may hold anything, within reach; else a tag ends at its first > and holds no <
     r"""|<(?P<end>/?)(?P<tag>[a-z][^\s/<>]*)(?P<attr>(?:"[^"]{0,8000}"|'[^']{0,8000}'|[^'"<>])*+)>"""
     r"|<(?P<end2>/?)(?P<tag2>[a-z][^\s/<>]*)[^<>]*>|<[!?][^<>]*>|</>", re.S | re.I)
@@ -106,15 +108,40 @@ def _context(tag: str, attr: str, outer: str, comments: bool) -> tuple[str, bool
     return outer, False
 
 
+def _tag(m: re.Match) -> str:
+    return (m["tag"] or m["tag2"] or "").lower()
+
+
+def _ends(tokens: list[re.Match]) -> dict[int, int]:
+    """Where the skipped elements that have an end tag end, by token."""
+    out: dict[int, int] = {}
+    started: dict[str, list[int]] = {}
+    for i, m in enumerate(tokens):
+        tag = _tag(m)
+        if tag not in SKIPPED:
+            continue
+        if not (m["end"] or m["end2"]):
+            if not _empty(tag, m):
+                started.setdefault(tag, []).append(i)
+        elif started.get(tag):
+            out[started[tag].pop()] = i
+    return out
+
+
+def _empty(tag: str, m: re.Match) -> bool:
+    return tag in ("svg", "math") and m[0].endswith("/>")
+
+
 def blocks(page: str | None) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, str, bool]] = [("", "", False)]
     opened = Counter()  # tags on the stack
     current = Block("")
     links = 0
+    unended, inner = "", Counter()  # a skipped element without an end tag, and what is open in it
 
     def text(raw: str) -> None:
-        if raw:
+        if raw and not unended:
             t = html.unescape(raw) if "&" in raw else raw
             current.parts.append(t)
             if links:
@@ -127,14 +154,30 @@ def blocks(page: str | None) -> list[Block]:
         current = Block(stack[-1][1], heading)
 
     at, page = 0, page or ""
-    for m in TOKEN.finditer(page):
+    tokens = list(TOKEN.finditer(page))
+    ends = _ends(tokens)
+    for i, m in enumerate(tokens):
+        if m.start() < at:
+            continue
         text(page[at:m.start()])
         at = m.end()
-        tag = (m["tag"] or m["tag2"] or "").lower()
+        tag = _tag(m)
         if not tag:
             continue
         closing = m["end"] or m["end2"]
-        if tag == "a":
+        if i in ends:
+            at = tokens[ends[i]].end()
+            continue
+        if unended:  # it ends with its parent, or where a block starts
+            if (tag not in BLOCK or unended == "select" and tag in ("option", "optgroup")) and not (closing and not inner[tag]):
+                if tag not in VOID:
+                    inner[tag] += -1 if closing else 1
+                continue
+            unended = ""
+        if tag in SKIPPED:
+            if not closing and not _empty(tag, m):
+                unended, inner = tag, Counter()
+        elif tag == "a":
             links = 0 if closing else 1
         elif tag == "br":
             text(" ")
@@ -153,12 +196,12 @@ def blocks(page: str | None) -> list[Block]:
                 stack.pop()
                 opened["p"] -= 1
             if opened[tag] and tag in CLOSES:  # an open sibling ends here
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in CLOSES[tag]:
+                for k in range(len(stack) - 1, 0, -1):
+                    if stack[k][0] in CLOSES[tag]:
                         break
-                    if stack[i][0] == tag:
-                        opened.subtract(t for t, _, _ in stack[i:])
-                        del stack[i:]
+                    if stack[k][0] == tag:
+                        opened.subtract(t for t, _, _ in stack[k:])
+                        del stack[k:]
                         break
             if tag not in VOID:
                 _, outer, talk = stack[-1]

@@ -41,6 +41,15 @@ def test_block_rules(page, text):
     assert pages.main_text(page) == text
 
 
+@pytest.mark.parametrize("tag", ["<video-player src=x></video-player>", "<button-group>", "<svg viewBox='0 > 1'/>", "<math/>", "<button>Go", "<select><option>a<option>b",
+                                 "<div><button><i>Go</i> on</div>", "<button>Go<p></p><button>Stop</button>", "<video src=x>", "<svg><path d='M0'>",
+                                 "<svg><svg></svg></svg>", "<object><object>no</object>no</object>", "<svg><foreignObject><p>no</p></foreignObject></svg>"])
+def test_only_the_skipped_element_is_skipped(tag):
+    for tail in ("", "<p><svg></svg><button>x</button><video>y</video></p>"):
+        assert pages.main_text(f"<p>{LONG}</p>{tag}<p>{LONG}</p>{tail}") == GOOD + "\n\n" + GOOD
+    assert pages.main_text(f"<p>{LONG} <b><button>Go</b> {LONG}</p>") == GOOD + " " + GOOD
+
+
 def test_odd_markup_is_linear():
     for page in ('<div class="x' * 20_000, "<p>a" * 20_000, "<script>" * 20_000, "<div>" * 20_000 + "</p>" * 20_000, "<a '" * 20_000, "&amp" * 50_000):
         assert isinstance(pages.main_text(page), str)

@@ -7,10 +7,17 @@ blocks and those in between stay open. Pass 2 gives open blocks the label of the
 nearest decided neighbours (both alike: that; else the nearer one, good if equally
 near; blocks with enough stop words are bad only between bad ones).
 
-Structure goes first: menus, headers, footers, sidebars, notices, adverts, forms
-and reader comments, by element, role, class or id, are bad as a whole; where a
-page marks its article, blocks outside are bad and blocks inside are good unless
-most of their text is links.
+Menus, headers, footers, sidebars, notices, adverts, forms and reader comments, by
+element, role, class or id, are bad as a whole. Where a page marks its article, the
+mark settles what the text leaves open: inside it, blocks without stop words or with
+some links stay open, open blocks see only the article's own neighbours and are good
+unless those are bad (a page whose article has no block that is good by its text says
+nothing by neighbours: there they are good); outside it, open blocks are bad unless
+good ones lie on both sides (with some stop words, on one side). Blocks good by their
+text are good outside, too; outside a main element, which a page has once, it takes
+two. A mark with less text than the good blocks outside it is a teaser card: outside
+it the text alone decides, its own open blocks are bad but for a heading right before
+a good block.
 
 Defined results: null and empty html give the empty text; a page without good
 blocks too; broken markup is read as far as it goes (unclosed elements end with
@@ -50,6 +57,7 @@ BAD_NAMES = frozenset("""ad ads advert adverts advertisement advertising sponsor
 navigation menu breadcrumb breadcrumbs sidebar footer masthead topbar toolbar cookie cookies consent gdpr notice alert popup
 modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations trending
 pagination pager widget comment comments respond reply replies disqus discussion copyright legal disclaimer skip search""".split())
+MARKS = ("article", "main")
 COMMENTS = frozenset("comment comments respond reply replies disqus discussion".split())
 NOT_A_NAME = frozenset("has no with without is not non".split())
 CLOSES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"),
@@ -69,7 +77,7 @@ LINKS, ARTICLE_LINKS = 0.33, 0.66
 
 @dataclass
 class Block:
-    context: str  # "bad", "article" or ""
+    context: str  # "bad", "article", "main" or ""
     heading: bool = False
     parts: list[str] = field(default_factory=list)
     linked: int = 0
@@ -101,10 +109,12 @@ def _context(tag: str, attr: str, outer: str, comments: bool) -> tuple[str, bool
     page = tag in ("html", "body", "article", "main")
     if hidden or talk or tag in BAD_TAGS or role in BAD_ROLES or (not page and words & BAD_NAMES):
         return "bad", talk
-    if tag == "header" and outer != "article":
+    if tag == "header" and outer not in MARKS:
         return "bad", False
-    if tag in ("article", "main") or good or role in ("main", "article") or names & GOOD_NAMES:
-        return "article", False
+    if tag == "main" or role == "main":
+        return "main", False
+    if tag == "article" or good or role == "article" or names & GOOD_NAMES:
+        return outer if outer == "main" else "article", False
     return outer, False
 
 
@@ -206,7 +216,7 @@ def blocks(page: str | None) -> list[Block]:
             if tag not in VOID:
                 _, outer, talk = stack[-1]
                 inner, talk = _context(tag, m["attr"] or "", outer, talk)
-                if outer == "bad" and not (inner == "article" and tag in ("article", "main")
+                if outer == "bad" and not (inner in MARKS and tag in ("article", "main")
                                            and not any(opened[t] for t in BAD_TAGS)):
                     inner = "bad"
                 stack.append((tag, inner, talk))
@@ -221,25 +231,23 @@ def blocks(page: str | None) -> list[Block]:
     return [b for b in out if b.text]
 
 
-def classify(found: list[Block]) -> list[Block]:
-    """Both passes; sets each block's label to "good" or "bad"."""
-    marked = any(b.context == "article" for b in found)
-    for b in found:
-        size = len(b.text.replace(" ", "")) or 1
-        links = b.linked / size
-        if b.context == "bad" or (marked and b.context != "article"):
-            b.label = "bad"
-        elif marked:
-            b.label = "bad" if links > ARTICLE_LINKS else "good"
-        elif links > LINKS or b.text.startswith("©"):
-            b.label = "bad"
-        elif len(b.text) < LONG or b.heading:
-            b.label = "short"
-        else:
-            words = b.text.lower().split()
-            stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
-            many = stops >= MANY_STOPS
-            b.label = "good" if many and len(b.text) > VERY_LONG else "near" if stops >= SOME_STOPS else "bad"
+def _by_text(b: Block, marked: bool) -> str:
+    """Pass 1: "good", "bad", "near" or "short" (open)."""
+    links = b.linked / (len(b.text.replace(" ", "")) or 1)
+    if b.context == "bad" or links > (ARTICLE_LINKS if marked else LINKS) or b.text.startswith("©"):
+        return "bad"
+    if len(b.text) < LONG or b.heading or links > LINKS:
+        return "short"
+    words = b.text.lower().split()
+    stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
+    if stops < SOME_STOPS:
+        return "short" if marked else "bad"
+    return "good" if stops >= MANY_STOPS and len(b.text) > VERY_LONG else "near"
+
+
+def _spread(found: list[Block], prior: str = "") -> None:
+    """Pass 2: open blocks by their nearest decided neighbours, and by ``prior``
+    where these do not agree."""
     before: list[tuple[str, int]] = []
     last = ("", 1 << 30)
     for i, b in enumerate(found):
@@ -248,20 +256,48 @@ def classify(found: list[Block]) -> list[Block]:
             last = (b.label, i)
     last = ("", 1 << 30)
     decided = [b.label for b in found]
+    blind = prior == "good" and "good" not in decided
     for i in range(len(found) - 1, -1, -1):
         if decided[i] in ("good", "bad"):
             last = (decided[i], i)
             continue
         (p, far_p), (n, far_n) = before[i], (last[0], last[1] - i)
-        if not p and not n:
-            found[i].label = "good" if decided[i] == "near" else "bad"
+        if blind:
+            found[i].label = "good"
+        elif not p and not n:
+            found[i].label = prior or ("good" if decided[i] == "near" else "bad")
         elif decided[i] == "near":
             found[i].label = "good" if "good" in (p, n) else "bad"
+        elif prior and p != n:
+            found[i].label = prior if p and n or prior == "bad" else p or n
         elif p and n and p != n:
             nearer = p if far_p < far_n else n if far_n < far_p else "good"
             found[i].label = "good" if found[i].heading and n == "good" else nearer
         else:
-            found[i].label = p or n if not (p and n) else p
+            found[i].label = p or n
+
+
+def classify(found: list[Block]) -> list[Block]:
+    """Both passes; sets each block's label to "good" or "bad"."""
+    inside = [b for b in found if b.context in MARKS]
+    outside = [b for b in found if b.context not in MARKS]
+    for b in found:
+        b.label = _by_text(b, b.context in MARKS)
+    body = [b for b in outside if b.label == "good"]
+    if len(body) == 1 and any(b.context == "main" for b in inside):
+        body.pop().label = "short"
+    if sum(len(b.text) for b in inside if b.label != "bad") >= sum(len(b.text) for b in body) and inside:
+        _spread(inside, "good")
+        _spread(outside, "bad")
+    else:  # no mark, or one beside the text
+        for b in inside:
+            b.label = _by_text(b, False)
+        titles = [b.heading and b.context in MARKS and b.label == "short" for b in found]
+        _spread(inside, "bad")
+        _spread(outside)
+        for title, b, after in zip(titles, found, found[1:]):
+            if title and after.label == "good":
+                b.label = "good"
     return found
 
 

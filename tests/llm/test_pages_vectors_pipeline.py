@@ -41,6 +41,30 @@ def test_block_rules(page, text):
     assert pages.main_text(page) == text
 
 
+BARE = "Win prizes daily! Huge sale today, click here now, order fast, great offers, members save big, hurry up today"
+
+
+@pytest.mark.parametrize("page,text", [
+    # the article is only a teaser card
+    (f"<article><h3>Read more</h3><p>Short.</p></article><div><h1>Title</h1><p>{LONG}</p><p>Short line.</p><p>{LONG}</p></div>",
+     "Title\n\n" + GOOD + "\n\nShort line.\n\n" + GOOD),
+    (f"<div><p>{LONG}</p><p>{LONG}</p></div><main><p>Teaser of another page</p></main>", GOOD + "\n\n" + GOOD),
+    (f"<article><h1>Title</h1></article><div><p>{LONG}</p></div>", "Title\n\n" + GOOD),
+    (f"<p>{LONG}</p><p>{LONG}</p><article><p>{LONG}</p></article>", "\n\n".join([GOOD] * 3)),
+    # what the text leaves open goes by the mark
+    (f"<p>Top.</p><article><h1>Title</h1><p>One.</p><p>{BARE}</p></article><p>{BARE}</p><p>End.</p>", "Title\n\nOne.\n\n" + BARE),
+    (f"<p>Top.</p><article><h1>Title</h1><p>{LONG}</p><p>{BARE}</p><p>Last.</p></article><p>End.</p>", f"Title\n\n{GOOD}\n\n{BARE}\n\nLast."),
+    # boilerplate without a name inside the article
+    (f"<article><p>{LONG}</p><p><a href=x>Share this with all your friends</a></p><p>{BARE}</p><p>© A paper</p></article>", GOOD),
+    (f"<article><p><a href=x>Home</a></p><p>You are here</p><p><a href=y>News</a></p><h1>Title</h1><p>{LONG}</p></article>", "Title\n\n" + GOOD),
+    # no mark
+    (f"<div><p>{BARE}</p><p><a href=x>Link</a></p><h2>Title</h2><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div><div><p>{BARE}</p></div>",
+     f"Title\n\n{GOOD}\n\nShort.\n\n{GOOD}"),
+])
+def test_rules_decide_beside_marks(page, text):
+    assert pages.main_text(page) == text
+
+
 @pytest.mark.parametrize("tag", ["<video-player src=x></video-player>", "<button-group>", "<svg viewBox='0 > 1'/>", "<math/>", "<button>Go", "<select><option>a<option>b",
                                  "<div><button><i>Go</i> on</div>", "<button>Go<p></p><button>Stop</button>", "<video src=x>", "<svg><path d='M0'>",
                                  "<svg><svg></svg></svg>", "<object><object>no</object>no</object>", "<svg><foreignObject><p>no</p></foreignObject></svg>"])

@@ -112,11 +112,13 @@ def _chunks(batches: Iterator[pd.DataFrame], chunk_chars: int) -> Iterator[Chunk
         yield Chunk(rows, task)
 
 
-def _counted(keys: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, their training counts, and the place of each key's first
-    occurrence."""
-    u, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-    return u, np.bincount(inverse, weights=learn, minlength=len(u)).astype(np.int64), first
+def _counted(keys: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, their training counts, the keys' order, and where in it
+    each distinct key starts."""
+    order = np.argsort(keys)
+    key = keys[order]
+    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[start], np.add.reduceat(learn[order], start, dtype=np.int64), order, start
 
 
 def _cut(chunk: int, u: np.ndarray, buckets: int, *values: np.ndarray) -> pd.DataFrame:
@@ -184,17 +186,17 @@ def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bigrams(folder: str, chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the distinct bigrams of a chunk: where each occurs first, its number at
-    every token, its training count in all chunks, and whether the chunk owns it."""
-    pair, first, inverse = np.unique(chunk.pairs(), return_index=True, return_inverse=True)
-    total = np.bincount(inverse, weights=chunk.learn, minlength=len(pair)).astype(np.int64)
+    """Of the distinct bigrams of a chunk: their training counts in all chunks,
+    whether the chunk owns them, the tokens' order by bigram, and where in it
+    each bigram starts."""
+    pair, total, order, start = _counted(chunk.pairs(), chunk.learn)
     owner = total > 0
     if (sent := _load(folder, chunk.name, "vw")) is not None:
         at, hit = _find(pair, sent[0])
         if not hit.all():
             raise RuntimeError("the rows of a task changed between two passes")
         total[at], owner[at] = sent[1], sent[2] == 1
-    return first, inverse, total, owner
+    return total, owner, order, start
 
 
 def _send_back(df: DataFrame, name: str) -> str:
@@ -216,7 +218,7 @@ def scores(docs: DataFrame, folds: int = 10, chunk_chars: int = 8_000_000, stage
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk in _chunks(batches, chunk_chars):
-            u, n, _ = _counted(chunk.pairs(), chunk.learn)
+            u, n, _, _ = _counted(chunk.pairs(), chunk.learn)
             yield _cut(chunk.name, u, buckets, n)
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -239,10 +241,10 @@ def scores(docs: DataFrame, folds: int = 10, chunk_chars: int = 8_000_000, stage
 
     def ask_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk in _chunks(batches, chunk_chars):
-            u, n, _ = _counted(np.append(chunk.token, BOS), np.append(chunk.learn, False))
+            u, n, _, _ = _counted(np.append(chunk.token, BOS), np.append(chunk.learn, False))
             n[u == BOS] = int((~chunk.held_out).sum())
-            first, _, _, owner = _bigrams(bigrams, chunk)
-            h = np.searchsorted(u, chunk.before[first[owner]])
+            _, owner, order, start = _bigrams(bigrams, chunk)
+            h = np.searchsorted(u, chunk.before[order[start[owner]]])
             yield _cut(chunk.name, u, buckets, n, np.bincount(h, minlength=len(u)))
 
     def add_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -276,8 +278,9 @@ def scores(docs: DataFrame, folds: int = 10, chunk_chars: int = 8_000_000, stage
                 raise RuntimeError("the rows of a task changed between two passes")
             low = (count[t] + 0.1) / (n_all + 0.1 * (n_distinct + 1))
             context = np.maximum(count[h], 1)
-            _, inverse, n, _ = _bigrams(bigrams, chunk)
-            n = n[inverse]
+            of_pair, _, order, start = _bigrams(bigrams, chunk)
+            n = np.empty_like(of_pair, shape=len(order))
+            n[order] = np.repeat(of_pair, np.diff(np.append(start, len(order))))
             p = np.where(count[h] > 0, DISCOUNT * arcs[h] / context, 1.0) * low + np.where(n > 0, (n - DISCOUNT) / context, 0.0)
             total = lambda x: np.add.reduceat(x, chunk.start)
             out = pd.DataFrame({"held_out": chunk.held_out, "n_tokens": chunk.size, "n_known": total((count[t] > 0).astype(np.int64)),

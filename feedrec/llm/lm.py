@@ -273,7 +273,9 @@ def scores(docs: DataFrame, folds: int = 10, chunk_chars: int = 8_000_000, stage
                 raise RuntimeError("the rows of a task changed between two passes")
             word, count, arcs = sent
             t, known = _find(word, chunk.token)
-            h, _ = _find(word, chunk.before)
+            h = np.empty_like(t)
+            h[1:] = t[:-1]
+            h[chunk.start] = np.searchsorted(word, BOS)
             if not known.all():
                 raise RuntimeError("the rows of a task changed between two passes")
             low = (count[t] + 0.1) / (n_all + 0.1 * (n_distinct + 1))

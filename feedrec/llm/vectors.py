@@ -14,9 +14,12 @@ A link found in two shards counts in the first of the query's shards that holds
 the other node. For components a shard gives one edge per node, to the least
 node that its links reach there, so large groups stay linear.
 
-``audit`` compares a bounded, hash-ordered set of nodes with all rows by brute
-force in blocks; below ``min_recall`` the search is repeated with a wider beam
-and in more shards, at last in all.
+``audit`` compares hash-ordered nodes with all rows by brute force in blocks, and
+draws more until ``LINKED`` of them have few links and as many have many, or all
+nodes or ``MOST_AUDITED`` are drawn; nodes of either kind that the search itself
+found come on top. Every node weighs the same, and the lower recall of the two kinds
+counts. Below ``min_recall`` the search is repeated with a wider beam and in more
+shards, at last in all; if that is not enough it raises.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing and are kept; vectors of different length never
@@ -40,7 +43,8 @@ SHARD, CLUSTER, MEMBER = 4000, 1000, 2
 MAX_SHARDS = 4096
 DEGREE, NEAREST, ALPHA = 24, 4, 1.2
 BEAM, BATCH = 32, 512
-AUDIT = 256
+AUDIT, LINKED, MOST_AUDITED = 256, 64, 8192
+FEW = 8  # links of a node in a small group, at most
 
 
 def _unit(column) -> np.ndarray:
@@ -250,24 +254,57 @@ def _found(nodes: DataFrame, c: np.ndarray, least: float, searches: int, beam: i
     return dealt.groupBy("shard").applyInPandas(_search_shard(least, beam), "node long, links long, root long")
 
 
-def audit(nodes: DataFrame, found: DataFrame, least: float, queries: int = AUDIT) -> float:
-    """Links found of those that brute force finds, for a bounded set of nodes."""
-    rows = nodes.select("node", "embedding").orderBy(F.xxhash64("node", F.lit(7)), "node").limit(queries).collect()
-    if not rows:
-        return 1.0
-    shared = nodes.sparkSession.sparkContext.broadcast(([r.node for r in rows], _unit([r.embedding for r in rows])))
+def _truth(nodes: DataFrame, ids: list[int], q: np.ndarray, least: float) -> dict[int, int]:
+    """Links of each of ``ids`` by brute force."""
+    shared = nodes.sparkSession.sparkContext.broadcast((np.array(ids), q))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, q = shared.value
+        truth = np.zeros(len(ids), np.int64)
         for pdf in batches:
             near = _unit(pdf.embedding) @ q.T >= least
-            near &= pdf.node.to_numpy()[:, None] != np.array(ids)
-            yield pd.DataFrame({"node": ids, "truth": pdf.weight.to_numpy(np.int64) @ near.astype(np.int64)})
+            near &= pdf.node.to_numpy()[:, None] != ids
+            truth += pdf.weight.to_numpy(np.int64) @ near
+        yield pd.DataFrame({"node": ids, "truth": truth})
+
+    parts = nodes.select("node", "weight", "embedding").mapInPandas(count, "node long, truth long")
+    return {r.node: r.truth for r in parts.groupBy("node").agg(F.sum("truth").alias("truth")).collect()}  # a row a query
+
 
-    truth = nodes.select("node", "weight", "embedding").mapInPandas(count, "node long, truth long").groupBy("node").agg(F.sum("truth").alias("truth"))
+def audit(nodes: DataFrame, found: DataFrame, least: float, queries: int = AUDIT, linked: int = LINKED) -> float:
+    """Mean share of a node's links that were found, of nodes with few links or of
+    those with many, the lower one; 1.0 where brute force finds no link."""
+    order = F.xxhash64("node", F.lit(7))
+    drawn: dict[int, int] = {}
     got = found.groupBy("node").agg(F.sum("links").alias("links"))
-    sums = truth.join(got, "node", "left").agg(F.sum("truth").alias("t"), F.sum(F.least("truth", F.coalesce("links", F.lit(0)))).alias("g")).first()
-    return sums.g / sums.t if sums.t else 1.0
+
+    def draw(rows: list) -> None:
+        for at in range(0, len(rows), 1024):
+            part = rows[at:at + 1024]
+            drawn.update(_truth(nodes, [r.node for r in part], _unit([r.embedding for r in part]), least))
+
+    def short() -> bool:
+        few = sum(0 < t <= FEW for t in drawn.values())
+        return min(few, sum(t > FEW for t in drawn.values())) < linked
+
+    seen = 0
+    while short() and seen < MOST_AUDITED:
+        want = min(MOST_AUDITED, max(queries, 4 * seen))
+        rows = nodes.select("node", "embedding").orderBy(order, "node").limit(want).collect()[seen:]
+        draw(rows)
+        if seen + len(rows) < want:  # every node
+            break
+        seen = want
+    if seen and short():  # links are rare, or of one kind: nodes with links found
+        for kind in (F.col("links").between(1, FEW), F.col("links") > FEW):
+            some = got.where(kind).join(nodes, "node").select("node", "embedding").orderBy(order, "node").limit(linked).collect()
+            draw([r for r in some if r.node not in drawn])
+    ids = [i for i, t in drawn.items() if t]
+    if not ids:
+        return 1.0
+    links = {r.node: r.links for r in got.where(F.col("node").isin(ids)).collect()}
+    kinds = [[min(1.0, (links.get(i) or 0) / drawn[i]) for i in ids if (drawn[i] <= FEW) == few] for few in (True, False)]
+    return min(float(np.mean(k)) for k in kinds if k)
 
 
 def near_vectors(vectors: DataFrame, least: float = 0.95, min_recall: float = 0.98) -> DataFrame:
@@ -292,8 +329,11 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, min_recall: float = 0.
         searches, beam = min(3, len(c)), BEAM
         while True:
             found = store(_found(part, c, least, searches, beam), "vector-links")
-            if audit(part, found, least) >= min_recall or (searches == len(c) and beam >= 16 * BEAM):
+            recall = audit(part, found, least)
+            if recall >= min_recall:
                 break
+            if searches == len(c) and beam >= 16 * BEAM:
+                raise RuntimeError(f"the widest search of the vectors of length {dim} has a recall of {recall:.4f}, below {min_recall}")
             searches, beam = min(len(c), 2 * searches), min(2 * beam, 16 * BEAM)
         parts.append(found)
     for p in parts:

@@ -159,6 +159,36 @@ def test_graph_search_reaches_the_range():
     assert len(q) >= 0.98 * truth
 
 
+def grouped(rng, large, pairs, alone):
+    """Nodes: a large dense group, pairs, and vectors without links."""
+    base = rng.normal(size=16)
+    rows = [base + rng.normal(size=16) * 0.02 for _ in range(large)]
+    for _ in range(pairs):
+        b = rng.normal(size=16)
+        rows += [b, b + rng.normal(size=16) * 0.02]
+    return [(i, x.tolist()) for i, x in enumerate(rows + list(rng.normal(size=(alone, 16)) * 3))]
+
+
+def test_audit_sees_lost_pairs(spark):
+    rows = grouped(np.random.default_rng(8), 300, 60, 480)
+    d = spark.createDataFrame([(i, 1, v) for i, v in rows], "node long, weight long, embedding array<double>")
+    truth = {i: n for i, n, _ in plain(rows)}
+    for lost, recall in ((lambda i: False, 1.0), (lambda i: 300 <= i < 420, 0.0), (lambda i: i < 150, 0.5)):
+        found = spark.createDataFrame([(i, 0 if lost(i) else n) for i, n in truth.items()], "node long, links long")
+        assert abs(vectors.audit(d, found, 0.95) - recall) < 0.15
+        assert (vectors.audit(d, found, 0.95) >= 0.98) == (recall == 1.0)
+    rare = d.where("node >= 418")  # one pair in 482 nodes: drawn on
+    found = rare.selectExpr("node", "0L as links")
+    assert vectors.audit(rare, found, 0.95, queries=16) == 0.0
+
+
+def test_a_search_below_the_bound_raises(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "audit", lambda *a: 0.5)
+    d = spark.createDataFrame(grouped(np.random.default_rng(9), 3, 2, 5), "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError, match="recall of 0.5"):
+        vectors.near_vectors(d)
+
+
 # ------------------------------------------------------------------ pipeline
 
 def test_pipeline_stages(spark, sf):

@@ -2,8 +2,10 @@
 
 Equal vectors are one node with a weight. Centroids fitted on at most
 ``SAMPLE`` nodes deal the nodes out: a node is a member of its ``MEMBER`` nearest
-shards and is searched for in its ``searches`` nearest. A task holds one shard.
-It cuts it again into overlapping clusters of about ``CLUSTER`` nodes, builds a
+shards and is searched for in its ``searches`` nearest. A shard of more than about
+``LIMIT`` members is cut into parts by hash, its queries into blocks of about
+``LIMIT``; every block meets every part, so nothing is lost by a cut. A task holds
+one part and one block. It cuts it again into overlapping clusters of about ``CLUSTER`` nodes, builds a
 robust-pruned graph on each (every node keeps close neighbours of which none is
 much nearer to another one kept), unites the adjacency lists and adds the
 reverse edges. Each query starts from the clusters' medoids, walks greedily with
@@ -40,7 +42,7 @@ from feedrec.llm.graph import components
 
 SAMPLE = 20_000
 SHARD, CLUSTER, MEMBER = 4000, 1000, 2
-MAX_SHARDS = 4096
+MAX_SHARDS, LIMIT = 4096, 16_000
 DEGREE, NEAREST, ALPHA = 24, 4, 1.2
 BEAM, BATCH = 32, 512
 AUDIT, LINKED, MOST_AUDITED = 256, 64, 8192
@@ -175,7 +177,8 @@ class Graph:
         fresh = np.concatenate(hit_q), np.concatenate(hit_n)
         while len(fresh[0]):  # expand within range
             before = len(hit_q)
-            look(*self.around(*fresh))
+            for at in range(0, len(fresh[0]), 50_000):
+                look(*self.around(fresh[0][at:at + 50_000], fresh[1][at:at + 50_000]))
             fresh = np.concatenate(hit_q[before:]), np.concatenate(hit_n[before:])
         return np.concatenate(hit_q), np.concatenate(hit_n)
 
@@ -197,24 +200,25 @@ def _search_shard(least: float, beam: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node", kind="stable").reset_index(drop=True)
         v = _unit(pdf.embedding)
-        member = pdf.member.to_numpy(bool)
-        inside = np.flatnonzero(member)
+        query, inside = np.flatnonzero(pdf["query"].to_numpy(bool)), np.flatnonzero(pdf.member.to_numpy(bool))
         out = pd.DataFrame({"node": pdf.node, "links": 0, "root": pdf.node})
-        if not len(inside):
-            return out
+        if not len(inside) or not len(query):
+            return out.iloc[query]
         graph = Graph(v[inside])
         shard = int(pdf.shard.iloc[0])
         searches = np.array(pdf.searches.tolist())
         members = np.array(pdf.members.tolist())[inside]
         weight, links = pdf.weight.to_numpy(np.int64)[inside], np.zeros(len(pdf), np.int64)
-        edges = [], []
-        for at in range(0, len(pdf), BATCH):
-            qi, ni = graph.search(v[at:at + BATCH], least - 1e-5, beam)
-            qi = qi + at
+        every, root = np.arange(len(pdf)), np.arange(len(pdf))
+        step = max(1000, 1_000_000 // searches.shape[1])
+        for at in range(0, len(query), BATCH):
+            qi, ni = graph.search(v[query[at:at + BATCH]], least - 1e-5, beam)
+            qi = query[qi + at]
             other = inside[ni] != qi
             qi, ni = qi[other], ni[other]
-            for i in range(0, len(qi), 100_000):  # verify in double precision
-                q, n = qi[i:i + 100_000], ni[i:i + 100_000]
+            edges = [every], [root]
+            for i in range(0, len(qi), step):  # verify in double precision
+                q, n = qi[i:i + step], ni[i:i + step]
                 sure = np.einsum("ij,ij->i", v[q], v[inside[n]]) >= least
                 q, n = q[sure], n[sure]
                 edges[0].append(q)
@@ -223,10 +227,10 @@ def _search_shard(least: float, beam: int):
                 holds = (searches[q][:, :, None] == members[n][:, None, :]).any(axis=2)
                 mine = np.take_along_axis(searches[q], holds.argmax(axis=1)[:, None], axis=1)[:, 0] == shard
                 np.add.at(links, q[mine], weight[n[mine]])
-        if edges[0]:
-            out["root"] = pdf.node.to_numpy()[_roots(len(pdf), np.concatenate(edges[0]), np.concatenate(edges[1]))]
+            root = _roots(len(pdf), np.concatenate(edges[0]), np.concatenate(edges[1]))  # one batch's links at a time
+        out["root"] = pdf.node.to_numpy()[root]
         out["links"] = links
-        return out
+        return out[pdf["query"].astype(bool) | (out.root != out.node)]
 
     return run
 
@@ -238,20 +242,47 @@ def _fitted(nodes: DataFrame, n: int) -> np.ndarray:
 
 
 def _found(nodes: DataFrame, c: np.ndarray, least: float, searches: int, beam: int) -> DataFrame:
-    """(node, links, root): by shard, from every node."""
+    """(node, links, root): by shard, part and block, from every node."""
     shared = nodes.sparkSession.sparkContext.broadcast(c)  # MAX_SHARDS centroids at most
+    wide = max(searches, min(MEMBER, len(c)))
 
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = shared.value
+        members, queries = np.zeros(len(c), np.int64), np.zeros(len(c), np.int64)
         for pdf in batches:
-            near = _nearest(_unit(pdf.embedding), c, max(searches, min(MEMBER, len(c))))
-            own, look = near[:, :MEMBER], near[:, :searches]
-            for i in range(near.shape[1]):
-                yield pdf.assign(shard=near[:, i], member=i < own.shape[1], searches=list(look), members=list(own))
+            near = _nearest(_unit(pdf.embedding), c, wide)
+            members += np.bincount(near[:, :MEMBER].ravel(), minlength=len(c))
+            queries += np.bincount(near[:, :searches].ravel(), minlength=len(c))
+        yield pd.DataFrame({"shard": np.arange(len(c)), "members": members, "queries": queries})
+
+    sizes = (nodes.select("embedding").mapInPandas(count, "shard int, members long, queries long").groupBy("shard")
+             .agg(F.sum("members").alias("members"), F.sum("queries").alias("queries")).collect())  # a row a shard
+    parts, blocks = np.ones(len(c), np.int64), np.ones(len(c), np.int64)
+    for r in sizes:
+        parts[r.shard], blocks[r.shard] = max(1, -(-r.members // LIMIT)), max(1, -(-r.queries // LIMIT))
 
-    schema = ("node long, weight long, embedding array<double>, shard int, member boolean, searches array<int>, members array<int>")
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        c = shared.value
+        for pdf in batches:
+            near = _nearest(_unit(pdf.embedding), c, wide)
+            pdf = pdf.assign(searches=list(near[:, :searches]), members=list(near[:, :MEMBER]))
+            h = pdf.node.to_numpy(np.int64).view(np.uint64)
+            for i in range(wide):
+                s, member = near[:, i], i < MEMBER
+                part = (h % parts[s].astype(np.uint64)).astype(np.int64)
+                block = ((h >> np.uint64(32)) % blocks[s].astype(np.uint64)).astype(np.int64)
+                for p in range(parts[s].max() if len(s) else 0):  # as a query: its block with every part
+                    at = parts[s] > p
+                    yield pdf[at].assign(shard=s[at], part=p, block=block[at], member=member & (part[at] == p), query=True)
+                for b in range(blocks[s].max() if member and len(s) else 0):  # as a member: its part with the other blocks
+                    at = (blocks[s] > b) & (block != b)
+                    if at.any():
+                        yield pdf[at].assign(shard=s[at], part=part[at], block=b, member=True, query=False)
+
+    schema = ("node long, weight long, embedding array<double>, searches array<int>, members array<int>, shard int, part int, block int, "
+              "member boolean, query boolean")
     dealt = nodes.select("node", "weight", "embedding").mapInPandas(deal, schema)
-    return dealt.groupBy("shard").applyInPandas(_search_shard(least, beam), "node long, links long, root long")
+    return dealt.groupBy("shard", "part", "block").applyInPandas(_search_shard(least, beam), "node long, links long, root long")
 
 
 def _truth(nodes: DataFrame, ids: list[int], q: np.ndarray, least: float) -> dict[int, int]:

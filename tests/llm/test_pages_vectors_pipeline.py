@@ -182,6 +182,33 @@ def test_audit_sees_lost_pairs(spark):
     assert vectors.audit(rare, found, 0.95, queries=16) == 0.0
 
 
+def test_no_task_holds_a_large_shard(spark, monkeypatch):
+    """A dense group far over the bound is searched in bounded pieces, with the same result."""
+    monkeypatch.setattr(vectors, "LIMIT", 60)
+    rows = grouped(np.random.default_rng(12), 400, 60, 100)
+    nodes = spark.createDataFrame([((i * 0x9E3779B97F4A7C15) % 2**63, 1, v) for i, v in rows], "node long, weight long, embedding array<double>")
+    seen = spark.sparkContext.accumulator(0)
+    search, bound = vectors._search_shard, 2 * 60 + 60
+
+    def watched(*a):
+        run = search(*a)
+
+        def inner(pdf):
+            seen.add(len(pdf) > bound)
+            return run(pdf)
+        return inner
+
+    monkeypatch.setattr(vectors, "_search_shard", watched)
+    c = vectors.centroids(vectors._unit([v for _, v in rows]), 4)
+    for searches in (3, 4):
+        found = vectors._found(nodes, c, 0.95, searches, vectors.BEAM).groupBy("node").sum("links").collect()
+        assert len(found) == len(rows) and seen.value == 0
+    monkeypatch.setattr(vectors, "SHARD", 150)
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in vectors.near_vectors(d).collect()) == sorted(plain(rows))
+    assert seen.value == 0
+
+
 def test_a_search_below_the_bound_raises(spark, monkeypatch):
     monkeypatch.setattr(vectors, "audit", lambda *a: 0.5)
     d = spark.createDataFrame(grouped(np.random.default_rng(9), 3, 2, 5), "vec_id long, embedding array<double>")

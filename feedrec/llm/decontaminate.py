@@ -7,8 +7,10 @@ sum, looks the hashes up in the sorted table of benchmark hashes and verifies
 hits word by word.
 
 The benchmark goes to the tasks in slices of at most ``slice_chars`` characters
-by measured size, one pass each, so a broadcast never outgrows that bound; the
-marks of earlier passes travel with the document.
+by measured size, one pass each; the marks of earlier passes travel with the
+document. A window costs a worker some 600 bytes (``WINDOW_BYTES`` at most), so the
+windows of ``SLICE_CHARS`` characters take about 130 MB in the driver and in every
+worker, and ``SLICE_BYTES`` if every word is one letter. An item is not cut.
 
 Defined results: null or empty text has no words, no hits and is clean; null or
 wordless items and items without an id match nothing; repeated items count once
@@ -31,6 +33,8 @@ from feedrec.llm.common import lower_ascii, store
 ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Odd multiplier of the rolling sum, modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
+WINDOW_BYTES, SLICE_BYTES = 800, 800_000_000
+SLICE_CHARS = 2 * SLICE_BYTES // WINDOW_BYTES  # a window starts at a word: a letter and a blank at least
 FOUND = "_decontaminate"
 STATE = "struct<n_words:bigint,starts:array<int>,ends:array<int>,items:array<bigint>>"
 
@@ -82,7 +86,7 @@ class Windows:
         return hit, found
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, n: int = 13, slice_chars: int = 64_000_000) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, n: int = 13, slice_chars: int = SLICE_CHARS) -> DataFrame:
     """``docs`` with a column ``FOUND``: the number of words, the hit runs as
     word positions [start, end), and the ids of the items found."""
     bench = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text")

@@ -431,6 +431,22 @@ def test_decontamination(spark, docs, texts, sf):
     assert kept.columns == ["doc_id", "text", "lang", "score", "node"]
 
 
+def test_a_slice_fits_its_bound_in_bytes():
+    import inspect
+    import pickle
+    import tracemalloc
+    slice_chars = inspect.signature(decontaminate.scan).parameters["slice_chars"].default
+    rng = np.random.default_rng(1)
+    for letters in (1, 6):  # words of one letter are the worst
+        text = " ".join("".join(map(chr, w)) for w in rng.integers(97, 123, (40_000, letters)))
+        data = pickle.dumps(decontaminate.Windows([(1, text)], 13))
+        tracemalloc.start()
+        held = pickle.loads(data)
+        size = tracemalloc.get_traced_memory()[0]
+        tracemalloc.stop()
+        assert len(held.items) > 39_000 and size / len(text) * slice_chars <= 800_000_000
+
+
 def test_fold_of_a_null_id_is_held_out(spark):
     r = spark.createDataFrame([(None,), (7,)], "i long").select(fold(__import__("pyspark.sql.functions", fromlist=["col"]).col("i"), 5).alias("f")).collect()
     assert [x.f for x in r] == [0, zlib.crc32(b"7") % 5]

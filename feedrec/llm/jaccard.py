@@ -519,11 +519,28 @@ def docs_repeat(named: DataFrame) -> bool:
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group of near duplicates, the one of
-    the smallest id (of rows with equal ids, one); all columns kept. Documents
-    without words and rows without an id are no duplicates and stay."""
+    the smallest id (of rows with equal ids and texts, one); all columns kept.
+    Documents without words and rows without an id are no duplicates and stay.
+    An id with several texts does not make these near duplicates."""
+    if docs_repeat(docs.where("doc_id is not null").select("doc_id")):
+        return _keep_one_text(docs, n, percent)
     found = near_duplicates(docs, n, percent)
     gone = found.where("doc_id is not null and component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    if docs_repeat(found.where("doc_id is not null")):
-        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
-    return kept
+    return docs.join(gone, "doc_id", "left_anti")
+
+
+def _keep_one_text(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """As ``keep_one``, where ids repeat: by id and node."""
+    @F.pandas_udf("long")
+    def node(texts: pd.Series) -> pd.Series:
+        return pd.Series([digest(shingles(t, n)) for t in texts], dtype="int64")
+
+    rows = store(sets(docs, n, percent), "jaccard-rows")
+    labels = components(node_links(docs, rows, n, percent))
+    filled = rows.where("doc_id is not null and n_shingles > 0").select("doc_id", "node").distinct()
+    classes = filled.join(labels, "node", "left").withColumn("class", F.coalesce("component", "node"))
+    first = classes.groupBy("class").agg(F.min(F.struct("doc_id", "node")).alias("first"))
+    gone = classes.join(first, "class").where("doc_id <> first.doc_id or node <> first.node")
+    kept = docs.withColumn("_node", node("text")).join(gone.select("doc_id", F.col("node").alias("_node")), ["doc_id", "_node"], "left_anti")
+    kept = kept.where("doc_id is not null").dropDuplicates(["doc_id", "_node"]).unionByName(kept.where("doc_id is null"))
+    return kept.select(docs.columns)

@@ -318,6 +318,13 @@ def test_join_odd_rows_and_keep_one(spark):
     assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 2, 3, 4, None, 6, 7, 8, 9, 10])
 
 
+def test_keep_one_keeps_different_texts_of_an_id(spark):
+    a, b, c = (" ".join(f"{x}{j}" for j in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (1, a), (2, b + " x"), (3, a + " y"), (4, c), (5, c), (6, ""), (6, c + " z"), (7, None), (None, a)]
+    kept = [(r.doc_id, r.text) for r in jaccard.keep_one(frame(spark, rows)).collect()]
+    assert Counter(kept) == Counter([(1, a), (1, b), (4, c), (6, ""), (7, None), (None, a)])
+
+
 def test_band_arithmetic():
     b = jaccard.Bands(80, 100_000)
     for n in range(1, 3000):

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedrec.llm import decontaminate, idfile, jaccard, lm, packing, pages, quality, secrets, toxicity, vectors
+from feedrec.llm import (collocation, decontaminate, idfile, jaccard, lm, packing, pages, quality, secrets, spelling, topk, toxicity,
+                         vectors)
 from feedrec.llm.common import read
 
 
@@ -49,5 +50,17 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(read(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling(read(spark, sf_dir, "documents"))
+
+
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_toxicity, op3_lm_score, op4_near_vectors, op5_main_text, op6_packing, op7_token_files, op8_ngram_join, op9_secrets,
-                                  op10_decontaminate)}
+                                  op10_decontaminate, op11_collocations, op12_spelling, op13_top_k)}

@@ -15,7 +15,7 @@ is a bitmap of fixed size (``filter_bits``, 8 MB), the only thing broadcast. Has
 or bits that fall together can only leave a window longer than needed, so counts
 stay exact, and a full bitmap would cost time, not results.
 
-Every task counts the windows of some ``chunk_chars`` characters before it passes
+Every task counts the windows of some ``chunk_bytes`` bytes before it passes
 them on. The scores join phrases with their parts on (lang, phrase); no group
 is gathered, and a lang's best list is a limited window.
 
@@ -30,49 +30,43 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedrec.llm.blocks import ODD, U, mix, word_hashes
-from feedrec.llm.common import lower_ascii, store
+from feedrec.llm.common import store
 
-BREAK = ".,;:!?\n\x0b\x0c\r"
-TOKEN = re.compile(r"[^\x20\x09.,;:!?\x0A-\x0D]+|[.,;:!?\x0A-\x0D]+")
-CUT = re.compile(r"[.,;:!?\x0A-\x0D]")
+BREAKS = r"[.,;:!?\x0A-\x0D]+"
+CUT = re.compile(BREAKS)
 LONGEST = 5
+LAST = (pa.scalar(" .", pa.large_string()), pa.scalar("", pa.large_string()))  # a break closes a text
 SLOT = 32768  # bits of one row of Spark's bitmaps
 
 
-class Numbers(dict):
-    """word -> number in a chunk; breaks are -1."""
-
-    def __missing__(self, w: str) -> int:
-        self[w] = n = -1 if w[0] in BREAK else len(self)
-        return n
-
-
 class Chunk:
-    """The words of some texts side by side, a break (-1) after each text:
+    """The words of some texts side by side, a break (-1) after each piece:
     ``token`` numbers index ``words``; ``lang`` numbers index ``langs``."""
 
-    def __init__(self, numbers: Numbers, parts: list[np.ndarray], langs: list[str]):
-        self.words = np.empty(len(numbers), dtype=object)
-        for w, i in numbers.items():
-            if i >= 0:
-                self.words[i] = w
-        self.token = np.concatenate(parts)
-        self.langs, lang = np.unique(np.array(langs, dtype=object), return_inverse=True)
-        self.lang = np.repeat(lang.astype(np.int64), [len(p) for p in parts])
+    def __init__(self, langs: pa.Array, texts: pa.Array):
+        pieces = pc.replace_substring_regex(pc.ascii_lower(texts), BREAKS, " . ")
+        lists = pc.split_pattern(pc.replace_substring(pc.binary_join_element_wise(pieces, *LAST), "\t", " "), " ")
+        coded = lists.flatten().dictionary_encode()
+        self.words = coded.dictionary
+        token = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        some = np.flatnonzero(token != pc.index(self.words, "").as_py())
+        self.token = token[some]
+        self.token[self.token == pc.index(self.words, ".").as_py()] = -1
+        coded = langs.dictionary_encode()
+        self.langs = coded.dictionary
+        self.lang = np.repeat(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64),
+                              lists.value_lengths().to_numpy(zero_copy_only=False))[some]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Positions whose word has another right after it, and the pairs' hashes."""
         at = np.flatnonzero((self.token[:-1] >= 0) & (self.token[1:] >= 0))
-        h = np.zeros(len(self.words), U)
-        known = np.array([w is not None for w in self.words], dtype=bool)
-        h[known] = word_hashes(self.words[known].tolist())
-        g = word_hashes(self.langs.tolist())
+        h, g = word_hashes(self.words.to_pylist()), word_hashes(self.langs.to_pylist())
         return at, mix(h[self.token[at]] * ODD[2] + h[self.token[at + 1]] + g[self.lang[at]] * ODD[3])
 
 
@@ -85,33 +79,40 @@ def _segments(text: str, chars: int) -> Iterator[str]:
     yield text[start:] if start else text
 
 
-def _chunks(batches: Iterator[pd.DataFrame], chunk_chars: int) -> Iterator[Chunk]:
-    numbers, parts, langs, chars = Numbers(), [], [], 0
-    for pdf in batches:
-        for lang, text in zip(pdf.lang, pdf.text):
-            for part in _segments(text, chunk_chars) if text else ():
-                found = TOKEN.findall(lower_ascii(part))
-                found.append(".")
-                parts.append(np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)))
-                langs.append(lang)
-                chars += len(part) + 200  # a row costs something whatever its text
-                if chars >= chunk_chars:
-                    yield Chunk(numbers, parts, langs)
-                    numbers, parts, langs, chars = Numbers(), [], [], 0
-    if parts:
-        yield Chunk(numbers, parts, langs)
+def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[Chunk]:
+    langs, texts, size = [], [], 0
+    for batch in batches:
+        lang, text = batch.column(0), pc.fill_null(batch.column(1).cast(pa.large_string()), "")
+        cost = pc.binary_length(text).to_numpy() + 200  # a row costs something whatever its text
+        ends, a = np.cumsum(cost), 0
+        while a < len(cost):  # a batch can be larger than a chunk, and so can one text
+            if cost[a] > chunk_bytes:
+                parts = pa.array(list(_segments(text[a].as_py(), chunk_bytes)), pa.large_string())
+                yield from (Chunk(lang[a:a + 1], parts[i:i + 1]) for i in range(len(parts)))
+                a += 1
+                continue
+            room = (ends[a - 1] if a else 0) + chunk_bytes - size
+            b = max(a + 1, int(np.searchsorted(ends, room, side="right")))
+            langs.append(lang[a:b])
+            texts.append(text[a:b])
+            size, a = size + int(cost[a:b].sum()), b
+            if size >= chunk_bytes or a < len(cost):
+                yield Chunk(pa.concat_arrays(langs), pa.concat_arrays(texts))
+                langs, texts, size = [], [], 0
+    if texts:
+        yield Chunk(pa.concat_arrays(langs), pa.concat_arrays(texts))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
 
 
-def pair_filter(texts: DataFrame, least: int, filter_bits: int, chunk_chars: int) -> np.ndarray:
+def pair_filter(texts: DataFrame, least: int, filter_bits: int, chunk_bytes: int) -> np.ndarray:
     """A bit for each cell of pair hashes, set if a pair in it occurs ``least``
     times: ``filter_bits`` / 8 bytes whatever the corpus."""
 
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks((b.to_pandas() for b in batches), chunk_chars):
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _chunks(batches, chunk_bytes):
             key, n = np.unique(chunk.pairs()[1], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
 
@@ -131,8 +132,7 @@ def _counted(chunk: Chunk, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
     cell = (key.view(np.int64) % (len(bits) * 8)).astype(np.int64)
     link = np.zeros(len(chunk.token) + LONGEST, dtype=bool)  # the word and the next one stay in one window
     link[at] = (bits[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1
-    words, langs = pa.array(chunk.words, pa.string()), pa.array(chunk.langs, pa.string())
-    v = len(chunk.words)
+    words, langs, v = chunk.words.cast(pa.string()), chunk.langs, len(chunk.words)
     start = np.flatnonzero(chunk.token >= 0)
     node, path = chunk.lang[start] * v + chunk.token[start], None
     for depth in range(1, LONGEST + 1):
@@ -156,16 +156,16 @@ def _counted(chunk: Chunk, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
             return
 
 
-def phrase_counts(docs: DataFrame, least: int, filter_bits: int = 1 << 26, chunk_chars: int = 16_000_000) -> DataFrame:
+def phrase_counts(docs: DataFrame, least: int, filter_bits: int = 1 << 26, chunk_bytes: int = 16_000_000) -> DataFrame:
     """(lang, words, phrase, f): every phrase of one to five words that occurs
     ``least`` times, and per lang a row without words whose f is the number of
     all its words."""
     texts = _texts(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(pair_filter(texts, least, filter_bits, chunk_chars))
+    shared = docs.sparkSession.sparkContext.broadcast(pair_filter(texts, least, filter_bits, chunk_bytes))
     columns = [f"w{d}" for d in range(1, LONGEST + 1)]
 
-    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks((b.to_pandas() for b in batches), chunk_chars):
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _chunks(batches, chunk_bytes):
             yield from _counted(chunk, shared.value)
 
     counted = texts.mapInArrow(windows, "lang string, " + ", ".join(f"{c} string" for c in columns) + ", n long")

@@ -32,7 +32,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -55,6 +55,14 @@ def altered(prefix_crc: int, run: str, every: int) -> str:
     return run[:at] + run[at + 1:]
 
 
+def _frame(counts: Counter) -> pd.DataFrame:
+    return pd.DataFrame({"word": _texts(counts), "n": np.fromiter(counts.values(), np.int64, len(counts))})
+
+
+def _texts(words: Iterable[str]) -> pd.Series:
+    return pd.Series(list(words), dtype=object)  # plain strings, also when there are none
+
+
 def vocabulary(docs: DataFrame, least_length: int = 5, least_count: int = 3, every: int = 97) -> DataFrame:
     """(word, n): the words of all texts, as the module's head says."""
 
@@ -70,9 +78,9 @@ def vocabulary(docs: DataFrame, least_length: int = 5, least_count: int = 3, eve
                     if len(word) >= least_length:
                         total[word] += n
                 if len(total) > FLUSH:
-                    yield pd.DataFrame({"word": list(total), "n": list(total.values())})
+                    yield _frame(total)
                     total.clear()
-        yield pd.DataFrame({"word": list(total), "n": list(total.values())})
+        yield _frame(total)
 
     texts = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc_id"), "text")
     return (texts.mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -234,8 +242,8 @@ def near_words(words: DataFrame, shard: int = 8192) -> DataFrame:
         texts, patterns = here.text.tolist(), asked.text.tolist()
         p, w = near_in_shard(texts, patterns, asked.kept.tolist())
         turn = -1 if key[0] % 2 == 0 else 1
-        return pd.DataFrame({"word": [patterns[i][::turn] for i in p.tolist()], "near": [texts[i][::turn] for i in w.tolist()],
-                             "near_n": here.n.to_numpy()[w]})
+        return pd.DataFrame({"word": _texts(patterns[i][::turn] for i in p.tolist()),
+                             "near": _texts(texts[i][::turn] for i in w.tolist()), "near_n": here.n.to_numpy()[w]})
 
     return dealt.groupBy("shard").applyInPandas(find, schema).dropDuplicates(["word", "near"])
 

@@ -149,16 +149,18 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, id_col: str = "
     rows = _vectors(candidates, id_col, vector_col)
     passes = [_pass(asked.where(F.pmod(F.xxhash64("id", "x"), F.lit(n_blocks)) == b), rows, k, block_cells)
               for b in range(n_blocks)]
-    out = passes[0] if passes else spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    for p in passes[1:]:
-        out = out.unionByName(p)
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    for p in passes:
+        out = out.unionByName(p) if p is not None else out
     return out
 
 
-def _pass(block: DataFrame, rows: DataFrame, k: int, block_cells: int) -> DataFrame:
-    """One block of queries against all rows."""
+def _pass(block: DataFrame, rows: DataFrame, k: int, block_cells: int) -> DataFrame | None:
+    """One block of queries against all rows; None for a block without any."""
     asked = block.toArrow()  # at most about query_cells numbers
     n = len(asked)
+    if not n:
+        return None
     lengths = np.array([len(v) for v in asked.column("x")], dtype=np.int64)
     flat = np.concatenate([np.asarray(c.flatten(), dtype=np.float64) for c in asked.column("x").chunks] or [np.empty(0)])
     q = Rows(asked.column("id").to_numpy(), np.zeros(n, dtype=bool), lengths, flat)

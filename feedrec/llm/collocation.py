@@ -32,10 +32,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedrec.llm.blocks import ODD, U, mix, word_hashes
+from feedrec.llm.blocks import ODD, U, mix
 from feedrec.llm.common import store
 
 BREAKS = r"[.,;:!?\x0A-\x0D]+"
@@ -45,6 +46,10 @@ LAST = (pa.scalar(" .", pa.large_string()), pa.scalar("", pa.large_string()))  #
 SLOT = 32768  # bits of one row of Spark's bitmaps
 
 
+def _hashes(words: pa.Array) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words.cast(pa.large_binary()).to_pylist()), U, len(words))
+
+
 class Chunk:
     """The words of some texts side by side, a break (-1) after each piece:
     ``token`` numbers index ``words``; ``lang`` numbers index ``langs``."""
@@ -66,7 +71,7 @@ class Chunk:
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Positions whose word has another right after it, and the pairs' hashes."""
         at = np.flatnonzero((self.token[:-1] >= 0) & (self.token[1:] >= 0))
-        h, g = word_hashes(self.words.to_pylist()), word_hashes(self.langs.to_pylist())
+        h, g = _hashes(self.words), _hashes(self.langs)
         return at, mix(h[self.token[at]] * ODD[2] + h[self.token[at + 1]] + g[self.lang[at]] * ODD[3])
 
 
@@ -156,7 +161,7 @@ def _counted(chunk: Chunk, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
             return
 
 
-def phrase_counts(docs: DataFrame, least: int, filter_bits: int = 1 << 26, chunk_bytes: int = 16_000_000) -> DataFrame:
+def phrase_counts(docs: DataFrame, least: int, filter_bits: int = 1 << 26, chunk_bytes: int = 4_000_000) -> DataFrame:
     """(lang, words, phrase, f): every phrase of one to five words that occurs
     ``least`` times, and per lang a row without words whose f is the number of
     all its words."""

@@ -8,9 +8,9 @@ one to five words, and its upper level the words of a language: no n-gram
 of a shorter length is ever made.
 
 Most windows of a large corpus occur once, while a phrase must occur ``least``
-times. So a window is padded earlier where its next pair of words cannot be part
-of such a phrase: a phrase is no more frequent than any pair of words in it. Which
-pairs occur often enough is counted first, by 64-bit hashes; the answer
+times. So a window is padded earlier where its next word cannot be part of such a
+phrase: a phrase is no more frequent than any word or pair of words in it. Which
+words and pairs occur often enough is counted first, by 64-bit hashes; the answer
 is a bitmap of fixed size (``filter_bits``, 8 MB), the only thing broadcast. Hashes
 or bits that fall together can only leave a window longer than needed, so counts
 stay exact, and a full bitmap would cost time, not results.
@@ -42,6 +42,8 @@ from feedrec.llm.common import store
 BREAKS = r"[.,;:!?\x0A-\x0D]+"
 CUT = re.compile(BREAKS)
 LONGEST = 5
+COLUMNS = [f"w{d}" for d in range(1, LONGEST + 1)]
+NAMES = ["lang", *COLUMNS, "n"]
 LAST = (pa.scalar(" .", pa.large_string()), pa.scalar("", pa.large_string()))  # a break closes a text
 SLOT = 32768  # bits of one row of Spark's bitmaps
 
@@ -68,11 +70,24 @@ class Chunk:
         self.lang = np.repeat(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64),
                               lists.value_lengths().to_numpy(zero_copy_only=False))[some]
 
+        self.hash, self.lang_hash = _hashes(self.words), _hashes(self.langs) * ODD[3]
+
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Positions whose word has another right after it, and the pairs' hashes."""
         at = np.flatnonzero((self.token[:-1] >= 0) & (self.token[1:] >= 0))
-        h, g = _hashes(self.words), _hashes(self.langs)
-        return at, mix(h[self.token[at]] * ODD[2] + h[self.token[at + 1]] + g[self.lang[at]] * ODD[3])
+        return at, mix(self.hash[self.token[at]] * ODD[2] + self.hash[self.token[at + 1]] + self.lang_hash[self.lang[at]])
+
+    def singles(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct words of a lang, as lang * len(words) + word, their hashes and counts."""
+        v, at = len(self.words), np.flatnonzero(self.token >= 0)
+        n = np.bincount(self.lang[at] * v + self.token[at], minlength=1)
+        code = np.flatnonzero(n)
+        return code, mix(self.hash[code % v] * ODD[4] + self.lang_hash[code // v]), n[code]
+
+
+def _bits(filter_: np.ndarray, key: np.ndarray) -> np.ndarray:
+    cell = key.view(np.int64) % (len(filter_) * 8)
+    return (filter_[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0
 
 
 def _segments(text: str, chars: int) -> Iterator[str]:
@@ -113,13 +128,13 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def pair_filter(texts: DataFrame, least: int, filter_bits: int, chunk_bytes: int) -> np.ndarray:
-    """A bit for each cell of pair hashes, set if a pair in it occurs ``least``
+    """A bit for each cell of hashes, set if a word or pair in it occurs ``least``
     times: ``filter_bits`` / 8 bytes whatever the corpus."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches, chunk_bytes):
-            key, n = np.unique(chunk.pairs()[1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
+            for key, n in (chunk.singles()[1:], np.unique(chunk.pairs()[1], return_counts=True)):
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
 
     cell = F.pmod("key", F.lit(filter_bits))
     slots = (texts.mapInArrow(pairs, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
@@ -133,17 +148,25 @@ def pair_filter(texts: DataFrame, least: int, filter_bits: int, chunk_bytes: int
 
 def _counted(chunk: Chunk, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The chunk's distinct windows and their counts: a trie, one level a word."""
-    at, key = chunk.pairs()
-    cell = (key.view(np.int64) % (len(bits) * 8)).astype(np.int64)
-    link = np.zeros(len(chunk.token) + LONGEST, dtype=bool)  # the word and the next one stay in one window
-    link[at] = (bits[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1
     words, langs, v = chunk.words.cast(pa.string()), chunk.langs, len(chunk.words)
+    code, key, n = chunk.singles()
+    often = np.zeros(len(langs) * v, dtype=bool)
+    often[code] = _bits(bits, key)
     start = np.flatnonzero(chunk.token >= 0)
-    node, path = chunk.lang[start] * v + chunk.token[start], None
+    node = chunk.lang[start] * v + chunk.token[start]
+    kept = np.zeros(len(chunk.token) + LONGEST, dtype=bool)
+    kept[start] = often[node]
+    at, key = chunk.pairs()
+    link = np.zeros(len(kept), dtype=bool)  # the word and the next one stay in one window
+    link[at] = _bits(bits, key) & kept[at] & kept[at + 1]
+    pad = pa.array([""], pa.string())
+    # windows that begin with a word no phrase can hold count for their lang only
+    rest = np.bincount(code[~often[code]] // v, weights=n[~often[code]], minlength=len(langs)).astype(np.int64)
+    yield pa.RecordBatch.from_arrays([langs, *[pad.take(pa.array(np.zeros(len(langs), np.int64)))] * LONGEST, pa.array(rest)], names=NAMES)
+    start, node = start[kept[start]], node[kept[start]]
     for depth in range(1, LONGEST + 1):
         if depth == 1:  # numbers are dense already
-            key, path = np.arange(len(chunk.langs) * v), np.empty((0, 0), dtype=np.int64)
-            path = np.stack([key // v, key % v])
+            path = np.stack([np.arange(len(langs) * v) // v, np.arange(len(langs) * v) % v])
         else:
             key, node = np.unique(node * v + chunk.token[start + depth - 1], return_inverse=True)
             path = np.concatenate([path[:, key // v], (key % v)[None]])
@@ -151,11 +174,9 @@ def _counted(chunk: Chunk, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
         n = np.bincount(node[~on], minlength=path.shape[1])
         some = np.flatnonzero(n)
         if len(some):
-            pad = pa.array([""], pa.string()).take(pa.array(np.zeros(len(some), dtype=np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [langs.take(pa.array(path[0, some])), *(words.take(pa.array(path[d, some])) for d in range(1, depth + 1)),
-                 *[pad] * (LONGEST - depth), pa.array(n[some])],
-                names=["lang", *(f"w{d}" for d in range(1, LONGEST + 1)), "n"])
+                 *[pad.take(pa.array(np.zeros(len(some), np.int64)))] * (LONGEST - depth), pa.array(n[some])], names=NAMES)
         start, node = start[on], node[on]
         if not len(start):
             return
@@ -167,17 +188,17 @@ def phrase_counts(docs: DataFrame, least: int, filter_bits: int = 1 << 26, chunk
     all its words."""
     texts = _texts(docs)
     shared = docs.sparkSession.sparkContext.broadcast(pair_filter(texts, least, filter_bits, chunk_bytes))
-    columns = [f"w{d}" for d in range(1, LONGEST + 1)]
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches, chunk_bytes):
             yield from _counted(chunk, shared.value)
 
-    counted = texts.mapInArrow(windows, "lang string, " + ", ".join(f"{c} string" for c in columns) + ", n long")
-    sums = counted.rollup("lang", *columns).agg(F.sum("n").alias("f"))
-    last = F.coalesce(*(F.col(c) for c in reversed(columns)))  # "" at a level of the padding
-    kept = sums.where(F.col("lang").isNotNull() & (F.col("w1").isNull() | ((last != "") & (F.col("f") >= least))))
-    words = F.array_compact(F.array(*columns))
+    counted = texts.mapInArrow(windows, "lang string, " + ", ".join(f"{c} string" for c in COLUMNS) + ", n long")
+    sums = docs.sparkSession.sql(f"SELECT lang, {', '.join(COLUMNS)}, sum(n) AS f FROM {{counted}} GROUP BY lang, ROLLUP({', '.join(COLUMNS)})",
+                                 counted=counted)
+    last = F.coalesce(*reversed(COLUMNS))  # "" at a level of the padding
+    kept = sums.where(F.col("w1").isNull() | ((last != "") & (F.col("f") >= least)))
+    words = F.array_compact(F.array(*COLUMNS))
     out = store(kept.select("lang", words.alias("words"), F.array_join(words, " ").alias("phrase"), "f"), "phrases")
     shared.destroy()
     return out

@@ -9,8 +9,8 @@ of a shorter length is ever made.
 
 Most windows of a large corpus occur once, while a phrase must occur ``least``
 times. So a window is padded earlier where its next word cannot be part of such a
-phrase: a phrase is no more frequent than any word or pair of words in it. Which
-words and pairs occur often enough is counted first, by 64-bit hashes; the answer
+phrase: a phrase is no more frequent than any one, two or three words in it. Which
+of these occur often enough is counted first, by 64-bit hashes; the answer
 is a bitmap of fixed size (``filter_bits``, 8 MB), the only thing broadcast. Hashes
 or bits that fall together can only leave a window longer than needed, so counts
 stay exact, and a full bitmap would cost time, not results.
@@ -72,10 +72,17 @@ class Chunk:
 
         self.hash, self.lang_hash = _hashes(self.words), _hashes(self.langs) * ODD[3]
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Positions whose word has another right after it, and the pairs' hashes."""
-        at = np.flatnonzero((self.token[:-1] >= 0) & (self.token[1:] >= 0))
-        return at, mix(self.hash[self.token[at]] * ODD[2] + self.hash[self.token[at + 1]] + self.lang_hash[self.lang[at]])
+    def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions where ``k`` words of a piece begin (two or three), and the hashes of these words."""
+        t = self.token
+        whole = t[:len(t) - k + 1] >= 0
+        for j in range(1, k):
+            whole &= t[j:len(t) - k + 1 + j] >= 0
+        at = np.flatnonzero(whole)
+        h = self.lang_hash[self.lang[at]] + U(k)
+        for j in range(k):
+            h += self.hash[t[at + j]] * ODD[j]
+        return at, mix(h)
 
     def singles(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct words of a lang, as lang * len(words) + word, their hashes and counts."""
@@ -127,17 +134,17 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
 
 
-def pair_filter(texts: DataFrame, least: int, filter_bits: int, chunk_bytes: int) -> np.ndarray:
-    """A bit for each cell of hashes, set if a word or pair in it occurs ``least``
-    times: ``filter_bits`` / 8 bytes whatever the corpus."""
+def frequent(texts: DataFrame, least: int, filter_bits: int, chunk_bytes: int) -> np.ndarray:
+    """A bit for each cell of hashes, set if one, two or three words in it occur
+    ``least`` times: ``filter_bits`` / 8 bytes whatever the corpus."""
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches, chunk_bytes):
-            for key, n in (chunk.singles()[1:], np.unique(chunk.pairs()[1], return_counts=True)):
+            for key, n in (chunk.singles()[1:], *(np.unique(chunk.grams(k)[1], return_counts=True) for k in (2, 3))):
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
 
     cell = F.pmod("key", F.lit(filter_bits))
-    slots = (texts.mapInArrow(pairs, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    slots = (texts.mapInArrow(hashed, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
              .groupBy(F.expr(f"pmod(key, {filter_bits}) div {SLOT}").alias("slot"))
              .agg(F.bitmap_construct_agg(F.pmod(cell, F.lit(SLOT))).alias("bits")).collect())  # filter_bits / SLOT rows at most
     out = np.zeros(filter_bits // 8, dtype=np.uint8)
@@ -156,9 +163,12 @@ def _counted(chunk: Chunk, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
     node = chunk.lang[start] * v + chunk.token[start]
     kept = np.zeros(len(chunk.token) + LONGEST, dtype=bool)
     kept[start] = often[node]
-    at, key = chunk.pairs()
-    link = np.zeros(len(kept), dtype=bool)  # the word and the next one stay in one window
-    link[at] = _bits(bits, key) & kept[at] & kept[at + 1]
+    pair, triple = np.zeros(len(kept), dtype=bool), np.zeros(len(kept), dtype=bool)
+    for k, link in ((2, pair), (3, triple)):
+        at, key = chunk.grams(k)
+        link[at] = _bits(bits, key)
+    pair[:-1] &= kept[:-1] & kept[1:]
+    triple[:-1] &= pair[:-1] & pair[1:]
     pad = pa.array([""], pa.string())
     # windows that begin with a word no phrase can hold count for their lang only
     rest = np.bincount(code[~often[code]] // v, weights=n[~often[code]], minlength=len(langs)).astype(np.int64)
@@ -170,7 +180,8 @@ def _counted(chunk: Chunk, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
         else:
             key, node = np.unique(node * v + chunk.token[start + depth - 1], return_inverse=True)
             path = np.concatenate([path[:, key // v], (key % v)[None]])
-        on = link[start + depth - 1] if depth < LONGEST else np.zeros(len(start), dtype=bool)
+        # the next word belongs to the window
+        on = pair[start] if depth == 1 else triple[start + depth - 2] if depth < LONGEST else np.zeros(len(start), dtype=bool)
         n = np.bincount(node[~on], minlength=path.shape[1])
         some = np.flatnonzero(n)
         if len(some):
@@ -187,7 +198,7 @@ def phrase_counts(docs: DataFrame, least: int, filter_bits: int = 1 << 26, chunk
     ``least`` times, and per lang a row without words whose f is the number of
     all its words."""
     texts = _texts(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(pair_filter(texts, least, filter_bits, chunk_bytes))
+    shared = docs.sparkSession.sparkContext.broadcast(frequent(texts, least, filter_bits, chunk_bytes))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches, chunk_bytes):

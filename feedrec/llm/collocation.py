@@ -15,8 +15,9 @@ is a bitmap of fixed size (``filter_bits``, 8 MB), the only thing broadcast. Has
 or bits that fall together can only leave a window longer than needed, so counts
 stay exact, and a full bitmap would cost time, not results.
 
-Every task counts the windows of some ``chunk_bytes`` bytes before it passes
-them on. The scores join phrases with their parts on (lang, phrase); no group
+Every task counts its windows, some ``chunk_bytes`` bytes of text at a time, and adds
+equal ones up before it passes them on, dealt by hash and packed, to the tasks that
+add up what the tasks found; ROLLUP then meets each window about once. The scores join phrases with their parts on (lang, phrase); no group
 is gathered, and a lang's best list is a limited window.
 
 Defined results: null text holds no words, a null lang is ``und``. Repeated rows count
@@ -27,7 +28,7 @@ are ignored."""
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -153,7 +154,7 @@ def frequent(texts: DataFrame, least: int, filter_bits: int, chunk_bytes: int) -
     return out
 
 
-def _counted(chunk: Chunk, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _counted(chunk: Chunk, bits: np.ndarray) -> Iterator[pa.Table]:
     """The chunk's distinct windows and their counts: a trie, one level a word."""
     words, langs, v = chunk.words.cast(pa.string()), chunk.langs, len(chunk.words)
     code, key, n = chunk.singles()
@@ -172,7 +173,8 @@ def _counted(chunk: Chunk, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
     pad = pa.array([""], pa.string())
     # windows that begin with a word no phrase can hold count for their lang only
     rest = np.bincount(code[~often[code]] // v, weights=n[~often[code]], minlength=len(langs)).astype(np.int64)
-    yield pa.RecordBatch.from_arrays([langs, *[pad.take(pa.array(np.zeros(len(langs), np.int64)))] * LONGEST, pa.array(rest)], names=NAMES)
+    yield pa.Table.from_arrays([langs, *[pad.take(pa.array(np.zeros(len(langs), np.int64)))] * LONGEST, pa.array(rest),
+                                pa.array(mix(chunk.lang_hash).view(np.int64))], names=[*NAMES, "hash"])
     start, node = start[kept[start]], node[kept[start]]
     for depth in range(1, LONGEST + 1):
         if depth == 1:  # numbers are dense already
@@ -185,26 +187,75 @@ def _counted(chunk: Chunk, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
         n = np.bincount(node[~on], minlength=path.shape[1])
         some = np.flatnonzero(n)
         if len(some):
-            yield pa.RecordBatch.from_arrays(
+            h = chunk.lang_hash[path[0, some]]
+            for d in range(1, depth + 1):
+                h += chunk.hash[path[d, some]] * ODD[d - 1]
+            yield pa.Table.from_arrays(
                 [langs.take(pa.array(path[0, some])), *(words.take(pa.array(path[d, some])) for d in range(1, depth + 1)),
-                 *[pad.take(pa.array(np.zeros(len(some), np.int64)))] * (LONGEST - depth), pa.array(n[some])], names=NAMES)
+                 *[pad.take(pa.array(np.zeros(len(some), np.int64)))] * (LONGEST - depth), pa.array(n[some]), pa.array(mix(h).view(np.int64))],
+                names=[*NAMES, "hash"])
         start, node = start[on], node[on]
         if not len(start):
             return
 
 
-def phrase_counts(docs: DataFrame, least: int, filter_bits: int = 1 << 26, chunk_bytes: int = 4_000_000) -> DataFrame:
+def _summed(tables: Iterable[pa.Table], rows: int) -> Iterator[pa.Table]:
+    """Equal windows added up, in tables of some ``rows`` rows at most."""
+    held, n = [], 0
+    for table in tables:
+        held.append(table)
+        n += len(table)
+        if n > rows:
+            held = [_sum(held)]
+            n = len(held[0])
+            if n > rows // 2:
+                yield held[0]
+                held, n = [], 0
+    if held:
+        yield _sum(held)
+
+
+def _sum(tables: list[pa.Table]) -> pa.Table:
+    out = pa.concat_tables(tables).group_by([*NAMES[:-1], "hash"]).aggregate([("n", "sum")])
+    return out.rename_columns(["n" if c == "n_sum" else c for c in out.column_names]).select([*NAMES, "hash"])
+
+
+def _dealt(table: pa.Table, buckets: int) -> pa.RecordBatch:
+    """A table's windows as one row for each bucket."""
+    bucket = table.column("hash").to_numpy().view(U) % U(buckets)
+    order = np.argsort(bucket, kind="stable")
+    cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    table, some = table.take(pa.array(order)).combine_chunks(), np.flatnonzero(np.diff(cut))
+    data = []
+    for b in some.tolist():
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table.slice(cut[b], cut[b + 1] - cut[b]))
+        data.append(sink.getvalue().to_pybytes())
+    return pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(data, pa.binary())], names=["bucket", "windows"])
+
+
+def phrase_counts(docs: DataFrame, least: int, filter_bits: int = 1 << 26, chunk_bytes: int = 4_000_000, task_rows: int = 600_000,
+                  bucket_bytes: int = 32_000_000) -> DataFrame:
     """(lang, words, phrase, f): every phrase of one to five words that occurs
     ``least`` times, and per lang a row without words whose f is the number of
     all its words."""
     texts = _texts(docs)
     shared = docs.sparkSession.sparkContext.broadcast(frequent(texts, least, filter_bits, chunk_bytes))
+    buckets = 1 + (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // bucket_bytes
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches, chunk_bytes):
-            yield from _counted(chunk, shared.value)
+        found = (table for chunk in _chunks(batches, chunk_bytes) for table in _counted(chunk, shared.value))
+        for table in _summed(found, task_rows):
+            yield _dealt(table, buckets)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = (pa.ipc.open_stream(data.as_buffer()).read_all() for batch in batches for data in batch.column(1))
+        for table in _summed(found, task_rows):
+            yield from table.select(NAMES).to_batches()
 
-    counted = texts.mapInArrow(windows, "lang string, " + ", ".join(f"{c} string" for c in COLUMNS) + ", n long")
+    counted = (texts.mapInArrow(windows, "bucket long, windows binary").repartition(buckets, "bucket")
+               .mapInArrow(whole, "lang string, " + ", ".join(f"{c} string" for c in COLUMNS) + ", n long"))
     sums = docs.sparkSession.sql(f"SELECT lang, {', '.join(COLUMNS)}, sum(n) AS f FROM {{counted}} GROUP BY lang, ROLLUP({', '.join(COLUMNS)})",
                                  counted=counted)
     last = F.coalesce(*reversed(COLUMNS))  # "" at a level of the padding

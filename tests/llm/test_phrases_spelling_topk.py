@@ -62,7 +62,7 @@ def plain_phrases(rows, least, best=2000):
     return sorted(found)
 
 
-@pytest.mark.parametrize("bounds", [{}, {"filter_bits": 32768, "chunk_bytes": 3000}, {"filter_bits": 32768 * 2, "chunk_bytes": 1}])
+@pytest.mark.parametrize("bounds", [{}, {"filter_bits": 32768, "chunk_bytes": 3000, "task_rows": 50, "bucket_bytes": 2000}, {"filter_bits": 32768 * 2, "chunk_bytes": 1}])
 @pytest.mark.parametrize("least", [2, 3])
 def test_phrases_of_odd_rows(spark, least, bounds):
     got = collocation.collocations(documents(spark), least, **bounds)

@@ -5,7 +5,8 @@ The plan, in shuffles: distinct (user, act, theme) [partial agg] -> norm per
 act, block pair), every unordered pair once -> sum per unordered pair [partial
 agg before the shuffle] -> mirror -> top N per user [WindowGroupLimit]. All
 users of a group take part; a heavy group is split into blocks of about
-``pair_block`` users, so no join key holds more than that on either side. The
+``pair_block`` users, so no join key holds more than that on either side. Which
+groups need to form their pairs is decided in ``simtop``. The
 seeded sample of O14 is an opt-in (``theme_max_user``).
 """
 
@@ -14,9 +15,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import act_weight, nonempty, r6, r9
+from ..functions.columns import nonempty, r6
 from ..functions.ranking import top_n
 from ..params import Params
+from . import simtop
 
 
 def cf_rows(beh: DataFrame) -> DataFrame:
@@ -65,23 +67,28 @@ def pair_contrib_half(capped: DataFrame, norm: DataFrame, p: Params) -> DataFram
     gives act / ln(1 + heat) / sqrt(n_a * n_b). A group of more than
     ``pair_block`` users is cut into blocks by user hash; each pair of blocks
     is a join key of its own."""
-    c = capped.join(norm, ["user_id", "act_type"])
-    if p.drop_zero:
-        c = c.where(act_weight("act_type", p.scan_factor, p.download_factor) != 0)
+    return contributions(simtop.weighted(capped, norm, p), p)
+
+
+def contributions(c: DataFrame, p: Params) -> DataFrame:
+    """Unordered pairs of the groups in ``c`` (rows of ``simtop.weighted``)."""
     blocks = F.ceil(F.col("heat") / F.lit(p.pair_block)).cast("int")
     c = c.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("user_id"), F.col("blocks")).cast("int"))
-    a = c.select("theme_id", "act_type", "heat", F.col("block").alias("lo"), F.col("user_id").alias("u"), F.col("n").alias("na"),
+    a = c.select("theme_id", "act_type", "c", F.col("block").alias("lo"), F.col("user_id").alias("u"), F.col("n").alias("na"),
                  F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("hi"))
     b = c.select("theme_id", "act_type", F.col("block").alias("hi"), F.col("user_id").alias("v"), F.col("n").alias("nb"),
                  F.explode(F.sequence(F.lit(0), F.col("block"))).alias("lo"))
     j = a.join(b, ["theme_id", "act_type", "lo", "hi"]).where((F.col("lo") < F.col("hi")) | (F.col("u") < F.col("v")))
-    contrib = (act_weight("act_type", p.scan_factor, p.download_factor)
-               / F.log(F.lit(1.0) + F.col("heat").cast("double"))
-               / F.sqrt(F.col("na").cast("double") * F.col("nb").cast("double")))
+    contrib = F.col("c") / F.sqrt(F.col("na").cast("double") * F.col("nb").cast("double"))
     return j.select(F.least("u", "v").alias("ua"), F.greatest("u", "v").alias("ub"), "theme_id", "act_type",
                     contrib.alias("contrib"))
 
 
+def half_sums(c: DataFrame, p: Params) -> DataFrame:
+    """O15 summed: (ua, ub, sim) of every unordered pair in the groups of ``c``."""
+    return contributions(c, p).groupBy("ua", "ub").agg(F.sum("contrib").alias("sim"))
+
+
 def pair_totals(half: DataFrame) -> DataFrame:
     """O15 as a report: unordered pairs and their summed contribution per
     (theme, act); the pairs themselves are quadratic in a group."""
@@ -96,17 +103,13 @@ def mirror(df: DataFrame, a: str, b: str, out_a: str, out_b: str, *keep: str) ->
 
 
 def similar_users(beh_window: DataFrame, p: Params) -> DataFrame:
-    """Top ``n_sim_users`` neighbours per user by summed contribution.
-    Sums run on unordered pairs (half the shuffle), then the pair is mirrored.
+    """Top ``n_sim_users`` neighbours per user by summed contribution,
+    over all pairs, of which ``simtop`` forms only those that can matter.
     Output: user_id, neighbor, rank (1-based), sim (rounded)."""
     rows = cf_rows(beh_window)
-    norm = user_act_norm(rows)
-    heat = theme_heat(rows)
-    half = pair_contrib_half(members(rows, heat, p), norm, p)
-    sums = half.groupBy("ua", "ub").agg(F.sum("contrib").alias("sim"))
-    both = mirror(sums, "ua", "ub", "user_id", "neighbor", "sim")
-    top = top_n(both, "user_id", [r9("sim").desc(), F.col("neighbor").asc()], p.n_sim_users)
-    return top.select("user_id", "neighbor", "rank", r6("sim").alias("sim"))
+    weighted = simtop.weighted(members(rows, theme_heat(rows), p), user_act_norm(rows), p)
+    sums = simtop.candidate_sums(half_sums, mirror, weighted, p)
+    return simtop.best(sums, p.n_sim_users).withColumn("sim", r6("sim"))
 
 
 def similar_user_map(sim: DataFrame) -> DataFrame:

@@ -32,6 +32,8 @@ class Params:
     theme_max_user: int | None = None  # opt-in sample of heavy (theme, act) groups; None: all users
     cap_sample: int = 6           # sample size of the capped_users report (O14)
     pair_block: int = 1024        # users of a (theme, act) group paired in one join key
+    head_share: float = 0.25      # share of all pairs formed before pruning starts,
+    head_per_result: int = 4      # or so many pairs a result row, whichever is more
     n_sim_users: int = 10
     max_theme_from_sim: int = 30  # early stop of the neighbour walk
     list_size_sim: int = 20

@@ -19,6 +19,7 @@ from ..functions.columns import nonempty, r6
 from ..functions.ranking import top_n
 from ..params import Params
 from . import simtop
+from .neighbors import TUPLE, first_seen, good_items, list_order, reachable, read_ranks
 
 
 def cf_rows(beh: DataFrame) -> DataFrame:
@@ -129,25 +130,9 @@ def neighbor_candidates(sim: DataFrame, history: DataFrame, max_n: int) -> DataF
     A tuple belongs to the set iff the first neighbour that has it is read;
     neighbour r is read iff the number of distinct tuples first seen before r
     is below ``max_n`` (a running sum over at most N ranks per user)."""
-    good = history.where(F.col("bucket") == "good").select(
-        F.col("user_id").alias("nb"), "theme_id", "quality", "grade", "ctime")
-    s = sim.where(nonempty("user_id") & nonempty("neighbor")).select("user_id", "neighbor", "rank")
-    # Exact pre-filter: the set before neighbour r holds at least as many
-    # tuples as the largest single history before r, so once that reaches
-    # max_n neighbour r is never read and its history need not be joined.
-    sizes = good.groupBy("nb").agg(F.count(F.lit(1)).alias("h_n"))
-    prior = Window.partitionBy("user_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    s = (s.join(sizes, F.col("neighbor") == F.col("nb"), "left")
-         .withColumn("prev_max", F.coalesce(F.max(F.coalesce(F.col("h_n"), F.lit(0))).over(prior), F.lit(0)))
-         .where(F.col("prev_max") < max_n).select("user_id", "neighbor", "rank"))
-    j = s.join(good, F.col("neighbor") == F.col("nb"))
-    tup = ["theme_id", "quality", "grade", "ctime"]
-    first = j.groupBy("user_id", *tup).agg(F.min("rank").alias("first_rank"))
-    per_rank = first.groupBy("user_id", "first_rank").agg(F.count(F.lit(1)).alias("new_n"))
-    w = Window.partitionBy("user_id").orderBy("first_rank").rowsBetween(Window.unboundedPreceding, -1)
-    read = (per_rank.withColumn("before", F.coalesce(F.sum("new_n").over(w), F.lit(0)))
-            .where(F.col("before") < max_n).select("user_id", "first_rank"))
-    return first.join(read, ["user_id", "first_rank"]).select("user_id", *tup, "first_rank")
+    good = good_items(history)
+    first = first_seen(reachable(sim, good, max_n), good)
+    return first.join(read_ranks(first, max_n), ["user_id", "first_rank"]).select("user_id", *TUPLE, "first_rank")
 
 
 def neighbor_list(unseen: DataFrame, hot: DataFrame, users: DataFrame, size: int,
@@ -160,8 +145,7 @@ def neighbor_list(unseen: DataFrame, hot: DataFrame, users: DataFrame, size: int
     gets a list, so a user without candidates gets the hot list head. The
     back-fill is an equi-join of ``sequence(0, lack-1)`` with the hot rank,
     never a cross join."""
-    order = [F.col("quality").desc(), F.col("ctime").desc(), F.col("theme_id").asc()]
-    ranked = top_n(unseen.select("user_id", "theme_id", "quality", "ctime"), "user_id", order, size, "sub")
+    ranked = top_n(unseen.select("user_id", "theme_id", "quality", "ctime"), "user_id", list_order(), size, "sub")
     cnt = ranked.groupBy("user_id").agg(F.count(F.lit(1)).alias("c"))
     u = (users.select("user_id").distinct().join(cnt, "user_id", "left")
          .select("user_id", (F.lit(size) - F.coalesce(F.col("c"), F.lit(0))).alias("lack"),

@@ -30,6 +30,7 @@ from ..operators import als as A
 from ..operators import catalog as C
 from ..operators import history as H
 from ..operators import hot as HOT
+from ..operators import neighbors as NB
 from ..operators import profile as PR
 from ..operators import serving as S
 from ..operators import tags as T
@@ -144,9 +145,8 @@ def simuser_job(inp: Inputs, p: Params, stages: set[str], new_catalog: str | Non
         sim = fresh if sim is None else sim
     if "makeRecommendList" in stages:
         hist = inp.history(p)
-        cand = U.neighbor_candidates(sim, hist, p.max_theme_from_sim)
-        lst = U.neighbor_list(H.exclude_seen(cand, hist), inp.table("hot_themes"), sim, p.list_size_sim,
-                              p.dedupe_backfill)
+        unseen = NB.best_unseen(sim, hist, p.max_theme_from_sim, p.list_size_sim)
+        lst = U.neighbor_list(unseen, inp.table("hot_themes"), sim, p.list_size_sim, p.dedupe_backfill)
         write(lst, inp.path("neighbor_list"))
         U.neighbor_list_text(inp.table("neighbor_list")).write.mode("overwrite").text(inp.path("sim_list_txt"))
     write(count_dropped(inp, p), inp.path("dropped"))

@@ -14,6 +14,7 @@ from ..operators import als as A
 from ..operators import catalog as C
 from ..operators import history as H
 from ..operators import hot as HOT
+from ..operators import neighbors as NB
 from ..operators import profile as PR
 from ..operators import serving as S
 from ..operators import tags as T
@@ -121,8 +122,10 @@ class Ctx:
 
     @property
     def nb_list(self):
-        return self._m("nbl", lambda: U.neighbor_list(self.unseen, self.hot_t, self.sim_t, self.p.list_size_sim,
-                                                     self.p.dedupe_backfill))
+        def build():
+            best = NB.best_unseen(self.sim_t, self.history_t, self.p.max_theme_from_sim, self.p.list_size_sim)
+            return U.neighbor_list(best, self.hot_t, self.sim_t, self.p.list_size_sim, self.p.dedupe_backfill)
+        return self._m("nbl", build)
 
     # E2
     @property

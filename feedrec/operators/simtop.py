@@ -108,19 +108,25 @@ def candidate_sums(half_sums, mirror, rows: DataFrame, p: Params) -> DataFrame:
     most = state.agg(F.max("t")).first()[0] or 0.0
     few = F.col("tau").isNull() & (F.col("m") > 0)
     opened = state.where(few | (F.col("t") * most + SLACK >= F.col("tau")))
-    new = paired(tail.join(opened.select("user_id", "tau", F.col("t").alias("tu")), "user_id"),
-                 tail.join(state.select("user_id", F.col("t").alias("tv")), "user_id"), p)
-    new = new.where(F.col("tau").isNull() | (F.col("tu") * F.col("tv") + SLACK >= F.col("tau")))
-    parts = new.select("u", "v", F.col("gain").alias("sim"))
-    if most == 0.0:
-        return sums.unionByName(parts).groupBy("u", "v").agg(F.sum("sim").alias("sim"))
+    if opened.isEmpty():
+        if most == 0.0:
+            return sums
+        parts = None
+    else:
+        new = paired(tail.join(opened.select("user_id", "tau", F.col("t").alias("tu")), "user_id"),
+                     tail.join(state.select("user_id", F.col("t").alias("tv")), "user_id"), p)
+        new = new.where(F.col("tau").isNull() | (F.col("tu") * F.col("tv") + SLACK >= F.col("tau")))
+        parts = new.select("u", "v", F.col("gain").alias("sim"))
+        if most == 0.0:
+            return sums.unionByName(parts).groupBy("u", "v").agg(F.sum("sim").alias("sim"))
     both = sums.join(_of(state, "u"), "u", "left").join(_of(state, "v"), "v", "left")
     reach = F.coalesce("t_u", F.lit(0.0)) * F.coalesce("t_v", F.lit(0.0))
     formed = F.col("tau_u").isNull() | (reach + SLACK >= F.col("tau_u"))
     both = cut_lineage(both.where(F.col("tau_u").isNull() | (F.col("sim") + reach + SLACK >= F.col("tau_u")))
                        .select("u", "v", "sim", "m_u", "m_v", (~formed & (reach > 0)).alias("ask")))
-    return (both.select("u", "v", "sim").unionByName(parts).unionByName(tail_sums(both.where("ask"), tail))
-            .groupBy("u", "v").agg(F.sum("sim").alias("sim")))
+    out = both.select("u", "v", "sim").unionByName(tail_sums(both.where("ask"), tail))
+    out = out if parts is None else out.unionByName(parts)
+    return out.groupBy("u", "v").agg(F.sum("sim").alias("sim"))
 
 
 def tail_sums(pairs: DataFrame, tail: DataFrame) -> DataFrame:

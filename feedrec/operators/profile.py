@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import act_weight, nonempty, r6, r9, time_decay
 from ..functions.ranking import normalize, top_n
 from ..params import Params
-from ..session import cut_lineage
+from ..session import bucketed, joins_on_part_of_keys
 from .history import exclude_seen
 
 
@@ -88,7 +88,7 @@ def step_profile(frontier: DataFrame, tg: DataFrame, exclude: bool) -> DataFrame
 
 
 def expand_recall(orig: DataFrame, ls: DataFrame, tg: DataFrame, history: DataFrame,
-                  p: Params, checkpoint: bool = True) -> DataFrame:
+                  p: Params) -> DataFrame:
     """Start from the recalled themes minus history and the extended
     profile as frontier; while a user has fewer than ``min_recall`` themes and
     some frontier weight >= ``min_profile_weight``: add the recall lists of
@@ -98,50 +98,57 @@ def expand_recall(orig: DataFrame, ls: DataFrame, tg: DataFrame, history: DataFr
     tags of the next frontier depend on the current ones alone, so no new theme
     can follow. There is no hop limit; the loop ends when no user is active.
 
-    All users advance together. Every join is restricted to the active users:
-    the known themes are theirs only, and a tag is recalled for a user once,
-    the first time it is on the user's frontier. Each hop's state is a written
-    table, so the plan stays small and a lost executor does not replay earlier
+    All users advance together, and a tag is recalled for a user once, the first
+    time it is on the user's frontier. Every table of a hop (frontier, new themes,
+    asked tags, one state row per user) is bucketed by user, so a hop's joins and
+    sums on users and (user, theme) need no exchange; only the tag index
+    meets the frontier by tag, as a broadcast where it is small. Written tables keep
+    the plan small, and a lost executor does not replay earlier
     hops. Output (user_id, theme_id, hop)."""
-    keep = cut_lineage if checkpoint else (lambda df: df)
+    with joins_on_part_of_keys(orig.sparkSession):
+        return _expand(orig, ls, tg, history, p)
 
-    def signature(df):
-        return df.groupBy("user_id").agg(F.max(r9("weight")).alias("m"), F.sort_array(F.collect_set("tag")).alias("sig"))
 
-    part = keep(exclude_seen(profile_recall(orig, ls), history).withColumn("hop", F.lit(0)))
-    out, hop = part, 0
-    counts = part.groupBy("user_id").agg(F.count(F.lit(1)).alias("c"))
-    frontier = step_profile(orig, tg, exclude=False)
-    asked = orig.where(nonempty("tag")).select("user_id", "tag")  # tags whose lists a user already has
-    seen = None
+def _signature(frontier: DataFrame) -> DataFrame:
+    return frontier.groupBy("user_id").agg(F.max(r9("weight")).alias("m"), F.sort_array(F.collect_set("tag")).alias("sig"))
+
+
+def _without(rows: DataFrame, tables: list[DataFrame], keys: list[str]) -> DataFrame:
+    for t in tables:
+        rows = rows.join(t.select(*keys), keys, "left_anti")
+    return rows
+
+
+def _expand(orig: DataFrame, ls: DataFrame, tg: DataFrame, history: DataFrame, p: Params) -> DataFrame:
+    user, theme, tag = "user_id", ["user_id", "theme_id"], ["user_id", "tag"]
+    known = [bucketed(history.select(*theme).distinct(), user)]  # then the new themes of each hop
+    asked = [bucketed(orig.where(nonempty("tag")).select(*tag).distinct(), user)]
+    known.append(bucketed(_without(profile_recall(orig, ls), known, theme).withColumn("hop", F.lit(0)), user))
+    counts = known[1].groupBy(user).agg(F.count(F.lit(1)).alias("c"))
+    frontier = bucketed(step_profile(orig, tg, exclude=False), user)
+    none = F.array().cast("array<array<string>>")
+    state = _signature(frontier).join(counts, user, "left").withColumn("seen", none)
+    hop = 0
     while True:
-        # one row per user: is it active, and which tag sets it has had
-        frontier = keep(frontier)
-        state = signature(frontier).join(counts, "user_id", "left")
-        if seen is not None:
-            state = state.join(seen, "user_id", "left").where(
-                F.col("seen").isNull() | ~F.array_contains("seen", F.col("sig")))
-        else:
-            state = state.withColumn("seen", F.lit(None).cast("array<array<string>>"))
-        state = keep(state.where((F.col("m") >= F.lit(float(p.min_profile_weight)))
-                                 & (F.coalesce(F.col("c"), F.lit(0)) < p.min_recall))
-                     .select("user_id", F.coalesce("c", F.lit(0)).cast("long").alias("c"),
-                             F.concat(F.coalesce("seen", F.array().cast("array<array<string>>")), F.array("sig")).alias("seen")))
+        active = ((F.col("m") >= F.lit(float(p.min_profile_weight))) & (F.coalesce(F.col("c"), F.lit(0)) < p.min_recall)
+                  & ~F.array_contains("seen", F.col("sig")))
+        state = bucketed(state.where(active).select(user, F.coalesce("c", F.lit(0)).cast("long").alias("c"),
+                                                   F.concat("seen", F.array("sig")).alias("seen")), user)
         if state.isEmpty():
-            return out.select("user_id", "theme_id", F.col("hop").cast("long").alias("hop"))
+            out = known[1]
+            for part in known[2:]:
+                out = out.unionByName(part)
+            return out.select(*theme, F.col("hop").cast("long").alias("hop"))
         hop += 1
-        active = state.select("user_id")
-        fa = frontier.join(active, "user_id", "left_semi")
-        fresh = fa.join(asked, ["user_id", "tag"], "left_anti")
-        known = (history.select("user_id", "theme_id").unionByName(out.select("user_id", "theme_id"))
-                 .join(active, "user_id", "left_semi"))
-        part = keep(recall_themes(fresh, ls).join(known, ["user_id", "theme_id"], "left_anti").withColumn("hop", F.lit(hop)))
-        out = out.unionByName(part)
-        counts = state.select("user_id", "c").unionByName(
-            part.groupBy("user_id").agg(F.count(F.lit(1)).alias("c"))).groupBy("user_id").agg(F.sum("c").alias("c"))
-        seen = state.select("user_id", "seen")
-        asked = asked.join(active, "user_id", "left_semi").unionByName(fresh.select("user_id", "tag"))
-        frontier = step_profile(fa, tg, exclude=True)
+        on = frontier.join(state.select(user), user, "left_semi")
+        fresh = bucketed(_without(on.select(*tag), asked, tag), user)
+        asked.append(fresh)
+        part = bucketed(_without(recall_themes(fresh, ls), known, theme).withColumn("hop", F.lit(hop)), user)
+        known.append(part)
+        new = part.groupBy(user).agg(F.count(F.lit(1)).alias("more"))
+        frontier = bucketed(step_profile(on, tg, exclude=True), user)
+        state = (_signature(frontier).join(state, user).join(new, user, "left")
+                 .withColumn("c", F.col("c") + F.coalesce("more", F.lit(0))).drop("more"))
 
 
 def profile_lists(cand: DataFrame, orig: DataFrame, recall: DataFrame, n: int) -> DataFrame:

@@ -16,6 +16,7 @@ from ..operators import history as H
 from ..operators import hot as HOT
 from ..operators import neighbors as NB
 from ..operators import profile as PR
+from ..operators import seen as SEEN
 from ..operators import serving as S
 from ..operators import tags as T
 from ..operators import usercf as U
@@ -118,7 +119,11 @@ class Ctx:
 
     @property
     def unseen(self):
-        return self._m("unseen", lambda: H.exclude_seen(self.candidates, self.history_t))
+        def build():
+            ids = self._stored("seen ids", lambda: SEEN.theme_ids(self.history_t))
+            sets = self._m("seen", lambda: SEEN.seen_sets(self.history_t, ids))
+            return SEEN.unseen(self.candidates, ids, sets)
+        return self._m("unseen", build)
 
     @property
     def nb_list(self):

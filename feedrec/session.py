@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
 
@@ -72,3 +73,31 @@ def cut_lineage(df):
     path = f"{run_folder(spark)}/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def bucketed(df, *keys: str):
+    """``cut_lineage`` that keeps the rows of a key together: the table is bucketed
+    by ``keys`` into as many buckets as the session has shuffle partitions, so joins
+    and sums on them need no exchange. The catalogue entry that bucketing
+    needs is dropped at once; the files lie in the run's folder."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"feedrec_{uuid.uuid4().hex}"
+    (df.repartition(n, *keys).write.format("parquet").bucketBy(n, *keys).option("path", f"{run_folder(spark)}/{name}").saveAsTable(name))
+    out = spark.table(name)
+    out.schema  # resolved before the entry goes
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+@contextlib.contextmanager
+def joins_on_part_of_keys(spark: SparkSession):
+    """Let rows that lie together by one join key be joined on more keys as
+    they lie, for the jobs that run inside; the session's own setting comes back."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

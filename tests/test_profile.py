@@ -3,6 +3,7 @@
 from feedrec.functions.columns import time_decay
 from feedrec.operators import profile as PR
 from feedrec.params import DEFAULT
+from feedrec.session import cut_lineage
 
 BEH = "time string, theme_id string, user_id string, act_type string"
 FEAT = "theme_id string, author string, author_n long, tag string, tag_n long"
@@ -80,3 +81,26 @@ def test_lists_are_bounded(spark, sf):
     lists = Ctx(spark, sf).lists
     mx = lists.groupBy("user_id", "list").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
     assert mx <= DEFAULT.n_theme_per_user
+
+
+def test_hops_need_no_exchange(spark, monkeypatch):
+    """All state of a hop is bucketed by user: only the first tables are shuffled."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before, keep, exchanges = spark.conf.get(key), PR.bucketed, []
+
+    def counted(df, *keys):
+        exchanges.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return keep(df, *keys)
+
+    monkeypatch.setattr(PR, "bucketed", counted)
+    ls = spark.createDataFrame([(f"g{i}", f"t{i}", "1", "1", []) for i in range(5)], "tag string, theme_id string, quality string, ctime string, tokens array<string>")
+    tg = spark.createDataFrame([(f"g{i}", f"g{i + 1}", 1.0) for i in range(4)], "tag string, sim_tag string, weight double")
+    orig = spark.createDataFrame([("u", "g0", 1.0), ("v", "g1", 1.0)] + [(f"w{i}", "g0", 1.0) for i in range(4000)],
+                                 "user_id string, tag string, weight double")
+    hist = spark.createDataFrame([("v", "good", "t2")], "user_id string, bucket string, theme_id string")
+    ls, tg = cut_lineage(ls), cut_lineage(tg)  # tables of known size, as in the jobs
+    out = PR.expand_recall(orig, ls, tg, hist, DEFAULT)
+    got = sorted(map(tuple, out.where("user_id in ('u', 'v')").collect()))
+    assert out.count() == 4001 * 5 + 3 and got == [("u", f"t{i}", i) for i in range(5)] + [("v", "t1", 0), ("v", "t3", 2), ("v", "t4", 3)]
+    assert len(exchanges) > 12 and sum(exchanges[5:]) == 0
+    assert spark.conf.get(key) == before

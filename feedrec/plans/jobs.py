@@ -14,8 +14,10 @@ and updates (catalogue, download history, similar users) are versioned
 (``versions.py``); the stages after an update read the version just written.
 
 ``--set name=value`` (repeatable) or ``--settings FILE`` sets any field of
-``Params``. ``--database DB`` also writes the result tables into that database.
-Rows that cannot be used are counted in ``<out>/dropped``.
+``Params``. Results are also kept by job date under ``<out>/daily``, and with
+``--database DB`` as tables of that database, partitioned by ``dt``: a second run of a
+day replaces that day only (``daily.py``). Each job counts the rows it cannot
+use in ``<out>/dropped``, by date and job in ``<out>/daily/dropped``.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ from ..params import DEFAULT, Params
 from ..sources import fixtures as FX
 from ..sources.readers import (behavior_window, download_window, read_catalog,
                                read_profile_list, read_sim_list)
+from . import daily as D
 from . import versions as V
 
 
@@ -86,34 +89,52 @@ class Inputs:
         return stored if stored is not None else H.build_history(
             download_window(self.behavior, p.day_before(p.days_history)), self.catalog)
 
-    def sink(self, name: str) -> None:
-        """Overwrite the database table of a result, if a database was named."""
+    def publish(self, name: str, p: Params, *others: str) -> None:
+        """Keep a result by job date, in ``<out>/daily`` and in the database, if one was named."""
+        df = self.table(name)
+        D.overwrite_day(df, self.path(os.path.join("daily", name)), p.as_of, *others)
         if self.database:
-            full = f"{self.database}.{name}"
-            df = self.table(name)
-            if self.spark.catalog.tableExists(full):
-                df.select(*self.spark.table(full).columns).write.insertInto(full, overwrite=True)
-            else:
-                df.write.saveAsTable(full)
+            D.overwrite_table_day(df, f"{self.database}.{name}", p.as_of, *others)
+
+    def count_rejected(self, job: str, p: Params, rows: DataFrame) -> None:
+        """Write and publish what a job left out: (source, reason, n)."""
+        write(rows.select(F.lit(job).alias("job"), "source", "reason", F.col("n").cast("long").alias("n")), self.path("dropped"))
+        self.publish("dropped", p, "job")
 
 
 def write(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def count_dropped(inp: Inputs, p: Params) -> DataFrame:
-    """Rows that the jobs leave out, by source and reason."""
-    beh = behavior_window(inp.behavior, p.day_before(max(p.days_cf, p.days_history, p.days_profile)))
-    bad = beh.agg(F.count_if(~nonempty("user_id")).alias("no user"), F.count_if(nonempty("user_id") & ~nonempty("theme_id")).alias("no theme"))
-    short = inp.catalog.agg(F.count_if(F.greatest(*[F.col(c).isNull() for c in T.REQUIRED])).alias("missing field"))
-    rows = (bad.unpivot([], ["no user", "no theme"], "reason", "n").select(F.lit("behavior").alias("source"), "reason", "n")
-            .unionByName(short.unpivot([], ["missing field"], "reason", "n").select(F.lit("catalog").alias("source"), "reason", "n")))
+def counts(source: str, df: DataFrame, **reasons) -> DataFrame:
+    """(source, reason, n): rows of ``df`` for which each condition holds."""
+    names = {r.replace("_", " "): c for r, c in reasons.items()}
+    return (df.agg(*(F.count_if(F.coalesce(c, F.lit(False))).alias(r) for r, c in names.items()))
+            .unpivot([], list(names), "reason", "n").select(F.lit(source).alias("source"), "reason", "n"))
+
+
+def behavior_dropped(beh: DataFrame) -> DataFrame:
+    return counts("behavior", beh, no_user=~nonempty("user_id"),
+                  no_theme=nonempty("user_id") & ~nonempty("theme_id"))
+
+
+def catalog_dropped(inp: Inputs) -> DataFrame:
+    rows = counts("catalog", inp.catalog, missing_field=F.greatest(*[F.col(c).isNull() for c in T.REQUIRED]))
     if inp._cat:
-        lines = inp.spark.read.text(inp._cat).agg((F.count(F.lit(1)) - F.count_if(nonempty(F.get(java_split(F.col("value"), "\t"), 0)))).alias("n"))
-        rows = rows.unionByName(lines.select(F.lit("catalog").alias("source"), F.lit("no id").alias("reason"), "n"))
+        key = F.get(java_split(F.col("value"), "\t"), 0)
+        rows = rows.unionByName(counts("catalog", inp.spark.read.text(inp._cat), no_id=key.isNull() | (key == "")))
     return rows
 
 
+def lists_dropped(inp: Inputs) -> DataFrame:
+    """Lines of the two list files that are no list: too few fields, no user."""
+    fields = F.size(java_split(F.col("value"), "\t"))
+    user = F.get(java_split(F.col("value"), "\t"), 0)
+    prof, sim = (inp.spark.read.text(inp.path(x)) for x in ("profile_list_txt", "sim_list_txt"))
+    return (counts("profile list", prof, not_three_fields=fields != 3)
+            .unionByName(counts("similar list", sim, no_list=fields < 2, no_user=(fields >= 2) & (user == ""))))
+
+
 def export(inp: Inputs, cells: DataFrame, p: Params, name: str) -> None:
     """Key-range files, split points and file count from the table's own keys."""
     starts, files = S.split_points(cells, p.rows_per_file)
@@ -132,7 +153,7 @@ def simuser_job(inp: Inputs, p: Params, stages: set[str], new_catalog: str | Non
     if "makeHotList" in stages:
         write(HOT.hot_themes(download_window(beh, p.day_before(p.days_hot)), inp.catalog, p.n_hot),
               inp.path("hot_themes"))
-        inp.sink("hot_themes")
+        inp.publish("hot_themes", p)
     stored = V.read(inp.spark, inp.path("similar_users"))
     sim = stored if "existSimUserData" in stages else None
     if "loadSimUserDataIntoHive" in stages or (sim is None and "makeRecommendList" in stages):
@@ -140,7 +161,7 @@ def simuser_job(inp: Inputs, p: Params, stages: set[str], new_catalog: str | Non
         if "loadSimUserDataIntoHive" in stages:  # always the newly computed result
             fresh = V.replace(fresh, inp.path("similar_users"))
             write(U.similar_user_map(fresh), inp.path("similar_user_map"))
-            inp.sink("similar_user_map")
+            inp.publish("similar_user_map", p)
         # the list reads the table that was there before, where that is asked for
         sim = fresh if sim is None else sim
     if "makeRecommendList" in stages:
@@ -148,8 +169,10 @@ def simuser_job(inp: Inputs, p: Params, stages: set[str], new_catalog: str | Non
         unseen = NB.best_unseen(sim, hist, p.max_theme_from_sim, p.list_size_sim)
         lst = U.neighbor_list(unseen, inp.table("hot_themes"), sim, p.list_size_sim, p.dedupe_backfill)
         write(lst, inp.path("neighbor_list"))
+        inp.publish("neighbor_list", p)
         U.neighbor_list_text(inp.table("neighbor_list")).write.mode("overwrite").text(inp.path("sim_list_txt"))
-    write(count_dropped(inp, p), inp.path("dropped"))
+    window = behavior_window(beh, p.day_before(max(p.days_cf, p.days_history, p.days_hot)))
+    inp.count_rejected("simuser", p, behavior_dropped(window).unionByName(catalog_dropped(inp)))
 
 
 def profile_job(inp: Inputs, p: Params, stages: set[str]) -> None:
@@ -158,7 +181,7 @@ def profile_job(inp: Inputs, p: Params, stages: set[str]) -> None:
     if "updateProfile" in stages:
         write(PR.user_profile(behavior_window(beh, p.datetime_before(p.days_profile)), feats, p),
               inp.path("user_profile"))
-        inp.sink("user_profile")
+        inp.publish("user_profile", p)
     if "updateSimTagAndRecallTheme" in stages:
         ls, tg = T.tag_index(T.similar_tags(feats, p), T.tag_recall(inp.catalog, p.max_theme_per_tag))
         write(ls, inp.path("tag_ls"))
@@ -176,7 +199,10 @@ def profile_job(inp: Inputs, p: Params, stages: set[str]) -> None:
         hist = inp.history(p)
         cand = PR.expand_recall(orig, ls, tg, hist, p)
         write(PR.profile_lists(cand, orig, ls, p.n_theme_per_user), inp.path("profile_lists"))
+        inp.publish("profile_lists", p)
         PR.profile_list_text(inp.table("profile_lists")).write.mode("overwrite").text(inp.path("profile_list_txt"))
+    window = behavior_window(beh, p.datetime_before(p.days_profile))
+    inp.count_rejected("profile", p, behavior_dropped(window).unionByName(catalog_dropped(inp)))
 
 
 def serving_job(inp: Inputs, p: Params) -> None:
@@ -184,11 +210,14 @@ def serving_job(inp: Inputs, p: Params) -> None:
     sim = read_sim_list(inp.spark, inp.path("sim_list_txt"))
     merged = S.serving_merge(prof, sim, inp.table("hot_themes"), p.list_size_sim, p.n_theme_per_user)
     write(merged, inp.path("serving"))
+    inp.publish("serving", p)
     export(inp, S.serving_cells(inp.table("serving")), p, "serving_cells")
+    inp.count_rejected("serving", p, lists_dropped(inp))
 
 
 def als_job(inp: Inputs, p: Params) -> None:
-    ev = A.als_events(behavior_window(inp.behavior, p.day_before(p.days_als)))
+    window = behavior_window(inp.behavior, p.day_before(p.days_als))
+    ev = A.als_events(window)
     write(A.dense_ids(ev, "user_id", "user"), inp.path("als_users"))
     write(A.dense_ids(ev, "theme_id", "item"), inp.path("als_items"))
     ratings = A.als_ratings(ev, inp.table("als_users"), inp.table("als_items"), p)
@@ -202,6 +231,8 @@ def als_job(inp: Inputs, p: Params) -> None:
     pred.select(F.concat_ws("::", "user", "item", F.col("prediction").cast("string")).alias("value")) \
         .write.mode("overwrite").text(inp.path("predictions"))
     write(A.als_mse(pred), inp.path("als_mse"))
+    inp.publish("als_mse", p)
+    inp.count_rejected("als", p, behavior_dropped(window))
 
 
 def main(argv=None) -> None:

@@ -91,13 +91,17 @@ def bucketed(df, *keys: str):
 
 
 @contextlib.contextmanager
-def joins_on_part_of_keys(spark: SparkSession):
-    """Let rows that lie together by one join key be joined on more keys as
-    they lie, for the jobs that run inside; the session's own setting comes back."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
+def setting(spark: SparkSession, name: str, value: str):
+    """Hold a setting while jobs run inside; the session's own value comes back."""
     before = spark.conf.get(name)
-    spark.conf.set(name, "false")
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, before)
+
+
+def joins_on_part_of_keys(spark: SparkSession):
+    """Let rows that lie together by one join key be joined on more keys as
+    they lie."""
+    return setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false")

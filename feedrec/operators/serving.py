@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from ..sources.readers import LIST_SEP
 
 # Fixed qualifiers of the serving row: three "pushing" lists, and eight
@@ -78,23 +79,47 @@ def key_bucket(col: Column, buckets: int) -> Column:
 
 
 def range_index(col: Column, split_keys) -> Column:
-    """Number of region start keys (after the first) that are <= the key: one
-    look at a constant array, whatever the number of regions."""
-    starts = F.array(*[F.lit(k) for k in sorted(split_keys)[1:]]).cast("array<string>")
-    return F.size(F.filter(starts, lambda k: k <= col))
-
-
-def split_points(cells: DataFrame, rows_per_file: int, sample: int = 20_000) -> tuple[tuple, int]:
-    """(region start keys, files per region) for a table: regions of equal
-    shares of a hash-ordered sample of at most ``sample`` keys, files from the
-    row count."""
-    total = cells.count()
-    keys = sorted(r.rowkey for r in cells.select("rowkey").distinct()
-                  .orderBy(F.xxhash64("rowkey"), "rowkey").limit(sample).collect())
+    """Number of region start keys (after the first) that are <= the key, by
+    halving: as many comparisons as the logarithm of the regions."""
+    starts = sorted(split_keys)[1:]
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(col < F.lit(starts[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
+
+    return search(0, len(starts))
+
+
+def split_points(cells: DataFrame, rows_per_file: int) -> tuple[tuple, int]:
+    """(region start keys, files per region): regions of about equal numbers
+    of cells, whatever the keys' weights, for files of about ``rows_per_file`` rows.
+
+    Exact weighted quantiles, without a global sort: cells are counted per key, the
+    keys range partitioned and added up in key order inside each partition, and
+    each partition starts from the sum of those before it. A region starts with the
+    first key whose cells begin in its share. Only the start keys come to the
+    driver, one for each 32 files."""
+    keys = (cells.groupBy("rowkey", "family", "qualifier").agg(F.lit(1).alias("one"))  # duplicates are one cell
+            .groupBy("rowkey").agg(F.count(F.lit(1)).alias("n")))
+    laid = cut_lineage(keys.repartitionByRange("rowkey").withColumn("part", F.spark_partition_id()))
+    sums = laid.groupBy("part").agg(F.sum("n").alias("sum"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cut_lineage(sums.select("part", "sum", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("offset")))
+    total = offsets.agg(F.sum("sum")).first()[0] or 0
     files = max(1, -(-total // rows_per_file))
     per = min(files, 32)
-    regions = max(1, min(len(keys), -(-files // per)))
-    return ("", *sorted({keys[len(keys) * i // regions] for i in range(1, regions)})), per
+    regions = -(-files // per)
+    if regions == 1:
+        return ("",), per
+    upto = Window.partitionBy("part").orderBy("rowkey").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = F.col("offset") + F.sum("n").over(upto) - F.col("n")  # cells of all smaller keys
+    region = F.call_function("div", first * F.lit(regions), F.lit(total))
+    starts = (laid.join(F.broadcast(offsets), "part")  # one row a partition
+              .select("rowkey", region.alias("region")).groupBy("region").agg(F.min("rowkey").alias("key"))
+              .where("region > 0").collect())
+    return ("", *sorted({r.key for r in starts} - {""})), per
 
 
 def export_layout(cells: DataFrame, split_keys, files_per_region: int) -> DataFrame:

@@ -107,3 +107,5 @@ class Params:
 
 
 DEFAULT = Params()
+
+EXPORT_ROWS = 400  # rows of one file of the sorted_export query

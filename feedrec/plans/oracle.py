@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from ..functions.columns import TAG_STOP_PATTERN, epoch_seconds
-from ..params import DEFAULT, Params
+from ..params import DEFAULT, EXPORT_ROWS, Params
 
 
 def _defs(p: Params) -> dict[str, str]:
@@ -21,7 +21,6 @@ def _defs(p: Params) -> dict[str, str]:
     cut30 = p.day_before(30)
     now = epoch_seconds(p.as_of)
     L, N, K = p.list_size_sim, p.n_theme_per_user, p.max_theme_per_tag
-    b = max(1, min(32, p.files_per_region))
 
     def act(c, s, d):
         return f"(CASE {c} WHEN 'Scan' THEN {s:.1f}e0 WHEN 'Download' THEN {d:.1f}e0 ELSE 0.0e0 END)"
@@ -237,9 +236,14 @@ def _defs(p: Params) -> dict[str, str]:
                   "UNION ALL SELECT user_id, 'pushing', 'profile', profile FROM merged "
                   "UNION ALL SELECT user_id, 'pushing', 'extend', extend FROM merged "
                   f"UNION ALL SELECT m.user_id, 'pushed', v.q, '0' FROM merged m, (VALUES {pushed}) v(q)")
-    rng = " + ".join([f"(CASE WHEN rowkey >= '{k}' THEN 1 ELSE 0 END)" for k in list(p.split_keys)[1:]]) or "0"
-    d["export"] = (f"SELECT (({rng}) * {b} + (('0x' || substr(md5(rowkey), 1, 8))::BIGINT % {b}))::BIGINT AS part_id, rowkey, family, qualifier, "
-                   "max(value) AS value FROM cells GROUP BY rowkey, family, qualifier")
+    d["exp_keyed"] = "SELECT rowkey, count(*) AS n FROM (SELECT DISTINCT rowkey, family, qualifier FROM cells) GROUP BY rowkey"
+    d["exp_layout"] = (f"SELECT total, per, (files + per - 1) // per AS regions FROM (SELECT total, files, least(files, 32) AS per FROM "
+                   f"(SELECT sum(n)::BIGINT AS total, greatest(1, (sum(n)::BIGINT + {EXPORT_ROWS - 1}) // {EXPORT_ROWS}) AS files FROM exp_keyed))")
+    d["exp_starts"] = ("SELECT region, min(rowkey) AS start FROM (SELECT rowkey, (sum(n) OVER (ORDER BY rowkey) - n)::BIGINT * regions // total AS region "
+                   "FROM exp_keyed, exp_layout) WHERE region > 0 GROUP BY region")
+    d["exp_placed"] = ("SELECT k.rowkey, count(s.start) AS r FROM (SELECT rowkey FROM exp_keyed) k LEFT JOIN exp_starts s ON s.start <= k.rowkey GROUP BY k.rowkey")
+    d["export"] = ("SELECT (p.r * per + (('0x' || substr(md5(c.rowkey), 1, 8))::BIGINT % per))::BIGINT AS part_id, c.rowkey, family, qualifier, "
+                   "max(value) AS value FROM cells c JOIN exp_placed p ON p.rowkey = c.rowkey, exp_layout GROUP BY c.rowkey, family, qualifier, p.r, per")
     # E4
     d["ev"] = f"SELECT * FROM behavior WHERE pt > '{since_als}' AND {ne('user_id')} AND {ne('theme_id')}"
     d["uid"] = "SELECT user_id, (dense_rank() OVER (ORDER BY user_id) - 1)::INTEGER AS \"user\" FROM (SELECT DISTINCT user_id FROM ev)"

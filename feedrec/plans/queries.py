@@ -20,7 +20,7 @@ from ..operators import seen as SEEN
 from ..operators import serving as S
 from ..operators import tags as T
 from ..operators import usercf as U
-from ..params import DEFAULT, Params
+from ..params import DEFAULT, EXPORT_ROWS, Params
 from ..session import cut_lineage
 from ..sources import fixtures as FX
 from ..sources.readers import behavior_window, download_window, parse_catalog_lines
@@ -424,8 +424,11 @@ def q_serving_cells(spark, d):
 
 
 def q_sorted_export(spark, d):
+    """O06 with split points from the table's own keys and weights."""
     c = Ctx(spark, d)
-    return S.placed_rows(S.export_sorted(S.serving_cells(c.merged), c.p.split_keys, c.p.files_per_region))
+    cells = cut_lineage(S.serving_cells(c.merged))
+    starts, files = S.split_points(cells, EXPORT_ROWS)
+    return S.placed_rows(S.export_sorted(cells, starts, files))
 
 
 # ---------------------------------------------------------------- ALS

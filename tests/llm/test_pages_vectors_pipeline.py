@@ -74,8 +74,57 @@ def test_only_the_skipped_element_is_skipped(tag):
     assert pages.main_text(f"<p>{LONG} <b><button>Go</b> {LONG}</p>") == GOOD + " " + GOOD
 
 
+@pytest.mark.parametrize("name", ["section class='related-work'", "p class='banner-text'", "div id='legal'", "section id='social-history'", "div class='cookie-recipe'"])
+def test_a_hint_in_a_name_is_settled_by_the_text(name):
+    tag = name.split()[0]
+    for page in ("<article><p>{0}</p><{1}>{0}</{2}></article>", "<p>{0}</p><{1}>{0}</{2}>"):
+        assert pages.main_text(page.format(LONG, name, tag)) == GOOD + "\n\n" + GOOD
+        assert pages.main_text(page.format(LONG, name, tag).replace(f"{LONG}</{tag}></a", f"Short.</{tag}></a").replace(
+            f"{name}>{LONG}", f"{name}>Short.")) == GOOD
+        assert pages.main_text(page.format(LONG, name, tag).replace(f"{name}>{LONG}", f"{name}><a href=x>{LONG}</a>")) == GOOD
+    assert pages.main_text(f"<{name}>{LONG}</{tag}><article><p>{LONG}</p></article>") == GOOD
+
+
+@pytest.mark.parametrize("name", ["sidebar", "left-sidebar", "acme-sidebar", "sidebar-content", "related-posts", "cookie-notice", "comment-list", "ad-slot-2",
+                                  "social-share-buttons", "site-footer", "newsletter"])
+def test_names_of_boilerplate(name):
+    for page in ("<article><p>{0}</p><div class='{1}'><p>{0}</p></div></article>", "<p>{0}</p><div id={1}>{0}</div>"):
+        assert pages.main_text(page.format(LONG, name)) == GOOD
+
+
+@pytest.mark.parametrize("n", [10, 7_900, 8_100, 300_000])
+def test_attributes_of_any_length(n):
+    for q in "'\"":
+        assert pages.main_text(f"<div data-x={q}{'a>' * (n // 2)}{q} class='sidebar'><p>{LONG}</p></div><p>{LONG}</p>") == GOOD
+        assert pages.main_text(f"<div class='sidebar' data-x={q}{'<' * n}{q}>{LONG}</div><p>{LONG}</p>") == GOOD
+    # a quote without its end
+    assert pages.main_text(f"<div class=sidebar data-x='{'a' * n}>{LONG}</div><p>{LONG}</p>") == GOOD
+
+
+def test_only_an_attribute_hides():
+    for attr in ("title='the hidden truth'", "data-hidden=1", "data-id='sidebar'", "aria-hidden=false", "class='overflow-hidden'", "alt='class=nav'"):
+        assert pages.main_text(f"<p {attr}>{LONG}</p>") == GOOD
+    for attr in ("hidden", "aria-hidden='true'", "STYLE='display : none'", "role=banner"):
+        assert pages.main_text(f"<p {attr}>{LONG}</p><p>{LONG}</p>") == GOOD
+
+
+def test_long_blocks_may_begin_with_a_copyright_sign():
+    assert pages.main_text(f"<article><p>© {LONG}</p><p>© 2020 A paper of the city</p></article>") == "© " + GOOD
+    assert pages.main_text(f"<p>© {LONG}</p><p>© 2020 A paper of the city</p>") == "© " + GOOD
+
+
+@pytest.mark.parametrize("text", [
+    "这个城市的历史很长，也有不少人在这里生活和工作。他们说，过去的日子是艰难的，但是现在好了。" * 4,
+    "この町の歴史は長く、多くの人がここに住んでいる。昔の話を聞くと、今の生活がよくわかると彼は言った。" * 4,
+    "ประวัติของเมืองนี้ยาวนานและมีผู้คนที่อยู่ในเมืองจำนวนมาก" * 5])
+def test_scripts_without_blanks(text):
+    assert pages.main_text(f"<div><p>{text}</p><p>© 2020</p></div><div><a href=x>{text[:20]}</a></div>") == text
+    assert pages.main_text(f"<article><p>{text}</p></article>") == text
+
+
 def test_odd_markup_is_linear():
-    for page in ('<div class="x' * 20_000, "<p>a" * 20_000, "<script>" * 20_000, "<div>" * 20_000 + "</p>" * 20_000, "<a '" * 20_000, "&amp" * 50_000):
+    for page in ('<div class="x' * 20_000, "<p>a" * 20_000, "<script>" * 20_000, "<div>" * 20_000 + "</p>" * 20_000, "<a '" * 20_000, "&amp" * 50_000, "<a '\"" * 20_000, "<a \"\"''" * 20_000,
+                 "<a \"'\" '<a'" * 20_000, "<a " + "x='' " * 20_000, "<a x=\"" + "<b y='" * 20_000):
         assert isinstance(pages.main_text(page), str)
 
 

@@ -50,19 +50,26 @@ class Encoder:
         # how the byte-level models write a blank and the letters beyond ASCII, asked of the library
         shown = (lambda c: self.tok.pre_tokenizer.pre_tokenize_str(c)[0][0])
         self.shown = str.maketrans({c: shown(c) for c in map(chr, range(0xC0, 0x100)) if c not in "×÷"})
-        if not self.lower:
-            self.shown[ord(" ")] = shown(" ")
+        self.blank = " " if self.lower else shown(" ")
         self.end = _packed([end_id])
 
+    def _plain(self, p: str) -> bytes:
+        """The ids of a piece of printable ASCII and Latin-1 letters."""
+        q = p.lower() if self.lower else p
+        if q[0] == " ":
+            q = self.blank + q[1:]
+        if not p.isascii():
+            q = q.translate(self.shown)
+        return _packed([t.id for t in self.model.tokenize(q)])
+
     def _learn(self, pieces: list[str]) -> None:
         memo = self.memo
         if len(memo) > PIECES:
             memo.clear()
         rest = []
         for p in {p for p in pieces if p not in memo}:
-            if PLAIN.fullmatch(p):
-                q = (p.lower() if self.lower else p).translate(self.shown)
-                memo[p] = _packed([t.id for t in self.model.tokenize(q)])
+            if p.isascii() and p.isprintable() and p[-1] != " " or PLAIN.fullmatch(p):
+                memo[p] = self._plain(p)
             else:
                 rest.append(p)
         for p, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False) if rest else ()):
@@ -77,15 +84,27 @@ class Encoder:
             return b"".join(map(self.memo.__getitem__, pieces))
 
     def _new_runs(self, runs: list[str], lead: str) -> None:
-        if len(self.runs) > RUNS:
-            self.runs.clear()
-        for r in {r for r in runs if r not in self.runs}:
-            self.runs[r] = self._of(lead + r)
+        known, memo = self.runs, self.memo
+        if len(known) > RUNS:
+            known.clear()
+        if len(memo) > PIECES:
+            memo.clear()
+        for r in {r for r in runs if r not in known}:
+            if r.isascii() and r.isalpha():  # one piece
+                p = lead + r
+                ids = memo.get(p)
+                if ids is None:
+                    ids = memo[p] = self._plain(p)
+                known[r] = ids
+            else:
+                known[r] = self._of(lead + r)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return self.end
         if self.lower:  # blanks and line ends are dropped wherever they are
+            if text.isascii():  # the library lower-cases these letters alike
+                text = text.lower()
             head, lead, runs = b"", "", text.replace("\n", " ").split(" ")
         elif INNER_BLANK.search(text):  # runs of white space are pieces of their own
             return self._of(text) + self.end

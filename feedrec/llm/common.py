@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedrec.session import ensure_checkpoint_dir
+from feedrec.session import run_folder
 
 #: Words are runs of anything but the six ASCII white-space characters.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -16,11 +19,13 @@ _ASCII_UPPER = re.compile(r"[A-Z]+")
 
 
 def smaller_batches(spark: SparkSession) -> None:
-    """Texts can be long, so fewer of them go to a Python worker at once, unless
-    the session says how many."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":  # Spark's default
-        spark.conf.set(key, "1000")
+    """Texts can be long, so fewer of them and fewer bytes go to a Python worker at
+    once, unless the session itself sets how many. The setting is read when a job
+    starts, so it stays for the session."""
+    given = spark.conf.getAll
+    for key, value in (("maxRecordsPerBatch", "1000"), ("maxBytesPerBatch", "8m")):
+        if f"spark.sql.execution.arrow.{key}" not in given:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", value)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -45,15 +50,44 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+_scope: ContextVar[str] = ContextVar("scope", default="")
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the session's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below the run's folder, which ``drop_run_tables`` deletes."""
+    return f"{run_folder(spark)}/llm/{_scope.get()}{name}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are deleted at the end."""
+    before = _scope.get()
+    inside = f"{before}scratch-{uuid.uuid4().hex}/"
+    token = _scope.set(inside)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        drop_folder(spark, f"{run_folder(spark)}/llm/{inside}")
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` as a table in the shared folder and read it
     back. The table survives lost executors."""
-    path = shared_folder(df.sparkSession, name)
+    path = path or shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedrec.llm.common import lower_ascii, store
+from feedrec.llm.common import free_name, lower_ascii, store
 
 ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Odd multiplier of the rolling sum, modulo 2^64.
@@ -86,25 +86,25 @@ class Windows:
         return hit, found
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, n: int = 13, slice_chars: int = SLICE_CHARS) -> DataFrame:
-    """``docs`` with a column ``FOUND``: the number of words, the hit runs as
+def scan(docs: DataFrame, benchmark: DataFrame, n: int = 13, slice_chars: int = SLICE_CHARS, name: str = FOUND) -> DataFrame:
+    """``docs`` with a column ``name``: the number of words, the hit runs as
     word positions [start, end), and the ids of the items found."""
     bench = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text")
     total = bench.agg(F.sum(F.length("text"))).first()[0] or 0
     slices = int(max(1, -(-total // slice_chars)))
     nothing = F.struct(F.lit(0).cast("bigint").alias("n_words"), *[F.array().cast(t).alias(c) for c, t in (
         ("starts", "array<int>"), ("ends", "array<int>"), ("items", "array<bigint>"))])
-    out = docs.withColumn(FOUND, nothing)
+    out = docs.withColumn(name, nothing)
     for s in range(slices):
         part = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == s) if slices > 1 else bench
         rows = sorted({(r.item_id, r.text) for r in part.collect()})  # at most about slice_chars characters
-        out = _pass(out, docs.sparkSession.sparkContext.broadcast(Windows(rows, n)))
+        out = _pass(out, docs.sparkSession.sparkContext.broadcast(Windows(rows, n)), name)
         if s + 1 < slices:
             out = store(out, "decontaminate")
     return out
 
 
-def _pass(docs: DataFrame, windows) -> DataFrame:
+def _pass(docs: DataFrame, windows, name: str) -> DataFrame:
     @F.pandas_udf(STATE)
     def run(batches: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
         w = windows.value
@@ -120,22 +120,23 @@ def _pass(docs: DataFrame, windows) -> DataFrame:
                 rows.append((len(words), np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), sorted(found)))
             yield pd.DataFrame(rows, columns=["n_words", "starts", "ends", "items"])
 
-    return docs.withColumn(FOUND, run("text", FOUND))
+    return docs.withColumn(name, run("text", name))
 
 
-def n_hit() -> Column:
-    return F.aggregate(F.zip_with(FOUND + ".starts", FOUND + ".ends", lambda a, b: (b - a).cast("long")),
+def n_hit(name: str = FOUND) -> Column:
+    return F.aggregate(F.zip_with(name + ".starts", name + ".ends", lambda a, b: (b - a).cast("long")),
                        F.lit(0).cast("long"), lambda s, x: s + x)
 
 
-def contaminated(percent: int = 5) -> Column:
+def contaminated(percent: int = 5, name: str = FOUND) -> Column:
     """Hit, and at least ``percent`` of the words are."""
-    return (n_hit() > 0) & (n_hit() * 100 >= F.col(FOUND + ".n_words") * percent)
+    return (n_hit(name) > 0) & (n_hit(name) * 100 >= F.col(name + ".n_words") * percent)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
     """``docs`` without the contaminated documents, all columns kept."""
-    return scan(docs, benchmark, n).where(~contaminated()).drop(FOUND)
+    name = free_name(docs, FOUND)
+    return scan(docs, benchmark, n, name=name).where(~contaminated(name=name)).drop(name)
 
 
 _REPORT = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")

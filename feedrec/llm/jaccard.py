@@ -52,7 +52,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedrec.llm.blocks import ODD, U, bucket_cuts, key_planes, key_unplanes, mix, planes, unplanes, word_hashes
-from feedrec.llm.common import store, words
+from feedrec.llm.common import free_name, store, words
 from feedrec.llm.graph import components
 
 HOT = 24
@@ -541,6 +541,7 @@ def _keep_one_text(docs: DataFrame, n: int, percent: int) -> DataFrame:
     classes = filled.join(labels, "node", "left").withColumn("class", F.coalesce("component", "node"))
     first = classes.groupBy("class").agg(F.min(F.struct("doc_id", "node")).alias("first"))
     gone = classes.join(first, "class").where("doc_id <> first.doc_id or node <> first.node")
-    kept = docs.withColumn("_node", node("text")).join(gone.select("doc_id", F.col("node").alias("_node")), ["doc_id", "_node"], "left_anti")
-    kept = kept.where("doc_id is not null").dropDuplicates(["doc_id", "_node"]).unionByName(kept.where("doc_id is null"))
+    name = free_name(docs, "_node")
+    kept = docs.withColumn(name, node("text")).join(gone.select("doc_id", F.col("node").alias(name)), ["doc_id", name], "left_anti")
+    kept = kept.where("doc_id is not null").dropDuplicates(["doc_id", name]).unionByName(kept.where("doc_id is null"))
     return kept.select(docs.columns)

@@ -25,6 +25,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedrec.llm.common import free_name
+
 #: The base rules as (kind, pattern, group, least length of the group).
 RULES = (
     ("assign", "(?i:password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 1, 6),
@@ -35,7 +37,8 @@ KEY_RUN = "[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)])) + "+/_=-"
 K = len(ALPHABET)
 MIN_RATIO, MIN_MEAN = 20.0, 0.8
-BLOCK = 128
+MANY = 200  # spans of a text from which redact cuts it into characters
+BLOCK = 64
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -43,21 +46,26 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0), lambda s, x: s + x)
-
+def before(values: Column, zero: Column, op: Callable[[Column, Column], Column], levels: int = 3) -> Column:
+    """For each element, ``op`` over those before it: within its block, and over the
+    blocks before, which are treated alike, so the work is linear in the size."""
+    total = lambda v: F.aggregate(v, zero, op)
+    if levels == 0:
+        return let(values, lambda v: F.transform(v, lambda x, i: total(F.slice(v, F.lit(1), i))))
 
-def sums_before(values: Column) -> Column:
-    """For each element the sum of those before it, by block totals."""
     def within(v: Column) -> Column:
         blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int")),
-                             lambda b: _total(F.slice(v, b * BLOCK + 1, F.lit(BLOCK))))
-        return let(blocks, lambda t: F.transform(v, lambda x, i: _total(F.slice(t, F.lit(1), F.floor(i / BLOCK).cast("int")))
-                                                 + _total(F.slice(v, F.floor(i / BLOCK).cast("int") * BLOCK + 1, i % BLOCK))))
+                             lambda b: total(F.slice(v, b * BLOCK + 1, F.lit(BLOCK))))
+        return let(before(blocks, zero, op, levels - 1), lambda t: F.transform(v, lambda x, i: op(
+            F.get(t, F.floor(i / BLOCK).cast("int")), total(F.slice(v, F.floor(i / BLOCK).cast("int") * BLOCK + 1, i % BLOCK)))))
 
     return let(values, lambda v: F.when(F.size(v) > 0, within(v)).otherwise(F.array().cast("array<int>")))
 
 
+def sums_before(values: Column) -> Column:
+    return before(values, F.lit(0), lambda s, x: s + x)
+
+
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """[(start, end, value)] of the leftmost non-overlapping matches; ``value``
     is the group's string."""
@@ -127,9 +135,10 @@ def train(docs: DataFrame, sample_docs: int = 3000) -> list[float]:
 def ratio(value: Column, model: list[float]) -> Column:
     """Sum of the transitions' log-likelihood ratios."""
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in model)), ",").cast("array<double>")  # folded to one constant
-    at = lambda i: F.position(F.substr(value, i, F.lit(1)), F.lit(ALPHABET)) - 1
-    return F.aggregate(F.sequence(F.lit(1), F.length(value) - 1), F.lit(0.0),
-                       lambda s, i: s + F.coalesce(F.get(table, at(i) * K + at(i + 1)), F.lit(0.0)))
+    codes = F.split(F.lit(",".join(str(ALPHABET.find(chr(c))) for c in range(128))), ",").cast("array<int>")
+    return let(F.transform(F.split(value, ""), lambda c: F.get(codes, F.ascii(c))), lambda at: F.aggregate(
+        F.sequence(F.lit(1), F.length(value) - 1), F.lit(0.0),
+        lambda s, i: s + F.coalesce(F.get(table, F.get(at, i - 1) * K + F.get(at, i)), F.lit(0.0))))
 
 
 def markov_spans(text: Column, model: list[float]) -> Column:
@@ -139,15 +148,32 @@ def markov_spans(text: Column, model: list[float]) -> Column:
     return _named(random, len(RULES), "markov")
 
 
-def scan(docs: DataFrame, model: list[float] | None = None) -> DataFrame:
-    """``docs`` with ``_base`` (one array of spans per rule) and ``_spans`` (all
-    spans by start, then rule)."""
+def _apart(more: Column, base: Column) -> Column:
+    """The spans of ``more`` that overlap none of ``base``: in the order of where the
+    first end and the others start, all base spans that could overlap come before."""
+    event = "array<struct<at:int,rank:int,low:int,high:int,span:struct<start:int,rank:int,end:int,kind:string>>>"
+    ends = F.transform(more, lambda m: F.struct(m["end"].alias("at"), F.lit(0).alias("rank"), m["start"].alias("low"),
+                                                F.lit(0).alias("high"), m.alias("span"))).cast(event)
+    starts = F.transform(base, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("rank"), b["start"].alias("low"),
+                                                  b["end"].alias("high"), b.alias("span"))).cast(event)
+
+    def free(events: Column) -> Column:
+        reached = before(F.transform(events, lambda e: e["high"]), F.lit(0), lambda a, b: F.greatest(a, b))
+        tagged = F.zip_with(events, reached, lambda e, high: F.when((e["rank"] == 0) & (high <= e["low"]), e["span"]))
+        return F.filter(tagged, lambda m: m.isNotNull())
+
+    return F.when((F.size(more) > 0) & (F.size(base) > 0), let(F.array_sort(F.concat(ends, starts)), free)).otherwise(more)
+
+
+def scan(docs: DataFrame, model: list[float] | None = None, name: str = "_secrets") -> DataFrame:
+    """``docs`` with a column ``name``: ``base`` (one array of spans per rule) and
+    ``spans`` (all spans by start, then rule)."""
     model = model or train(docs)
     text = F.coalesce(F.col("text"), F.lit(""))
-    out = docs.withColumn("_base", F.array(*base_spans(text))).withColumn("_more", markov_spans(text, model))
-    base = F.flatten("_base")
-    apart = F.filter("_more", lambda m: ~F.exists(base, lambda b: (m["start"] < b["end"]) & (b["start"] < m["end"])))
-    return out.withColumn("_spans", F.array_sort(F.concat(base, apart))).drop("_more")
+    out = docs.withColumn(name, F.struct(F.array(*base_spans(text)).alias("base"), markov_spans(text, model).alias("more")))
+    base = F.flatten(F.col(f"{name}.base"))
+    return out.withColumn(name, F.struct(F.col(f"{name}.base").alias("base"), F.array_sort(F.concat(
+        base, _apart(F.col(f"{name}.more"), base))).alias("spans")))
 
 
 def _listed(spans: Column) -> Column:
@@ -156,25 +182,34 @@ def _listed(spans: Column) -> Column:
 
 def report(docs: DataFrame, model: list[float] | None = None) -> DataFrame:
     found = scan(docs.select("doc_id", "text"), model or train(docs))
-    counts = [F.size(F.get("_base", F.lit(i))).cast("long").alias(f"n_{kind}") for i, (kind, *_) in enumerate(RULES)]
-    base = _listed(F.array_sort(F.flatten("_base")))
-    return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), _listed(F.col("_spans")).alias("spans"))
+    counts = [F.size(F.get("_secrets.base", F.lit(i))).cast("long").alias(f"n_{kind}") for i, (kind, *_) in enumerate(RULES)]
+    base = _listed(F.array_sort(F.flatten("_secrets.base")))
+    return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+                        _listed(F.col("_secrets.spans")).alias("spans"))
 
 
 def redact(docs: DataFrame, model: list[float] | None = None, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span's text replaced; overlapping spans are one."""
-    found = scan(docs, model)
-    joined = F.aggregate("_spans", F.array().cast("array<struct<start:int,end:int>>"), lambda s, x: F.when(
-        (F.size(s) > 0) & (F.get(s, F.size(s) - 1)["end"] >= x["start"]),
-        F.concat(F.slice(s, F.lit(1), F.size(s) - 1), F.array(F.struct(
-            F.get(s, F.size(s) - 1)["start"].alias("start"), F.greatest(F.get(s, F.size(s) - 1)["end"], x["end"]).alias("end"))))
-    ).otherwise(F.concat(s, F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"))))))
-
-    def rewrite(s: Column) -> Column:
-        text = F.col("text")
-        parts = F.transform(s, lambda x, i: F.substr(text, F.when(i > 0, F.get(s, i - 1)["end"]).otherwise(0) + 1,
-                                                     x["start"] - F.when(i > 0, F.get(s, i - 1)["end"]).otherwise(0)))
-        return F.concat(F.array_join(parts, mark), F.lit(mark), F.substr(text, F.element_at(s, -1)["end"] + 1))
-
-    text = F.when(F.size("_spans") > 0, let(joined, rewrite)).otherwise(F.col("text"))
-    return found.withColumn("text", text).select(*docs.columns)
+    """``docs`` with every span's text replaced; overlapping and touching spans are
+    one."""
+    name = free_name(docs, "_secrets")
+    text, spans = F.col("text"), F.col(f"{name}.spans")
+
+    def clear(cut: Callable[[Column, Column], Column], rest: Callable[[Column], Column]) -> Column:
+        """Marks between what ``cut`` gives of [start, end) and ``rest`` from a start."""
+        def rewrite(first: Column) -> Column:  # the first span of each joined one, and where those before it end
+            parts = F.transform(first, lambda x: cut(x["reached"], x["start"]))
+            return F.concat(F.array_join(parts, mark), F.lit(mark), rest(F.array_max(F.transform(spans, lambda s: s["end"]))))
+
+        reached = before(F.transform(spans, lambda s: s["end"]), F.lit(0), lambda a, b: F.greatest(a, b))
+        both = F.zip_with(spans, reached, lambda s, r: F.struct(s["start"].alias("start"), r.alias("reached")))
+        # nothing lies before the first span, which may start at 0
+        firsts = F.filter(both, lambda x, i: (i == 0) | (x["start"] > x["reached"]))
+        return let(firsts, rewrite)
+
+    few = clear(lambda a, b: F.substr(text, a + 1, b - a), lambda a: F.substr(text, a + 1))
+    # a substring is found by walking from the text's start: with many spans the text is cut into characters once
+    many = let(F.split(text, ""), lambda chars: clear(
+        lambda a, b: F.array_join(F.slice(chars, a + 1, b - a), ""),
+        lambda a: F.array_join(F.slice(chars, a + 1, F.greatest(F.size(chars) - a, F.lit(0))), "")))
+    out = F.when(F.size(spans) > MANY, many).when(F.size(spans) > 0, few).otherwise(text)
+    return scan(docs, model, name).withColumn("text", out).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,12 +1,15 @@
 """Text operators against plain versions, on sf0.001 and on odd rows."""
 
 import hashlib
+import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from feedrec.llm import decontaminate, idfile, jaccard, lm, packing, quality, secrets, toxicity
 from feedrec.llm.common import fold, read, words
@@ -397,6 +400,80 @@ def test_redaction(spark):
     assert secrets.redact(d, [0.0] * secrets.K ** 2).columns == d.columns
 
 
+def plain_ratio(run, model):
+    at = [secrets.ALPHABET.index(c) for c in run]
+    return sum(model[i * secrets.K + j] for i, j in zip(at, at[1:]))
+
+
+def test_markov_spans_equal_a_plain_version(spark, docs, texts):
+    model = secrets.train(docs)
+    rng = random.Random(3)
+    made = ["".join(rng.choices(secrets.ALPHABET[:n], k=k)) for n in (16, 36, 62, 67) for k in (19, 20, 25, 60)]
+    rows = [(i, t) for i, t in enumerate(KEYS + [" ".join(made), "password=" + made[5] + " " + made[6], " ".join(t or "" for _, t in texts[:40])])]
+    for r in secrets.report(frame(spark, rows), model).collect():
+        base = sorted(sum(plain_spans(rows[r.doc_id][1]), []))
+        more = []
+        for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", rows[r.doc_id][1]):
+            x = plain_ratio(m[0], [float(f"{v:.6f}") for v in model])
+            if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and x >= 20 and x >= 0.8 * (len(m[0]) - 1):
+                if not any(a < m.end() and m.start() < b for a, _, b, _ in base):
+                    more.append((m.start(), 3, m.end(), "markov"))
+        assert r.spans == ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(base + more)), r.doc_id
+
+
+def test_secrets_of_very_long_texts(spark):
+    run = "".join(random.Random(1).choices(secrets.ALPHABET, k=1_000_000))
+    many = "Zk3vQ9xLr0TmB7yWc2HdPq8s password=abcdef1 x " * 50_000
+    d = frame(spark, [(0, run), (1, many)])
+    model = [1.0] * secrets.K ** 2
+    began = time.time()
+    out = {r.doc_id: r for r in secrets.report(d, model).collect()}
+    assert out[0].spans == "markov:0:1000000" and out[1].n_assign == 50_000 and out[1].spans.count("markov") == 50_000
+    text = {r.doc_id: r.text for r in secrets.redact(d, model).collect()}
+    assert text[0] == "[SECRET]" and text[1] == "[SECRET] [SECRET] x " * 50_000
+    assert time.time() - began < 120
+
+
+def test_before_is_a_running_fold(spark):
+    for n in (0, 1, 63, 64, 65, 4096, 4097, 9000):
+        v = [random.Random(i).randrange(100) for i in range(n)]
+        d = spark.createDataFrame([(v,)], "v array<int>")
+        r = d.select(secrets.sums_before(F.col("v")).alias("s"), secrets.before(F.col("v"), F.lit(0), lambda a, b: F.greatest(a, b), 1).alias("m")).first()
+        assert r.s == [sum(v[:i]) for i in range(n)] and r.m == [max(v[:i], default=0) for i in range(n)]
+
+
+def test_clashing_names_are_kept(spark):
+    names = ["_secrets", "_base", "_spans", "_more", "_decontaminate", "_DECONTAMINATE_", "_node", "node", "text_"]
+    rows = [(1, "password=abcdefgh and " + "one two three four five six seven " * 3), (1, "other words than those before, quite a few of them"),
+            (2, "ten words that are in no other text of this table")]
+    d = frame(spark, rows, extra=False).select("*", *[F.lit(n).alias(n) for n in names])
+    bench = spark.createDataFrame([(1, "nothing in common with the others at all")], "item_id long, text string")
+    for out in (secrets.redact(d, [0.0] * secrets.K ** 2), decontaminate.clean(d, bench), jaccard.keep_one(d)):
+        got = out.collect()
+        assert out.columns == d.columns and len(got) == 3 and all(r[n] == n for r in got for n in names)
+
+
+def test_tables_go_with_the_run(spark):
+    from feedrec.llm import common
+    from feedrec.session import run_folder
+    with common.scratch(spark):
+        df = common.store(frame(spark, [(1, "x")]), "gone")
+        assert df.count() == 1 and df.inputFiles()[0].split(":")[-1].lstrip("/").startswith(run_folder(spark).split(":")[-1].lstrip("/"))
+    with pytest.raises(Exception):
+        spark.read.schema("doc_id long").parquet(df.inputFiles()[0]).count()
+    d = frame(spark, [(1, "x")])
+    assert common.free_name(d, "TEXT") == "TEXT_" and common.free_name(d, "n") == "n"
+
+
+def test_batch_settings_of_the_session_stay(spark):
+    from feedrec.llm import common
+    key, other = (f"spark.sql.execution.arrow.{x}" for x in ("maxRecordsPerBatch", "maxBytesPerBatch"))
+    own = spark.newSession()
+    own.conf.set(key, "10000")
+    common.smaller_batches(own)
+    assert own.conf.get(key) == "10000" and own.conf.get(other) == "8m"
+
+
 # ------------------------------------------------------------------ decontamination
 
 def test_decontamination(spark, docs, texts, sf):

@@ -60,7 +60,7 @@ class Tokens(dict):
 
     def __missing__(self, w: str) -> int:
         i = self.get(w[:STEM] + "*", self.unknown)
-        if len(self) < self.known + 500_000:  # a memory bound of the memo
+        if len(self) < self.known + 100_000:  # a memory bound of the memo
             self[w] = i
         return i
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedrec.llm import decontaminate, jaccard, packing, secrets, toxicity
-from feedrec.llm.common import read, smaller_batches, store
+from feedrec.llm.common import drop_folder, read, scratch, shared_folder, smaller_batches, store
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """The last stage's rows. What a stage stores on its way goes when its rows
+    are written, those when the next stage's are."""
+    docs, last = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = shared_folder(spark, f"pipeline-{name}")
+        with scratch(spark):
+            docs = store(stage(spark, docs, sf_dir), name, path)
+        if last:
+            drop_folder(spark, last)
+        last = path
     return docs

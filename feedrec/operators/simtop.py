@@ -20,12 +20,20 @@ the largest c down:
 Nothing is estimated: a dropped pair is below the N-th best by more than the
 rounding that ranks are taken on, so the result is that of all pairs. Tail
 groups of weight 0 (other acts) only serve users with too few partners.
+
+Where a few groups hold so many users that most users meet (``dense``), pairs are
+not formed as rows at all: users are cut into blocks, a task gets the rows of two
+blocks, sums all groups of all their pairs as a product of two matrices and
+returns the N best of each user there. What is shuffled is each user's groups,
+once a block, and N rows a user and block.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +44,10 @@ from ..session import cut_lineage
 
 SLACK = 1e-8  # sums are ranked on 9 digits
 STEPS = 4  # heat classes of a doubling
+DENSE_PAIRS = 5_000_000  # below so many pairs the join is cheap whatever their form
+DENSE_GROUPS = 8192  # columns of a block's matrix at most
+DENSE_CELLS = 1 << 23  # numbers of a block's matrix at most
+STRIP = 256  # rows of a product held at once
 
 
 def weighted(members: DataFrame, norm: DataFrame, p: Params) -> DataFrame:
@@ -79,6 +91,79 @@ def paired(a: DataFrame, b: DataFrame, p: Params) -> DataFrame:
     return j.withColumn("gain", F.col("c") / F.sqrt(F.col("nu").cast("double") * F.col("nv").cast("double")))
 
 
+def dense(rows: DataFrame, p: Params) -> DataFrame | None:
+    """The groups (theme_id, act_type, c), if they are few and the pairs within
+    them come to an eighth of the square of the users or more."""
+    if min(p.scan_factor, p.download_factor) < 0:
+        return None
+    groups = rows.groupBy("theme_id", "act_type").agg(F.first("c").alias("c"), F.count(F.lit(1)).cast("double").alias("k"))
+    n, pairs = groups.agg(F.count(F.lit(1)), F.sum(F.col("k") * (F.col("k") - 1) / 2)).first()
+    if n > DENSE_GROUPS or (pairs or 0.0) < DENSE_PAIRS:
+        return None
+    users = rows.select("user_id").distinct().count()
+    return groups.select("theme_id", "act_type", "c") if 8 * pairs >= users * users else None
+
+
+def block_best(rows: DataFrame, groups: DataFrame, p: Params, size: int | None = None) -> DataFrame:
+    """(u, v, sim): for every user and block of users the N best of all pairs."""
+    listed = sorted(map(tuple, groups.select("theme_id", "act_type", "c").collect()))  # DENSE_GROUPS at most
+    c = np.array([x[2] for x in listed])
+    users = rows.select("user_id").distinct().count()
+    size = size or max(1, min(16384, DENSE_CELLS // max(1, len(c))))
+    blocks = max(-(-users // size), min(8, -(-users // 512)), 1)
+    number = rows.sparkSession.createDataFrame([(t, a, i) for i, (t, a, _) in enumerate(listed)], "theme_id string, act_type string, g int")
+    lists = (rows.join(number, ["theme_id", "act_type"]).groupBy("user_id").agg(F.collect_list(F.struct("g", F.col("n").cast("int").alias("n"))).alias("of"))
+             .select("user_id", F.col("of.g").alias("g"), F.col("of.n").alias("n"), F.pmod(F.xxhash64("user_id"), F.lit(blocks)).cast("int").alias("block")))
+    dealt = lists.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    lo, hi = F.least("block", "other"), F.greatest("block", "other")
+    dealt = dealt.select("user_id", "g", "n", (F.col("block") == lo).alias("low"), (F.col("block") == hi).alias("high"),
+                         (F.call_function("div", hi * (hi + 1), F.lit(2)) + lo).cast("int").alias("pair"))
+    placed = dealt.repartitionById(blocks * (blocks + 1) // 2, F.col("pair"))
+    return placed.groupBy("pair").applyInPandas(_product(c, p.n_sim_users), "u string, v string, sim double")
+
+
+def _product(c: np.ndarray, n: int):
+    """The n best partners of the users of either block in the other one."""
+    def matrix(pdf: pd.DataFrame) -> np.ndarray:
+        x = np.zeros((len(pdf), len(c)))
+        at = np.repeat(np.arange(len(pdf)), [len(g) for g in pdf.g])
+        x[at, np.concatenate(pdf.g.to_list())] = 1 / np.sqrt(np.concatenate(pdf.n.to_list()).astype(float))
+        return x
+
+    def best_of(a: np.ndarray, b: np.ndarray, same: bool):
+        for at in range(0, len(a), STRIP):
+            part = a[at:at + STRIP]
+            sim = (part * c) @ b.T
+            met = sim > 0
+            few = met.sum(axis=1) < n
+            if few.any():  # groups that weigh nothing make partners too
+                met[few] = (part[few] > 0).astype(np.float32) @ (b > 0).astype(np.float32).T > 0
+            if same:
+                met[np.arange(len(part)), at + np.arange(len(part))] = False
+            rank = np.where(met, np.floor(sim * 1e9 + 0.5), -1.0)
+            if len(b) > n:
+                met &= rank >= np.partition(rank, len(b) - n, axis=1)[:, len(b) - n, None]
+            i, j = np.nonzero(met)
+            order = np.lexsort((j, -rank[i, j], i))
+            i, j = i[order], j[order]
+            keep = np.arange(len(i)) - np.searchsorted(i, i) < n
+            yield at + i[keep], j[keep], sim[i[keep], j[keep]]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("user_id")  # positions in the order of ties
+        one, two = pdf[pdf.low], pdf[pdf.high]
+        same = bool((pdf.low & pdf.high).all())
+        out = []
+        if len(one) and len(two):
+            a, b = matrix(one), matrix(two)
+            for x, y, left, right in [(one, two, a, b)] if same else [(one, two, a, b), (two, one, b, a)]:
+                u, v = x.user_id.to_numpy(), y.user_id.to_numpy()
+                out += [pd.DataFrame({"u": u[i], "v": v[j], "sim": s}) for i, j, s in best_of(left, right, same)]
+        return pd.concat(out) if out else pd.DataFrame({"u": [], "v": [], "sim": []})
+
+    return run
+
+
 def nth_best(sums: DataFrame, n: int) -> DataFrame:
     """(user_id, tau): the n-th best sum of every user with so many partners."""
     return top_n(sums, "u", [F.col("sim").desc()], n).where(F.col("rank") == n).select(F.col("u").alias("user_id"), F.col("sim").alias("tau"))
@@ -96,7 +181,6 @@ def _of(state: DataFrame, side: str) -> DataFrame:
 def candidate_sums(half_sums, mirror, rows: DataFrame, p: Params) -> DataFrame:
     """(u, v, sim), both directions, with every pair that can be among the N
     best of u and its whole similarity."""
-    rows = cut_lineage(rows)
     users = rows.select("user_id").distinct().count()
     limit = head_limit(rows, users, p)
     sums = mirror(half_sums(rows.where(F.col("c") > limit), p), "ua", "ub", "u", "v", "sim")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import nonempty, r6
 from ..functions.ranking import top_n
 from ..params import Params
+from ..session import cut_lineage
 from . import simtop
 from .neighbors import TUPLE, first_seen, good_items, list_order, reachable, read_ranks
 
@@ -105,11 +106,17 @@ def mirror(df: DataFrame, a: str, b: str, out_a: str, out_b: str, *keep: str) ->
 
 def similar_users(beh_window: DataFrame, p: Params) -> DataFrame:
     """Top ``n_sim_users`` neighbours per user by summed contribution,
-    over all pairs, of which ``simtop`` forms only those that can matter.
+    over all pairs, of which ``simtop`` forms only those that can matter, or sums
+    them as matrix products where most users meet.
     Output: user_id, neighbor, rank (1-based), sim (rounded)."""
     rows = cf_rows(beh_window)
     weighted = simtop.weighted(members(rows, theme_heat(rows), p), user_act_norm(rows), p)
-    sums = simtop.candidate_sums(half_sums, mirror, weighted, p)
+    weighted = cut_lineage(weighted)
+    groups = simtop.dense(weighted, p)
+    if groups is not None:
+        sums = simtop.block_best(weighted, groups, p)
+    else:
+        sums = simtop.candidate_sums(half_sums, mirror, weighted, p)
     return simtop.best(sums, p.n_sim_users).withColumn("sim", r6("sim"))
 
 

@@ -83,3 +83,29 @@ def test_hot_groups_form_no_pairs_when_they_cannot_matter(spark):
     assert sums.count() == 600  # the 19,900 hot pairs of either direction were never formed
     got = sorted((r.user_id, r.neighbor, r.rank) for r in S.best(sums, 3).collect())
     assert got == [x[:3] for x in plain(rows, p)]
+
+
+@pytest.mark.parametrize("kind,size", [("hot", 7), ("dense", 25), ("light", 11), ("dense", 100)])
+def test_block_products_give_the_rows_of_all_pairs(spark, kind, size):
+    rows = behaviour(kind, random.Random(kind)) + [("t1", f"twin{i}", "Scan") for i in range(9)]
+    p = DEFAULT.with_(n_sim_users=3)
+    beh = U.cf_rows(spark.createDataFrame([("2001-07-01 00:00:00", t, u, a) for t, u, a in rows], BEH))
+    weighted = S.weighted(U.members(beh, U.theme_heat(beh), p), U.user_act_norm(beh), p)
+    got = S.best(S.block_best(weighted, weighted.select("theme_id", "act_type", "c").distinct(), p, size), 3).collect()
+    want = plain(rows, p)
+    got = sorted((r.user_id, r.neighbor, r.rank, r.sim) for r in got)
+    assert [x[:3] for x in got] == [x[:3] for x in want]
+    assert all(abs(x[3] - y[3]) < 2e-6 for x, y in zip(got, want))
+
+
+def test_crowded_groups_form_no_pair_rows(spark, monkeypatch):
+    """Everyone meets everyone: no pair is joined, the rows are those of the pair join."""
+    rng = random.Random(5)
+    rows = [(f"t{rng.randrange(9)}", f"u{i:03d}", rng.choice(["Scan", "Download", "Other"])) for i in range(120) for _ in range(8)]
+    p = DEFAULT.with_(n_sim_users=3)
+    beh = spark.createDataFrame([("2001-07-01 00:00:00", t, u, a) for t, u, a in rows], BEH)
+    want = sorted(map(tuple, U.similar_users(beh, p).collect()))
+    monkeypatch.setattr(S, "DENSE_PAIRS", 1000)
+    monkeypatch.setattr(U, "half_sums", None)
+    monkeypatch.setattr(S, "paired", None)
+    assert sorted(map(tuple, U.similar_users(beh, p).collect())) == want

@@ -3,14 +3,15 @@ extension (O31), iterative expansion (O32) and the two lists (O33)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import act_weight, nonempty, r6, r9, time_decay
 from ..functions.ranking import normalize, top_n
 from ..params import Params
-from ..session import bucketed, joins_on_part_of_keys
-from .history import exclude_seen
+from ..session import bucketed, cut_lineage, joins_on_part_of_keys
+
+PLACES = 16  # profile entries that are scored as one term each
 
 
 def profile_records(beh_window: DataFrame, features: DataFrame) -> DataFrame:
@@ -98,13 +99,13 @@ def expand_recall(orig: DataFrame, ls: DataFrame, tg: DataFrame, history: DataFr
     tags of the next frontier depend on the current ones alone, so no new theme
     can follow. There is no hop limit; the loop ends when no user is active.
 
-    All users advance together, and a tag is recalled for a user once, the first
-    time it is on the user's frontier. Every table of a hop (frontier, new themes,
-    asked tags, one state row per user) is bucketed by user, so a hop's joins and
-    sums on users and (user, theme) need no exchange; only the tag index
-    meets the frontier by tag, as a broadcast where it is small. Written tables keep
-    the plan small, and a lost executor does not replay earlier
-    hops. Output (user_id, theme_id, hop)."""
+    All users advance together. A user is one row: the themes known (recalled or in the
+    history, as far as any recall list has them) are an array, and a hop's new
+    themes are those of the frontier's lists that it does not hold. Every table of a hop
+    (frontier, new themes, state) is bucketed by user, so a hop's joins and sums
+    on users need no exchange; only the tag index meets the frontier by tag, as a
+    broadcast where it is small. Written tables keep the plan small, and a lost
+    executor does not replay earlier hops. Output (user_id, theme_id, hop)."""
     with joins_on_part_of_keys(orig.sparkSession):
         return _expand(orig, ls, tg, history, p)
 
@@ -113,42 +114,43 @@ def _signature(frontier: DataFrame) -> DataFrame:
     return frontier.groupBy("user_id").agg(F.max(r9("weight")).alias("m"), F.sort_array(F.collect_set("tag")).alias("sig"))
 
 
-def _without(rows: DataFrame, tables: list[DataFrame], keys: list[str]) -> DataFrame:
-    for t in tables:
-        rows = rows.join(t.select(*keys), keys, "left_anti")
-    return rows
+def _listed(tags: DataFrame, lists: DataFrame) -> DataFrame:
+    """(user_id, got): the themes on the lists of a user's tags, one row a user."""
+    return (tags.where(nonempty("tag")).select("user_id", "tag").join(lists, "tag")
+            .groupBy("user_id").agg(F.array_distinct(F.flatten(F.collect_list("themes"))).alias("got")))
 
 
 def _expand(orig: DataFrame, ls: DataFrame, tg: DataFrame, history: DataFrame, p: Params) -> DataFrame:
-    user, theme, tag = "user_id", ["user_id", "theme_id"], ["user_id", "tag"]
-    known = [bucketed(history.select(*theme).distinct(), user)]  # then the new themes of each hop
-    asked = [bucketed(orig.where(nonempty("tag")).select(*tag).distinct(), user)]
-    known.append(bucketed(_without(profile_recall(orig, ls), known, theme).withColumn("hop", F.lit(0)), user))
-    counts = known[1].groupBy(user).agg(F.count(F.lit(1)).alias("c"))
+    user, empty = "user_id", F.array().cast("array<string>")
+    lists = cut_lineage(ls.groupBy("tag").agg(F.collect_set("theme_id").alias("themes")))
+    past = bucketed(history.select(user, "theme_id").join(ls.select("theme_id").distinct(), "theme_id", "left_semi")
+                    .groupBy(user).agg(F.collect_set("theme_id").alias("past")), user)
+    start = _listed(orig, lists).join(past, user, "left").withColumn("past", F.coalesce("past", empty))
+    parts = [bucketed(start.select(user, F.array_except("got", "past").alias("themes"), "past", F.lit(0).alias("hop")), user)]
     frontier = bucketed(step_profile(orig, tg, exclude=False), user)
     none = F.array().cast("array<array<string>>")
-    state = _signature(frontier).join(counts, user, "left").withColumn("seen", none)
+    state = (_signature(frontier).join(parts[0].select(user, "themes", "past"), user, "left").withColumn("seen", none)
+             .withColumn("c", F.size(F.coalesce("themes", empty)))
+             .withColumn("known", F.concat(F.coalesce("themes", empty), F.coalesce("past", empty))))
     hop = 0
     while True:
-        active = ((F.col("m") >= F.lit(float(p.min_profile_weight))) & (F.coalesce(F.col("c"), F.lit(0)) < p.min_recall)
+        active = ((F.col("m") >= F.lit(float(p.min_profile_weight))) & (F.col("c") < p.min_recall)
                   & ~F.array_contains("seen", F.col("sig")))
-        state = bucketed(state.where(active).select(user, F.coalesce("c", F.lit(0)).cast("long").alias("c"),
-                                                   F.concat("seen", F.array("sig")).alias("seen")), user)
+        state = bucketed(state.where(active).select(user, "c", "known", F.concat("seen", F.array("sig")).alias("seen")), user)
         if state.isEmpty():
-            out = known[1]
-            for part in known[2:]:
+            out = parts[0].select(user, "themes", "hop")
+            for part in parts[1:]:
                 out = out.unionByName(part)
-            return out.select(*theme, F.col("hop").cast("long").alias("hop"))
+            return out.select(user, F.explode("themes").alias("theme_id"), F.col("hop").cast("long").alias("hop"))
         hop += 1
         on = frontier.join(state.select(user), user, "left_semi")
-        fresh = bucketed(_without(on.select(*tag), asked, tag), user)
-        asked.append(fresh)
-        part = bucketed(_without(recall_themes(fresh, ls), known, theme).withColumn("hop", F.lit(hop)), user)
-        known.append(part)
-        new = part.groupBy(user).agg(F.count(F.lit(1)).alias("more"))
+        part = bucketed(_listed(on, lists).join(state.select(user, "known"), user)
+                        .select(user, F.array_except("got", "known").alias("themes"), F.lit(hop).alias("hop")), user)
+        parts.append(part)
         frontier = bucketed(step_profile(on, tg, exclude=True), user)
-        state = (_signature(frontier).join(state, user).join(new, user, "left")
-                 .withColumn("c", F.col("c") + F.coalesce("more", F.lit(0))).drop("more"))
+        state = (_signature(frontier).join(state, user).join(part.select(user, F.col("themes").alias("more")), user, "left")
+                 .withColumn("more", F.coalesce("more", empty)).withColumn("c", F.col("c") + F.size("more"))
+                 .withColumn("known", F.concat("known", "more")))
 
 
 def profile_lists(cand: DataFrame, orig: DataFrame, recall: DataFrame, n: int) -> DataFrame:
@@ -156,20 +158,33 @@ def profile_lists(cand: DataFrame, orig: DataFrame, recall: DataFrame, n: int) -
     theme's tags; order (score, quality, ctime) descending; the first ``n``
     form the profile list and the last ``n``, reversed, the extend list.
     A profile has at most ``max_profile_tag`` entries, so it is one row per
-    user and each candidate is scored in its own row, in tag order.
+    user and each candidate is scored in its own row, in tag order. The orders of
+    both lists are each other's reverse: a user's candidates are sorted once.
     Output (user_id, list, pos, theme_id)."""
     attrs = recall.select("theme_id", "quality", "ctime", "tokens").dropDuplicates(["theme_id"])
     tags = orig.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("tag", "weight"))).alias("tags"))
+    places = tags.agg(F.max(F.size("tags"))).first()[0] or 0
     c = cand.select("user_id", "theme_id").join(attrs, "theme_id").join(tags, "user_id", "left")
-    own = F.filter(F.coalesce("tags", F.array().cast("array<struct<tag:string,weight:double>>")),
-                   lambda t: F.array_contains("tokens", t["tag"]))
-    score = F.aggregate(own, F.lit(0.0), lambda s, t: s + t["weight"])
-    s = c.select("user_id", "theme_id", "quality", "ctime", r9(score).alias("score"))
-    desc = [F.col("score").desc(), F.col("quality").desc(), F.col("ctime").desc(), F.col("theme_id").asc()]
-    asc = [F.col("score").asc(), F.col("quality").asc(), F.col("ctime").asc(), F.col("theme_id").desc()]
-    first = top_n(s, "user_id", desc, n, "pos").select("user_id", F.lit("profile").alias("list"), "pos", "theme_id")
-    last = top_n(s, "user_id", asc, n, "pos").select("user_id", F.lit("extend").alias("list"), "pos", "theme_id")
-    return first.unionByName(last)
+    score = F.lit(0.0)
+    if places <= PLACES:  # one term a place is compiled code, a lambda over the profile is not
+        for i in range(places):
+            tag = F.get("tags", F.lit(i))
+            score = score + F.when(F.array_contains("tokens", tag["tag"]), tag["weight"]).otherwise(0.0)
+    else:
+        own = F.filter(F.coalesce("tags", F.array().cast("array<struct<tag:string,weight:double>>")),
+                       lambda t: F.array_contains("tokens", t["tag"]))
+        score = F.aggregate(own, F.lit(0.0), lambda s, t: s + t["weight"])
+    s = c.select("user_id", "theme_id", "quality", "ctime", score.alias("score"))
+    s = s.withColumn("score", F.when(F.col("score") == 0, F.col("score")).otherwise(r9("score")))  # most are 0, rounding is dear
+    w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("quality").desc(), F.col("ctime").desc(), F.col("theme_id").asc())
+    s = s.select("user_id", "theme_id", F.row_number().over(w).cast("long").alias("at"),
+                 F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("of"))
+    back = F.col("of") - F.col("at") + 1
+    both = F.array_compact(F.array(
+        F.when(F.col("at") <= n, F.struct(F.lit("profile").alias("list"), F.col("at").alias("pos"))),
+        F.when(back <= n, F.struct(F.lit("extend").alias("list"), back.alias("pos")))))
+    return (s.where((F.col("at") <= n) | (back <= n)).select("user_id", "theme_id", F.inline(both))
+            .select("user_id", "list", "pos", "theme_id"))
 
 
 def profile_list_text(lists: DataFrame, sep: str = "\u0002") -> DataFrame:

@@ -1,5 +1,7 @@
 """Tag profile, tag index and the expansion on hand-worked rows."""
 
+from pyspark.sql import functions as F
+
 from feedrec.functions.columns import time_decay
 from feedrec.operators import profile as PR
 from feedrec.params import DEFAULT
@@ -104,3 +106,46 @@ def test_hops_need_no_exchange(spark, monkeypatch):
     assert out.count() == 4001 * 5 + 3 and got == [("u", f"t{i}", i) for i in range(5)] + [("v", "t1", 0), ("v", "t3", 2), ("v", "t4", 3)]
     assert len(exchanges) > 12 and sum(exchanges[5:]) == 0
     assert spark.conf.get(key) == before
+
+
+def test_both_lists_come_from_one_sort(spark, monkeypatch):
+    """Ties by quality, ctime and id in either direction; as many terms as the
+    longest profile, or a lambda beyond ``PLACES``."""
+    theme = "theme_id string, grade string, quality string, ctime string, tokens array<string>"
+    recall = spark.createDataFrame([(f"i{k}", "4", str(k % 2), "1", [f"g{k % 3}", f"g{k % 5}"]) for k in range(15)], theme)
+    cand = spark.createDataFrame([(u, f"i{k}") for u, n in (("a", 15), ("b", 4), ("none", 3)) for k in range(n)], "user_id string, theme_id string")
+    weights = {("a", "g0"): 1.0, ("a", "g3"): 0.4, ("a", "g1"): 0.1, ("b", "g2"): 1.0}
+    orig = spark.createDataFrame([(u, g, w) for (u, g), w in weights.items()], "user_id string, tag string, weight double")
+
+    def place(u, k):
+        return (-sum(weights.get((u, g), 0.0) for g in {f"g{k % 3}", f"g{k % 5}"}), -(k % 2), f"i{k}")
+
+    want = []
+    for u, n in (("a", 15), ("b", 4), ("none", 3)):
+        best = [x[2] for x in sorted(place(u, k) for k in range(n))]
+        want += [(u, "profile", i, x) for i, x in enumerate(best[:6], 1)] + [(u, "extend", i, x) for i, x in enumerate(best[::-1][:6], 1)]
+    lists = PR.profile_lists(cand, orig, recall, 6)
+    plan = lists._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and "aggregate(" not in plan
+    assert sorted(map(tuple, lists.collect())) == sorted(want)
+    monkeypatch.setattr(PR, "PLACES", 2)
+    assert sorted(map(tuple, PR.profile_lists(cand, orig, recall, 6).collect())) == sorted(want)
+
+
+def test_a_hop_holds_one_row_a_user(spark, monkeypatch):
+    """Known themes are an array of the user's row, not a row each."""
+    keep, tables = PR.bucketed, []
+
+    def counted(df, *keys):
+        tables.append(keep(df, *keys))
+        return tables[-1]
+
+    monkeypatch.setattr(PR, "bucketed", counted)
+    orig = spark.createDataFrame([("u", "A", 1.0), ("v", "B", 1.0)], "user_id string, tag string, weight double")
+    ls = spark.createDataFrame([(g, i, f"{g}{i}") for g in "ABC" for i in range(20)], "tag string, rank long, theme_id string")
+    tg = spark.createDataFrame([("A", "B", 1, 1.0), ("B", "C", 1, 1.0)], "tag string, sim_tag string, rank long, weight double")
+    hist = spark.createDataFrame([("u", "B3"), ("u", "elsewhere"), ("v", "C1")], "user_id string, theme_id string")
+    out = PR.expand_recall(orig, ls, tg, hist, DEFAULT)
+    assert sorted((r.user_id, r.hop, r.n) for r in out.groupBy("user_id", "hop").agg(F.count("*").alias("n")).collect()) == [
+        ("u", 0, 20), ("u", 1, 19), ("u", 2, 20), ("v", 0, 20), ("v", 1, 19)]
+    assert max(t.count() for t in tables) <= 2

@@ -107,7 +107,8 @@ def dot_check(model, ratings: DataFrame) -> DataFrame:
     """O40 against the exported factors: (user, item, rating, prediction, dot)."""
     u = model.userFactors.select(F.col("id").alias("user"), F.col("features").alias("x"))
     i = model.itemFactors.select(F.col("id").alias("item"), F.col("features").alias("y"))
-    return (als_predict(model, ratings).join(u, "user").join(i, "item")
+    # predictions lie by item already: the item's join first moves nothing
+    return (als_predict(model, ratings).join(i, "item").join(u, "user")
             .select("user", "item", "rating", "prediction", _dot(F.col("x"), F.col("y")).alias("dot")))
 
 
@@ -116,22 +117,24 @@ def normal_equations(model, ratings: DataFrame, p: Params) -> DataFrame:
     system exactly. With c = alpha |r| the implicit system of a user is
     (Y'Y + sum c y y' + lambda n I) x = sum over r > 0 of (1 + c) y, n the
     ratings above 0. Output (id, residual): the largest component left over.
-    Y'Y is rank x rank numbers, a scalar subquery; the sums are one aggregate."""
+    Y'Y is rank x rank numbers, a scalar subquery; the sums are one aggregate, one
+    column a factor, over rows that the last join has laid by user. Factors move
+    as the floats they are."""
     y = model.itemFactors.select(F.col("id").alias("item"), F.transform("features", lambda v: v.cast("double")).alias("y"))
     k = p.als_rank
     cell = F.explode(F.flatten(F.transform("y", lambda a, i: F.transform("y", lambda b, j: F.struct(
         (i * k + j).alias("at"), (a * b).alias("v"))))))
     yty = (y.select(cell.alias("c")).groupBy("c.at").agg(F.sum("c.v").alias("v"))
            .agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "v"))), lambda c: c["v"]).alias("m")))
-    x = model.userFactors.select(F.col("id").alias("user"), F.transform("features", lambda v: v.cast("double")).alias("x"))
+    factors = model.itemFactors.select(F.col("id").alias("item"), F.col("features").alias("y"))
+    x = model.userFactors.select(F.col("id").alias("user"), F.col("features").alias("x"))
     c = F.lit(float(p.als_alpha)) * F.abs("rating")
-    r = (ratings.join(x, "user").join(y, "item")
+    r = (ratings.join(factors, "item").join(x, "user")
          .withColumn("w", c * _dot(F.col("x"), F.col("y")) - F.when(F.col("rating") > 0, 1 + c).otherwise(0.0)))
-    parts = (r.select("user", F.posexplode("y").alias("j", "v"), "w", (F.col("rating") > 0).cast("int").alias("pos"))
-             .groupBy("user", "j").agg(F.sum(F.col("v") * F.col("w")).alias("v"), F.sum("pos").alias("n")))
-    sums = parts.groupBy("user").agg(F.max("n").alias("n"), F.transform(
-        F.sort_array(F.collect_list(F.struct("j", "v"))), lambda s: s["v"]).alias("s"))
+    sums = (r.groupBy("user").agg(F.sum((F.col("rating") > 0).cast("int")).alias("n"),
+                                  *(F.sum(F.get("y", F.lit(j)).cast("double") * F.col("w")).alias(f"s{j}") for j in range(k)))
+            .select("user", "n", F.array(*(f"s{j}" for j in range(k))).alias("s")))
     full = sums.join(x, "user").withColumn("m", yty.scalar())
-    left = F.transform("x", lambda v, j: F.abs(_dot(F.slice(F.col("m"), j * k + 1, F.lit(k)), F.col("x"))
+    left = F.transform(F.col("x").cast("array<double>"), lambda v, j: F.abs(_dot(F.slice(F.col("m"), j * k + 1, F.lit(k)), F.col("x"))
                                               + F.get("s", j) + F.lit(float(p.als_lambda)) * F.col("n") * v))
     return full.select(F.col("user").alias("id"), F.array_max(left).alias("residual"))

@@ -199,7 +199,8 @@ class Ctx:
     # E4
     @property
     def als_events(self):
-        return A.als_events(behavior_window(self.beh, self.p.day_before(self.p.days_als)))
+        # read three times: for the ids of users and items and for the ratings
+        return self._stored("als_events", lambda: A.als_events(behavior_window(self.beh, self.p.day_before(self.p.days_als))))
 
     @property
     def als_ids(self):
@@ -213,9 +214,14 @@ class Ctx:
         users, items = self.als_ids
         return self._m("ratings", lambda: A.als_ratings(self.als_events, users, items, self.p))
 
+    @property
+    def ratings_t(self):
+        """Narrow rows that the fit and whoever checks it read."""
+        return self._stored("ratings", lambda: self.ratings)
+
     @property
     def als_model(self):
-        return self._m("als_model", lambda: A.als_fit(self.ratings, self.p))
+        return self._m("als_model", lambda: A.als_fit(self.ratings_t, self.p))
 
 
 # ---------------------------------------------------------------- sources
@@ -461,20 +467,20 @@ def q_als_item_factors(spark, d):
 def q_als_normal_equations(spark, d):
     """Every user's factors solve the user's linear system."""
     c = Ctx(spark, d)
-    return A.normal_equations(c.als_model, c.ratings, c.p).select("id", (F.col("residual") < 1e-3).alias("solved"))
+    return A.normal_equations(c.als_model, c.ratings_t, c.p).select("id", (F.col("residual") < 1e-3).alias("solved"))
 
 
 def q_als_predictions(spark, d):
     """Each training pair's prediction is the dot product of its factors."""
     c = Ctx(spark, d)
     same = F.abs(F.col("prediction") - F.col("dot")) < 1e-4
-    return A.dot_check(c.als_model, c.ratings).select("user", "item", r9("rating").alias("rating"), same.alias("is_dot"))
+    return A.dot_check(c.als_model, c.ratings_t).select("user", "item", r9("rating").alias("rating"), same.alias("is_dot"))
 
 
 def q_als_mse(spark, d):
     """The mean squared error equals that of the factors' dot products."""
     c = Ctx(spark, d)
-    ratings = cut_lineage(c.ratings)
+    ratings = c.ratings_t
     m = A.als_mse(A.als_predict(c.als_model, ratings))
     again = A.dot_check(c.als_model, ratings).agg(F.avg(F.pow(F.col("rating") - F.col("dot"), 2)).alias("v"))
     return m.select("n", (F.abs(F.col("mse") - again.scalar()) < 1e-4).alias("same"))

@@ -26,3 +26,17 @@ def test_als_deterministic_and_sane(spark, sf):
     unobserved = A.als_predict(m1, rnd).agg(F.avg("prediction")).first()[0]
     assert observed > unobserved
     assert A.als_mse(A.als_predict(m1, r)).first()["n"] == r.count()
+
+
+def test_factors_move_once_as_floats(spark, sf):
+    """Sums per user are one row a user, and events are read from a table."""
+    p = DEFAULT.with_(als_rank=4, als_iters=3, als_blocks=2)
+    c = Ctx(spark, sf, p)
+    assert "orders" not in c.ratings_t._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in c.als_events._jdf.queryExecution().optimizedPlan().toString()
+    found = A.normal_equations(c.als_model, c.ratings_t, p)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate posexplode" not in plan
+    assert found.count() == c.ratings_t.select("user").distinct().count() and found.agg(F.max("residual")).first()[0] < 1e-3
+    # a wrong factor leaves a residual
+    assert A.normal_equations(c.als_model, c.ratings_t.withColumn("rating", F.col("rating") * 2), p).agg(F.max("residual")).first()[0] > 1e-3

@@ -1,8 +1,9 @@
 """Seen sets as bitmaps.
 
 Themes get dense numbers; a user's seen themes are one bit each in rows of
-32,768 bits (``slot`` = number div 32,768), built map-side by ``bitmap_construct_agg``, so a
-user of any number of downloads is a few rows. The sets are a table bucketed by
+64 bits (``slot`` = number div 64), or-ed map-side. A row is one number, so a user of a
+few downloads spread over many themes has no row larger than a download, and a
+user of very many has up to 64 downloads in one. The sets are a table bucketed by
 (user, slot): a seen filter shuffles the candidates only, looks up one row per
 candidate and tests a bit. Numbers never change: a later day's themes are numbered
 after the known ones, and its sets are or-ed into the stored ones.
@@ -17,7 +18,7 @@ from ..functions.columns import nonempty
 from ..session import bucketed
 from .als import dense_ids
 
-BITS = 32768  # of one row, fixed by Spark's bitmap functions
+BITS = 64  # of one row, a long
 
 
 def theme_ids(history: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -38,16 +39,15 @@ def seen_sets(history: DataFrame, ids: DataFrame, old: DataFrame | None = None)
     """(user_id, slot, bits) of all themes of each user, good or bad; with
     ``old``, of both days."""
     sets = (_numbered(history.where(nonempty("user_id")).select("user_id", "theme_id"), ids, "inner")
-            .groupBy("user_id", "slot").agg(F.bitmap_construct_agg("bit").alias("bits")))
+            .groupBy("user_id", "slot").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("bits")))
     if old is not None:
-        sets = old.unionByName(sets).groupBy("user_id", "slot").agg(F.bitmap_or_agg("bits").alias("bits"))
+        sets = old.unionByName(sets).groupBy("user_id", "slot").agg(F.bit_or("bits").alias("bits"))
     return bucketed(sets, "user_id", "slot")
 
 
 def is_set(bits: Column, bit: Column) -> Column:
     """Is the bit set? False without a row."""
-    byte = F.conv(F.hex(F.substring(bits, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.coalesce(F.call_function("shiftright", byte, F.pmod(bit, F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    return F.coalesce(F.call_function("shiftright", bits, bit).bitwiseAND(F.lit(1)) == 1, F.lit(False))
 
 
 def unseen(cand: DataFrame, ids: DataFrame, sets: DataFrame) -> DataFrame:

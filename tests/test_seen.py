@@ -53,3 +53,16 @@ def test_bucketed_tables_leave_no_entry_and_need_no_exchange(spark):
     assert not [x for x in spark.catalog.listTables() if x.name.startswith("feedrec_")]
     plan = t.groupBy("user_id").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and t.count() == 1000
+
+
+def test_few_downloads_of_many_themes_take_few_bytes(spark):
+    """One download in each of many places costs a number, not a bitmap of 4 KB."""
+    themes = pairs(spark, []).unionByName(spark.range(70_000).selectExpr("'all' AS user_id", "format_string('t%05d', id) AS theme_id"))
+    few = spark.range(400).selectExpr("concat('u', id) AS user_id", "explode(array(0, 63, 64, 40000, 69999)) AS n")
+    h = themes.unionByName(few.selectExpr("user_id", "format_string('t%05d', n) AS theme_id"))
+    ids = S.theme_ids(h)
+    sets = S.seen_sets(h, ids)
+    assert dict(sets.dtypes)["bits"] == "bigint" and sets.where("user_id <> 'all'").count() == 1600
+    assert sets.where("user_id = 'all'").count() == 1094
+    cand = pairs(spark, [("u7", f"t{n:05d}") for n in (0, 1, 62, 63, 64, 65, 40000, 69998, 69999)])
+    assert sorted(r.theme_id for r in S.unseen(cand, ids, sets).collect()) == ["t00001", "t00062", "t00065", "t69998"]

@@ -51,7 +51,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedrec.llm.blocks import ODD, U, bucket_cuts, key_planes, key_unplanes, mix, planes, unplanes, word_hashes
+from feedrec.llm.blocks import ODD, U, bucket_cuts, hashes, key_planes, key_unplanes, mix, planes, unplanes, word_hashes
 from feedrec.llm.common import free_name, store, words
 from feedrec.llm.graph import components
 
@@ -60,7 +60,8 @@ SMALL_BAND = 48  # bands that begin below this also write one-deletion neighbour
 CHUNK_KEYS = 800_000  # keys held by a task before they are written out
 BUCKET_KEYS = 500_000
 CELL_ELEMENTS, CELL_NODES = 1_000_000, 1500  # of a block of a cell
-BROADCAST_IDS = 1_000_000  # rows of two or three ids: the most that is broadcast
+BROADCAST_IDS = 100_000  # rows of two or three ids: the most that is broadcast, a few MB of the driver whatever the input
+STRIP, COLUMNS = 256, 512  # rows of a cell's comparison and elements of its product held at once
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -227,7 +228,7 @@ def _groups(blocks: DataFrame, buckets: int, percent: int) -> DataFrame:
     """Groups of nodes that share a key. Rows with pivot = true: (grp: pivot,
     node, times: shared keys) for round 1. Others: members of a group (grp: its
     number, held: its size, times: the keys with just these members)."""
-    def collect(rows: list) -> pd.DataFrame | None:
+    def collect(rows: list) -> list[pd.DataFrame]:
         key, node, size, role, slack = [], [], [], [], []
         for r in rows:
             e = unplanes(r.entry, "<u4")
@@ -245,8 +246,9 @@ def _groups(blocks: DataFrame, buckets: int, percent: int) -> DataFrame:
         role = role[order]
         several = (count >= 2) & (np.minimum.reduceat(role, first) == 0)  # someone must have indexed it
         if not several.any():
-            return None
-        size, slack = size[order].astype(np.int64), slack[order]
+            return []
+        size, slack = size[order].astype(np.int32), slack[order]
+        del order, once
         mask = np.repeat(several, count)
         first, count = first[several], count[several]
         # groups with the same members are one group with a multiplicity
@@ -255,8 +257,9 @@ def _groups(blocks: DataFrame, buckets: int, percent: int) -> DataFrame:
         first, count = first[keep], count[keep]
         at = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
         grp = np.repeat(key[first].view(np.int64), count)
-        times, held = np.repeat(times, count), np.repeat(count, count)
+        times, held = np.repeat(times.astype(np.int32), count), np.repeat(count.astype(np.int32), count)
         node, size, role, slack = node[at], size[at], role[at], slack[at]
+        del key, mask, mark, at
         members = pd.DataFrame({"pivot": False, "grp": grp, "node": node, "size": size, "role": role,
                                 "slack": slack, "held": held, "times": times})
         # the pivot of a group: its least node that has indexed the key
@@ -265,20 +268,19 @@ def _groups(blocks: DataFrame, buckets: int, percent: int) -> DataFrame:
         stars = pd.DataFrame({"grp": np.repeat(least, count), "node": node, "times": times})
         stars = stars[stars.grp != stars.node].groupby(["grp", "node"], as_index=False).times.sum()
         stars = stars.assign(pivot=True, size=0, role=0, slack=0, held=0)
-        return pd.concat([members, stars[members.columns]])
+        return [members, stars[members.columns]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows, bucket = [], None
         for pdf in batches:
             for r in pdf.itertuples(index=False):
                 if r.bucket != bucket and rows:
-                    if (out := collect(rows)) is not None:
-                        yield out
+                    yield from collect(rows)
                     rows = []
                 bucket = r.bucket
                 rows.append(r)
-        if rows and (out := collect(rows)) is not None:
-            yield out
+        if rows:
+            yield from collect(rows)
 
     dealt = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInPandas(run, GROUPS)
@@ -314,6 +316,7 @@ def _contents(docs: DataFrame, nodes: DataFrame, rows: DataFrame, n: int, repeat
                 out.append((node, len(s), np.packbits(parity.astype(np.uint8), bitorder="little").tobytes(), s.tobytes()))
             if out:
                 yield pd.DataFrame(out, columns=["node", "size", "bitmap", "elements"])
+        hashes.clear()  # the last texts that are read: the workers go on without the memo
 
     found = wanted.mapInPandas(run, "node long, size long, bitmap binary, elements binary")
     return store(found.dropDuplicates(["node"]) if repeats else found, "jaccard-sets")
@@ -395,9 +398,9 @@ def _compare(percent: int):
         count = np.diff(np.append(first, len(element)))
         both = np.zeros((n, n), dtype=np.float32)  # sizes of the intersections
         often = np.flatnonzero(count >= 16)
-        for at in range(0, len(often), 2048):
-            x = np.zeros((n, min(2048, len(often) - at)), dtype=np.float32)
-            for k, e in enumerate(often[at:at + 2048]):
+        for at in range(0, len(often), COLUMNS):
+            x = np.zeros((n, min(COLUMNS, len(often) - at)), dtype=np.float32)
+            for k, e in enumerate(often[at:at + COLUMNS]):
                 x[of[first[e]:first[e] + count[e]], k] = 1
             both += x @ x.T
         rare = np.repeat((count >= 2) & (count < 16), count)
@@ -409,10 +412,7 @@ def _compare(percent: int):
             np.add.at(both, (of[same], of[same + step]), 1)
             np.add.at(both, (of[same + step], of[same]), 1)
         c, block, probe = pdf.c.to_numpy(), pdf.block.to_numpy(), pdf.probe.to_numpy(bool)
-        near = 100 * both >= percent * (size[:, None] + size[None, :] - both)
-        near &= (c[:, None] != c[None, :]) & (probe[:, None] | probe[None, :])
-        if pdf.lo.iloc[0] != pdf.hi.iloc[0]:  # pairs within a block have their own task
-            near &= block[:, None] != block[None, :]
+        across = pdf.lo.iloc[0] != pdf.hi.iloc[0]  # pairs within a block have their own task
         root: dict[int, int] = {}
 
         def find(x: int) -> int:
@@ -422,11 +422,18 @@ def _compare(percent: int):
             return x
 
         out = []
-        for i, j in np.argwhere(np.triu(near, 1)).tolist():
-            p, q = find(c[i]), find(c[j])
-            if p != q:
-                root[max(p, q)] = min(p, q)
-                out.append((node[i], node[j]))
+        for at in range(0, n, STRIP):
+            i = np.arange(at, min(at + STRIP, n))
+            shared = both[i].astype(np.float64)
+            near = 100 * shared >= percent * (size[i, None] + size[None, :] - shared)
+            near &= (c[i, None] != c[None, :]) & (probe[i, None] | probe[None, :]) & (np.arange(n)[None, :] > i[:, None])
+            if across:
+                near &= block[i, None] != block[None, :]
+            for k, j in np.argwhere(near).tolist():
+                p, q = find(c[at + k]), find(c[j])
+                if p != q:
+                    root[max(p, q)] = min(p, q)
+                    out.append((node[at + k], node[j]))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64") if out else none
 
     return run

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -534,3 +535,22 @@ def test_a_slice_fits_its_bound_in_bytes():
 def test_fold_of_a_null_id_is_held_out(spark):
     r = spark.createDataFrame([(None,), (7,)], "i long").select(fold(__import__("pyspark.sql.functions", fromlist=["col"]).col("i"), 5).alias("f")).collect()
     assert [x.f for x in r] == [0, zlib.crc32(b"7") % 5]
+
+
+def test_comparison_of_a_cell_takes_little_memory():
+    """Blocks of a cell are compared in strips; what is broadcast stays small."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    n, every = 1200, rng.integers(1, 1 << 62, 5000).astype(np.uint64)
+    sets = [np.sort(rng.choice(every, 60, replace=False)) for _ in range(n // 2)]
+    sets += [np.sort(np.concatenate([s[:56], rng.integers(1, 1 << 62, 4).astype(np.uint64)])) for s in sets]
+    pdf = pd.DataFrame({"node": np.arange(n), "c": np.arange(n), "probe": True, "block": np.arange(n) % 2, "lo": 0, "hi": 0,
+                        "elements": [s.tobytes() for s in sets]})
+    tracemalloc.start()
+    got = jaccard._compare(80)(pdf)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(map(tuple, got.to_numpy().tolist())) == [(i, i + n // 2) for i in range(n // 2)]
+    assert peak < 25_000_000
+    assert jaccard.BROADCAST_IDS <= 100_000

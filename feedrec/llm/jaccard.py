@@ -183,9 +183,11 @@ def _blocks(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
 
         def flush() -> pd.DataFrame:
             nonlocal held
-            k, e = np.concatenate(keys), np.repeat(np.arange(len(entries)), [len(x) for x in keys])
+            k, e = np.concatenate(keys), np.repeat(np.arange(len(entries), dtype=np.int32), [len(x) for x in keys])
+            keys.clear()
             order = np.argsort(k, kind="stable")
             k, e = k[order], e[order]
+            del order
             cut = bucket_cuts(k, buckets)
             table = np.array(entries, dtype=np.int64).reshape(-1, 4)
             rows = []
@@ -195,7 +197,7 @@ def _blocks(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
                 part = table[used]
                 rows.append((b, key_planes(kb), planes(local.astype("<u4")), planes(part[:, 0].copy()),
                              planes(part[:, 1].astype("<u4")), planes(part[:, 2].astype("<u1")), planes(part[:, 3].astype("<i4"))))
-            keys.clear(), entries.clear(), seen.clear()
+            entries.clear(), seen.clear()
             held = 0
             return pd.DataFrame(rows, columns=["bucket", "keys", "entry", "node", "size", "role", "slack"])
 
@@ -216,6 +218,7 @@ def _blocks(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
                     yield flush()
         if entries:
             yield flush()
+        hashes.clear()  # the next stage runs in the same workers and reads no words
 
     return docs.select("doc_id", "text").mapInPandas(
         run, "bucket int, keys binary, entry binary, node binary, size binary, role binary, slack binary")

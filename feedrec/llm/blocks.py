@@ -55,3 +55,29 @@ def key_planes(sorted_keys: np.ndarray) -> bytes:
 
 def key_unplanes(data: bytes) -> np.ndarray:
     return np.cumsum(unplanes(data, "<u8"), dtype=U)
+
+
+def packed(a: np.ndarray) -> bytes:
+    """Byte planes of unsigned numbers without the highest ones, as far as those
+    are zero; how many are kept comes first."""
+    width = max(1, -(-int(a.max()).bit_length() // 8))
+    return bytes([width]) + np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1)[:, :width].T).tobytes()
+
+
+def unpacked(data: bytes, dtype: str) -> np.ndarray:
+    width = data[0]
+    kept = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((kept.shape[1], np.dtype(dtype).itemsize), np.uint8)
+    out[:, :width] = kept.T
+    return out.view(dtype).reshape(-1)
+
+
+def key_packed(sorted_keys: np.ndarray) -> bytes:
+    """The first key, and the differences of the others."""
+    return sorted_keys[0].tobytes() + packed(np.diff(sorted_keys, prepend=sorted_keys[:1]))
+
+
+def key_unpacked(data: bytes) -> np.ndarray:
+    steps = unpacked(data[8:], "<u8")
+    steps[0] = np.frombuffer(data, U, 1)[0]
+    return np.cumsum(steps, dtype=U)

@@ -18,8 +18,10 @@ segments still do not reach it is an *exception*: it is compared with every set
 of its size range, so nothing is lost.
 
 Keys are exchanged as sorted, delta-coded blocks per (chunk of documents,
-bucket of keys). Equal sets share one node (a 64-bit digest of the set), so exact
-copies meet nowhere. In a bucket, each key held by two nodes or more is a group:
+bucket of keys). A block names each node it uses once, so a bucket is wide (few
+keys a node would make most of a block node names) and is read piece by piece. Equal
+sets share one node (a 64-bit digest of the set), so exact
+copies meet nowhere. In a piece, each key held by two nodes or more is a group:
 
 * round 1 compares every node with one pivot only, the one it shares most keys
   with: linear in the size of a group;
@@ -51,14 +53,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedrec.llm.blocks import ODD, U, bucket_cuts, hashes, key_planes, key_unplanes, mix, planes, unplanes, word_hashes
+from feedrec.llm.blocks import ODD, U, bucket_cuts, hashes, key_packed, key_unpacked, mix, packed, unpacked, word_hashes
 from feedrec.llm.common import free_name, store, words
 from feedrec.llm.graph import components
 
 HOT = 24
 SMALL_BAND = 48  # bands that begin below this also write one-deletion neighbours
 CHUNK_KEYS = 800_000  # keys held by a task before they are written out
-BUCKET_KEYS = 500_000
+PIECES, PIECE_KEYS = 8, 500_000  # of a bucket; keys of a piece, read at once
 CELL_ELEMENTS, CELL_NODES = 1_000_000, 1500  # of a block of a cell
 BROADCAST_IDS = 100_000  # rows of two or three ids: the most that is broadcast, a few MB of the driver whatever the input
 STRIP, COLUMNS = 256, 512  # rows of a cell's comparison and elements of its product held at once
@@ -175,7 +177,7 @@ def sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def _blocks(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
-    """Key blocks: sorted keys (differences), entry numbers, and the entries
+    """Key blocks: by piece the sorted keys and their entry numbers, and the entries
     (node, size, role, slack) that the block uses."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bands = Bands(percent)
@@ -188,15 +190,20 @@ def _blocks(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
             order = np.argsort(k, kind="stable")
             k, e = k[order], e[order]
             del order
-            cut = bucket_cuts(k, buckets)
+            cut = bucket_cuts(k, buckets * PIECES)
             table = np.array(entries, dtype=np.int64).reshape(-1, 4)
             rows = []
-            for b in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
-                kb = k[cut[b]:cut[b + 1]]
-                used, local = np.unique(e[cut[b]:cut[b + 1]], return_inverse=True)
-                part = table[used]
-                rows.append((b, key_planes(kb), planes(local.astype("<u4")), planes(part[:, 0].copy()),
-                             planes(part[:, 1].astype("<u4")), planes(part[:, 2].astype("<u1")), planes(part[:, 3].astype("<i4"))))
+            for b in np.flatnonzero(cut[PIECES::PIECES] > cut[:-1:PIECES]).tolist():
+                at = cut[b * PIECES:(b + 1) * PIECES + 1].tolist()
+                eb = e[at[0]:at[-1]]
+                flag = np.zeros(len(table), bool)
+                flag[eb] = True
+                local = (np.cumsum(flag) - 1).astype("<u4")[eb]
+                node, size, role, slack = table[flag].T
+                parts = [(i, j) for i, j in zip(at, at[1:])]
+                rows.append((b, [key_packed(k[i:j]) if j > i else b"" for i, j in parts],
+                             [packed(local[i - at[0]:j - at[0]]) if j > i else b"" for i, j in parts],
+                             packed(node.view("<u8")), packed(size.view("<u8")), packed(role.view("<u8")), packed((slack + 1).view("<u8"))))
             entries.clear(), seen.clear()
             held = 0
             return pd.DataFrame(rows, columns=["bucket", "keys", "entry", "node", "size", "role", "slack"])
@@ -221,7 +228,11 @@ def _blocks(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
         hashes.clear()  # the next stage runs in the same workers and reads no words
 
     return docs.select("doc_id", "text").mapInPandas(
-        run, "bucket int, keys binary, entry binary, node binary, size binary, role binary, slack binary")
+        run, "bucket int, keys array<binary>, entry array<binary>, node binary, size binary, role binary, slack binary")
+
+
+def bucket_count(elements: int) -> int:
+    return max(8, -(-elements // (2 * PIECES * PIECE_KEYS)))  # about half a key per element
 
 
 GROUPS = "pivot boolean, grp long, node long, size int, role int, slack int, held int, times int"
@@ -231,13 +242,17 @@ def _groups(blocks: DataFrame, buckets: int, percent: int) -> DataFrame:
     """Groups of nodes that share a key. Rows with pivot = true: (grp: pivot,
     node, times: shared keys) for round 1. Others: members of a group (grp: its
     number, held: its size, times: the keys with just these members)."""
-    def collect(rows: list) -> list[pd.DataFrame]:
+    def collect(rows: list, piece: int) -> list[pd.DataFrame]:
         key, node, size, role, slack = [], [], [], [], []
-        for r in rows:
-            e = unplanes(r.entry, "<u4")
-            key.append(key_unplanes(r.keys))
-            for to, data, kind in ((node, r.node, "<i8"), (size, r.size, "<u4"), (role, r.role, "<u1"), (slack, r.slack, "<i4")):
-                to.append(unplanes(data, kind)[e])
+        for keys, entry, *of in rows:
+            if keys[piece]:
+                e = unpacked(entry[piece], "<u4")
+                key.append(key_unpacked(keys[piece]))
+                for to, values in zip((node, size, role, slack), of):
+                    to.append(values[e])
+                keys[piece] = entry[piece] = None
+        if not key:
+            return []
         key, node, size, role, slack = map(np.concatenate, (key, node, size, role, slack))
         order = np.lexsort((role, node, key))
         key, node = key[order], node[order]
@@ -250,7 +265,7 @@ def _groups(blocks: DataFrame, buckets: int, percent: int) -> DataFrame:
         several = (count >= 2) & (np.minimum.reduceat(role, first) == 0)  # someone must have indexed it
         if not several.any():
             return []
-        size, slack = size[order].astype(np.int32), slack[order]
+        size, slack = size[order], slack[order]
         del order, once
         mask = np.repeat(several, count)
         first, count = first[several], count[several]
@@ -274,19 +289,16 @@ def _groups(blocks: DataFrame, buckets: int, percent: int) -> DataFrame:
         return [members, stars[members.columns]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, bucket = [], None
+        rows = []
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                if r.bucket != bucket and rows:
-                    yield from collect(rows)
-                    rows = []
-                bucket = r.bucket
-                rows.append(r)
-        if rows:
-            yield from collect(rows)
+                rows.append((list(r.keys), list(r.entry), unpacked(r.node, "<i8"), unpacked(r.size, "<i8").astype(np.int32),
+                             unpacked(r.role, "<i8").astype(np.int8), (unpacked(r.slack, "<i8") - 1).astype(np.int32)))
+        for piece in range(PIECES):
+            yield from collect(rows, piece)
 
-    dealt = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInPandas(run, GROUPS)
+    # a partition is a bucket, so nothing is sorted
+    return blocks.repartitionById(buckets, "bucket").mapInPandas(run, GROUPS)
 
 
 def _fits(r: Column | str, s: Column | str, percent: int) -> Column:
@@ -477,7 +489,7 @@ def _exceptions(rows: DataFrame, percent: int) -> DataFrame:
 def node_links(docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
     """Verified links (a, b) between nodes that join all similar sets."""
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
-    buckets = max(8, -(-total // (2 * BUCKET_KEYS)))  # about half a key per element
+    buckets = bucket_count(total)
     groups = store(_groups(_blocks(docs, n, percent, buckets), buckets, percent), "jaccard-groups")
     # round 1: one pivot a node, the one with most shared keys
     stars = (groups.where("pivot").groupBy("node", "grp").agg(F.sum("times").alias("times"))

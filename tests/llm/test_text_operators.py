@@ -554,3 +554,29 @@ def test_comparison_of_a_cell_takes_little_memory():
     assert sorted(map(tuple, got.to_numpy().tolist())) == [(i, i + n // 2) for i in range(n // 2)]
     assert peak < 25_000_000
     assert jaccard.BROADCAST_IDS <= 100_000
+
+
+def test_key_blocks_stay_small_in_many_buckets(spark, monkeypatch):
+    """Nodes are named once a bucket, not once for a few keys, so the blocks hardly
+    grow with the number of buckets."""
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 10**6, 400))) for i in range(300)]
+    df = frame(spark, rows).coalesce(1)
+    monkeypatch.setattr(jaccard, "PIECE_KEYS", 400)  # 300 * 396 elements: 149 pieces
+    buckets = jaccard.bucket_count(300 * 396)
+    blocks = jaccard._blocks(df, 5, 80, buckets).toPandas()
+    kept = sum(len(x) if isinstance(x, bytes) else sum(map(len, x)) for c in blocks.columns[1:] for x in blocks[c])
+    keys = sum(sum(len(jaccard.key_unpacked(x)) for x in ks if x) for ks in blocks["keys"])
+    assert keys > 30_000
+    assert kept < 17 * keys  # 21 and more before, with 149 buckets of one piece
+
+
+def test_packed_numbers_come_back():
+    from feedrec.llm.blocks import key_packed, key_unpacked, packed, unpacked
+
+    for top in (0, 1, 255, 256, 65_535, 1 << 40, (1 << 64) - 1):
+        a = np.array([0, top // 2, top], dtype=np.uint64)
+        assert unpacked(packed(a), "<u8").tolist() == a.tolist()
+        assert key_unpacked(key_packed(a)).tolist() == a.tolist()
+    assert unpacked(packed(np.array([7, 300], dtype="<u4")), "<u4").tolist() == [7, 300]
+    assert key_unpacked(key_packed(np.array([5], dtype=np.uint64))).tolist() == [5]

@@ -5,9 +5,10 @@ from __future__ import annotations
 import contextlib
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextvars import ContextVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,22 @@ def smaller_batches(spark: SparkSession) -> None:
             spark.conf.set(f"spark.sql.execution.arrow.{key}", value)
 
 
+def release() -> None:
+    """Give memory that was freed back to the system, Arrow's and numpy's."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
+def releasing(run: Callable) -> Callable:
+    """A function over batches that leaves little behind when its task is done: the
+    same workers run the next stages."""
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        release()  # what ``run`` held is gone by now
+
+    return whole
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     smaller_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

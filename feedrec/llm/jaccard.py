@@ -54,7 +54,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedrec.llm.blocks import ODD, U, bucket_cuts, hashes, key_packed, key_unpacked, mix, packed, unpacked, word_hashes
-from feedrec.llm.common import free_name, store, words
+from feedrec.llm.common import free_name, releasing, store, words
 from feedrec.llm.graph import components
 
 HOT = 24
@@ -162,6 +162,7 @@ class Bands:
 
 def sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, node, exception) of every row."""
+    @releasing
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bands = Bands(percent)
         for pdf in batches:
@@ -179,6 +180,7 @@ def sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
 def _blocks(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
     """Key blocks: by piece the sorted keys and their entry numbers, and the entries
     (node, size, role, slack) that the block uses."""
+    @releasing
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bands = Bands(percent)
         keys, entries, seen, held = [], [], set(), 0
@@ -288,6 +290,7 @@ def _groups(blocks: DataFrame, buckets: int, percent: int) -> DataFrame:
         stars = stars.assign(pivot=True, size=0, role=0, slack=0, held=0)
         return [members, stars[members.columns]]
 
+    @releasing
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for pdf in batches:
@@ -319,6 +322,7 @@ def _contents(docs: DataFrame, nodes: DataFrame, rows: DataFrame, n: int, repeat
     first = store(rows.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "jaccard-wanted")
     wanted = docs.select("doc_id", "text").join(_small(first), "doc_id")
 
+    @releasing
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
@@ -348,6 +352,7 @@ def _joined(pairs: DataFrame, contents: DataFrame, col: str) -> DataFrame:
 
 def _near(pairs: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
     """Pairs whose parity bitmaps leave the similarity possible."""
+    @releasing
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             keep = []
@@ -362,6 +367,7 @@ def _near(pairs: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
 
 def _links(pairs: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sets reach the similarity, verified on all elements."""
+    @releasing
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             keep = []

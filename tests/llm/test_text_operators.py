@@ -12,7 +12,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from feedrec.llm import decontaminate, idfile, jaccard, lm, packing, quality, secrets, toxicity
+from feedrec.llm import common, decontaminate, idfile, jaccard, lm, packing, quality, secrets, toxicity
 from feedrec.llm.common import fold, read, words
 from feedrec.llm.tokenizer import BLANK_DROPPED, BYTE_LEVEL, Encoder, public_path
 
@@ -580,3 +580,48 @@ def test_packed_numbers_come_back():
         assert key_unpacked(key_packed(a)).tolist() == a.tolist()
     assert unpacked(packed(np.array([7, 300], dtype="<u4")), "<u4").tolist() == [7, 300]
     assert key_unpacked(key_packed(np.array([5], dtype=np.uint64))).tolist() == [5]
+
+
+def test_tasks_give_their_memory_back(monkeypatch):
+    """What Arrow kept of the batches goes back to the system when a task ends, and
+    only then is nothing of its function left."""
+    import subprocess
+    import sys
+
+    code = """if True:
+        import re
+        import pyarrow as pa
+        from feedrec.llm.common import releasing
+
+        def held():
+            return int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) // 1024
+
+        def batches():
+            for _ in range(4):
+                yield pa.array([b"x" * 1000 + str(i).encode() for i in range(40_000)]).to_pandas()
+
+        @releasing
+        def run(batches):
+            kept = list(batches)
+            yield len(kept)
+
+        pa.array([b"x"]).to_pandas()  # loads pandas
+        before = held()
+        assert list(run(batches())) == [4]
+        assert held() - before < 40, (before, held())
+        """
+    subprocess.run([sys.executable, "-c", code], check=True)
+    called = []
+    monkeypatch.setattr(common, "release", lambda: called.append(1))
+
+    class Docs:  # takes the function that tasks would run
+        def select(self, *_):
+            return self
+
+        def mapInPandas(self, run, schema):
+            return run
+
+    pdf = pd.DataFrame({"doc_id": [1, 2], "text": ["a b c d e f", None]})
+    for run in (jaccard.sets(Docs(), 5, 80), jaccard._blocks(Docs(), 5, 80, 8)):
+        assert sum(map(len, run(iter([pdf])))) > 0
+    assert len(called) == 2

@@ -59,19 +59,31 @@ def read_ranks(first: DataFrame, max_n: int) -> DataFrame:
             .where(F.col("before") < max_n).select("user_id", "first_rank"))
 
 
+def short_walks(s: DataFrame, good: DataFrame, max_n: int) -> DataFrame:
+    """``first_seen`` over the histories of fewer than ``max_n`` items, with
+    ``before``: the number of tuples first seen by an earlier neighbour. A user has
+    fewer than ``max_n`` of these rows a neighbour, so they are shuffled once, by
+    user, and summed and counted there."""
+    rows = (s.where(F.col("h_n") < max_n).join(good, F.col("neighbor") == F.col("nb"))
+            .select("user_id", "rank", *TUPLE).repartition("user_id"))
+    earlier = Window.partitionBy("user_id").orderBy("first_rank").rangeBetween(Window.unboundedPreceding, -1)
+    return (rows.groupBy("user_id", *TUPLE).agg(F.min("rank").alias("first_rank"))
+            .withColumn("before", F.count(F.lit(1)).over(earlier)))
+
+
 def best_unseen(sim: DataFrame, history: DataFrame, max_n: int, size: int) -> DataFrame:
     """The ``size`` best unseen candidates of every user in list order (all, if
     there are fewer): (user_id, theme_id, quality, grade, ctime). ``neighbor_list``
     makes the same list of them as of all candidates."""
     good = good_items(history)
     s = cut_lineage(reachable(sim, good, max_n).where("h_n > 0"))
-    first = cut_lineage(first_seen(s.where(F.col("h_n") < max_n), good))
-    short = first.join(read_ranks(first, max_n), ["user_id", "first_rank"])
+    first = cut_lineage(short_walks(s, good, max_n))
+    short = first.where(F.col("before") < max_n)
     found = exclude_seen(short, history).select("user_id", *TUPLE)
     full = first.groupBy("user_id").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= max_n)
     todo = cut_lineage(s.where(F.col("h_n") >= max_n).join(full, "user_id", "left_anti")
                        .select("user_id", F.col("neighbor").alias("nb"), "h_n"))
-    k = 2 * size
+    k, rounds = 2 * size, 0
     while not todo.isEmpty():
         heads = top_n(good.join(todo.select("nb").distinct(), "nb", "left_semi"), "nb", list_order(), k, "place").drop("place")
         part = cut_lineage(exclude_seen(todo.join(heads, "nb"), history).select("user_id", *TUPLE))
@@ -79,5 +91,6 @@ def best_unseen(sim: DataFrame, history: DataFrame, max_n: int, size: int) -> Da
         # who is still short of items reads on; those whose history ends here are done
         todo = cut_lineage(todo.where(F.col("h_n") > k).join(enough, "user_id", "left_anti"))
         found = found.unionByName(part.join(todo.select("user_id"), "user_id", "left_anti"))
-        k *= 4
-    return top_n(found.distinct(), "user_id", list_order(), size, "place").drop("place")
+        k, rounds = k * 4, rounds + 1
+    # the short ones are distinct already
+    return top_n(found.distinct() if rounds else found, "user_id", list_order(), size, "place").drop("place")

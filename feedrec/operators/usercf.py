@@ -149,31 +149,34 @@ def neighbor_list(unseen: DataFrame, hot: DataFrame, users: DataFrame, size: int
     [quality "1" items] ++ first ``lack`` hot themes ++ [the other items].
 
     Output (user_id, pos 1-based, theme_id, section). Every user of ``users``
-    gets a list, so a user without candidates gets the hot list head. The
-    back-fill is an equi-join of ``sequence(0, lack-1)`` with the hot rank,
-    never a cross join."""
+    gets a list, so a user without candidates gets the hot list head. A list
+    is put together as arrays of at most ``size`` items and hot themes, so the
+    candidates are grouped by user once and the lists themselves are not
+    shuffled; never a cross join."""
     ranked = top_n(unseen.select("user_id", "theme_id", "quality", "ctime"), "user_id", list_order(), size, "sub")
-    cnt = ranked.groupBy("user_id").agg(F.count(F.lit(1)).alias("c"))
-    u = (users.select("user_id").distinct().join(cnt, "user_id", "left")
-         .select("user_id", (F.lit(size) - F.coalesce(F.col("c"), F.lit(0))).alias("lack"),
-                 F.coalesce(F.col("c"), F.lit(0)).alias("c")))
-    items = ranked.join(u, "user_id").select(
-        "user_id", "theme_id",
-        F.when((F.col("lack") > 0) & (F.col("quality") != "1"), F.lit(2)).otherwise(F.lit(0)).alias("section"),
-        F.col("sub").cast("long").alias("sub"))
-    need = u.where(F.col("lack") > 0)
-    span = (F.col("lack") + F.col("c")) if dedupe_backfill else F.col("lack")
-    fill = (need.select("user_id", "lack", F.explode(F.sequence(F.lit(0), span - 1)).alias("hr"))
-            .join(hot.select(F.col("rank").alias("hr"), F.col("id").alias("theme_id")), "hr"))
+    own = ranked.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("sub", "theme_id", "quality"))).alias("items"))
+    # at most ``size`` hot themes are ever used: one row for all users
+    head = (hot.where((F.col("rank") >= 0) & (F.col("rank") < size))
+            .agg(F.sort_array(F.collect_list(F.struct("rank", F.col("id").alias("theme_id")))).alias("head")))
+    u = (users.select("user_id").distinct().join(own, "user_id", "left")
+         .withColumn("items", F.coalesce("items", F.array().cast(own.schema["items"].dataType)))
+         .withColumn("lack", F.lit(size) - F.size("items")).withColumn("head", head.scalar()))
+
+    def behind(x):
+        return (F.col("lack") > 0) & F.coalesce(x["quality"] != "1", F.lit(False))
+
+    def listed(items, section: int):
+        return F.transform(items, lambda x: F.struct(x["theme_id"].alias("theme_id"), F.lit(section).alias("section")))
+
     if dedupe_backfill:
-        # at most lack + c hot rows per user, so this window is bounded by 2L
-        fill = fill.join(items.select("user_id", "theme_id"), ["user_id", "theme_id"], "left_anti")
-        k = F.row_number().over(Window.partitionBy("user_id").orderBy("hr"))
-        fill = fill.withColumn("k", k).where(F.col("k") <= F.col("lack"))
-    fill = fill.select("user_id", "theme_id", F.lit(1).alias("section"), F.col("hr").alias("sub"))
-    allr = items.unionByName(fill)
-    w = Window.partitionBy("user_id").orderBy("section", "sub")
-    return allr.select("user_id", F.row_number().over(w).cast("long").alias("pos"), "theme_id", "section")
+        fill = F.filter("head", lambda x: ~F.coalesce(F.exists("items", lambda y: y["theme_id"] == x["theme_id"]), F.lit(False)))
+        fill = F.slice(fill, F.lit(1), F.col("lack"))
+    else:
+        fill = F.filter("head", lambda x: x["rank"] < F.col("lack"))
+    whole = F.concat(listed(F.filter("items", lambda x: ~behind(x)), 0), listed(fill, 1), listed(F.filter("items", behind), 2))
+    return (u.select("user_id", F.posexplode(whole).alias("pos", "of"))
+            .select("user_id", (F.col("pos") + 1).cast("long").alias("pos"), F.col("of.theme_id").alias("theme_id"),
+                    F.col("of.section").alias("section")))
 
 
 def neighbor_list_text(lst: DataFrame, sep: str = "\u0002") -> DataFrame:

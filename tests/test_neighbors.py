@@ -55,3 +55,25 @@ def test_long_history_is_not_copied_to_its_followers(spark, monkeypatch):
     assert len(got) == 300 * 5 and sum(sizes) <= 2 * 300 * 10 + 2 * 10_000  # whole histories would be 3,000,000 rows
     assert sorted(r.theme_id for r in got if r.user_id == "f001")[-1] == "t09997"
     assert {r.quality for r in got if r.user_id == "f000"} == {"0"}  # has seen all of quality 1, read five rounds deep
+
+
+def test_lists_are_grouped_by_user_once(spark, capsys):
+    """The candidates are shuffled once, by user; the lists made of them are not."""
+    sim, rows = case(random.Random(6))
+    sim, hist = sim_table(spark, sim), history(spark, rows)
+    hot = spark.createDataFrame([(i, f"h{i}") for i in range(30)], "rank long, id string")
+    unseen = hist.select("user_id", "theme_id", "quality", "ctime")
+    U.neighbor_list(unseen, hot, sim, 20).explain()
+    plan = capsys.readouterr().out
+    # candidates and users; before, candidates twice and the lists as well
+    assert plan.count("Exchange hashpartitioning") == 2 and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_walk_over_short_histories_counts_as_the_joins_do(spark):
+    sim, rows = case(random.Random(7))
+    sim, good = sim_table(spark, sim), NB.good_items(history(spark, rows + rows[:9]))
+    s = NB.reachable(sim, good, 8)
+    first = NB.first_seen(s.where("h_n < 8"), good)
+    want = first.join(NB.read_ranks(first, 8), ["user_id", "first_rank"]).select("user_id", *NB.TUPLE, "first_rank")
+    got = NB.short_walks(s, good, 8).where("before < 8").drop("before").select(want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

@@ -35,10 +35,23 @@ def release() -> None:
         pool.release_unused()
 
 
+#: What operators keep in a worker process between the tasks of their own stage.
+kept: list[dict] = []
+
+
+def forget() -> None:
+    """Drop what operators of earlier stages keep in this worker."""
+    if any(kept):
+        for memo in kept:
+            memo.clear()
+        release()
+
+
 def releasing(run: Callable) -> Callable:
-    """A function over batches that leaves little behind when its task is done: the
-    same workers run the next stages."""
+    """A function over batches that finds little of other stages in its worker and
+    leaves little behind when its task is done: the same workers run all stages."""
     def whole(batches: Iterator) -> Iterator:
+        forget()
         yield from run(batches)
         release()  # what ``run`` held is gone by now
 

@@ -54,16 +54,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedrec.llm.blocks import ODD, U, bucket_cuts, hashes, key_packed, key_unpacked, mix, packed, unpacked, word_hashes
-from feedrec.llm.common import free_name, releasing, store, words
+from feedrec.llm.common import free_name, release, releasing, store, words
 from feedrec.llm.graph import components
 
 HOT = 24
 SMALL_BAND = 48  # bands that begin below this also write one-deletion neighbours
 CHUNK_KEYS = 800_000  # keys held by a task before they are written out
-PIECES, PIECE_KEYS = 8, 500_000  # of a bucket; keys of a piece, read at once
+PIECES, PIECE_KEYS = 16, 250_000  # of a bucket; keys of a piece, read at once
 CELL_ELEMENTS, CELL_NODES = 1_000_000, 1500  # of a block of a cell
 BROADCAST_IDS = 100_000  # rows of two or three ids: the most that is broadcast, a few MB of the driver whatever the input
-STRIP, COLUMNS = 256, 512  # rows of a cell's comparison and elements of its product held at once
+STRIP, COLUMNS = 256, 1024  # rows of a cell's comparison and elements of its product held at once
+SLICE = 250_000  # elements of a cell's sets that are sorted at once
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -403,27 +404,31 @@ def _pairs(members: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _compare(percent: int):
-    """Links of a block pair of a cell that join different components."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        if not pdf.probe.any() or pdf.c.nunique() < 2:
-            return none
-        n, node = len(pdf), pdf.node.to_numpy()
-        sets = [np.frombuffer(x, U) for x in pdf.elements]
-        size = np.array([len(x) for x in sets])
-        of, element = np.repeat(np.arange(n), size), np.concatenate(sets)
+def _intersections(sets: list[np.ndarray], size: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of all pairs, above the diagonal. The sorted sets
+    are read slice by slice of the universe, so that little is held beside them and
+    the result."""
+    n = len(sets)
+    both = np.zeros((n, n), dtype=np.uint16 if size.max() < 1 << 16 else np.uint32)
+    slices = int(-(-size.sum() // SLICE))
+    cuts = np.array([(i << 64) // slices for i in range(1, slices)], dtype=U)
+    at = np.array([[0, *np.searchsorted(s, cuts), len(s)] for s in sets])
+    for i, j in zip(at.T, at.T[1:]):
+        of, element = np.repeat(np.arange(n, dtype=np.int32), j - i), np.concatenate([s[x:y] for s, x, y in zip(sets, i, j)])
+        if not len(element):
+            continue
         order = np.argsort(element, kind="stable")
         of, element = of[order], element[order]
         first = np.flatnonzero(np.concatenate([[True], element[1:] != element[:-1]]))
         count = np.diff(np.append(first, len(element)))
-        both = np.zeros((n, n), dtype=np.float32)  # sizes of the intersections
-        often = np.flatnonzero(count >= 16)
-        for at in range(0, len(often), COLUMNS):
-            x = np.zeros((n, min(COLUMNS, len(often) - at)), dtype=np.float32)
-            for k, e in enumerate(often[at:at + COLUMNS]):
-                x[of[first[e]:first[e] + count[e]], k] = 1
-            both += x @ x.T
+        often = count[count >= 16]
+        have, ends = of[np.repeat(count >= 16, count)], np.concatenate([[0], np.cumsum(often)])
+        for c in range(0, len(often), COLUMNS):
+            held = often[c:c + COLUMNS]
+            x = np.zeros((n, len(held)), dtype=np.float32)
+            x[have[ends[c]:ends[c + len(held)]], np.repeat(np.arange(len(held)), held)] = 1
+            for r in range(0, n, STRIP):
+                both[r:r + STRIP] += (x[r:r + STRIP] @ x.T).astype(both.dtype)
         rare = np.repeat((count >= 2) & (count < 16), count)
         of, element = of[rare], element[rare]
         for step in range(1, 16):
@@ -431,7 +436,19 @@ def _compare(percent: int):
             if not len(same):
                 break
             np.add.at(both, (of[same], of[same + step]), 1)
-            np.add.at(both, (of[same + step], of[same]), 1)
+    return both
+
+
+def _compare(percent: int):
+    """Links of a block pair of a cell that join different components."""
+    def compared(pdf: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        if not pdf.probe.any() or pdf.c.nunique() < 2:
+            return none
+        n, node = len(pdf), pdf.node.to_numpy()
+        sets = [np.frombuffer(x, U) for x in pdf.elements]
+        size = np.array([len(x) for x in sets])
+        both = _intersections(sets, size)
         c, block, probe = pdf.c.to_numpy(), pdf.block.to_numpy(), pdf.probe.to_numpy(bool)
         across = pdf.lo.iloc[0] != pdf.hi.iloc[0]  # pairs within a block have their own task
         root: dict[int, int] = {}
@@ -457,6 +474,12 @@ def _compare(percent: int):
                     out.append((node[at + k], node[j]))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64") if out else none
 
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = compared(pdf)
+        if len(pdf) >= STRIP:  # not for the many small ones
+            release()
+        return out
+
     return run
 
 

@@ -15,6 +15,8 @@ import re
 import sys
 from array import array
 
+from feedrec.llm.common import kept
+
 PIECES, RUNS = 1_000_000, 1_300_000  # entries of the memos
 #: Unicode white space as the vocabularies' patterns take it (fixed values).
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -119,6 +121,7 @@ class Encoder:
 
 
 _encoders: dict[tuple, Encoder] = {}
+kept.append(_encoders)
 
 
 def encoder(path: str, pieces: re.Pattern, end_id: int) -> Encoder:

@@ -625,3 +625,45 @@ def test_tasks_give_their_memory_back(monkeypatch):
     for run in (jaccard.sets(Docs(), 5, 80), jaccard._blocks(Docs(), 5, 80, 8)):
         assert sum(map(len, run(iter([pdf])))) > 0
     assert len(called) == 2
+
+
+def test_comparison_of_two_whole_blocks_holds_little_beside_its_sets(monkeypatch):
+    """Sets are read slice by slice, and the intersections are small numbers."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    n, every = 1600, rng.integers(0, 1 << 64, 30_000, dtype=np.uint64)
+    sets = [np.sort(rng.choice(every, 500, replace=False)) for _ in range(n // 2)]
+    sets += [np.sort(np.concatenate([s[:460], rng.integers(0, 1 << 64, 40, dtype=np.uint64)])) for s in sets]
+    pdf = pd.DataFrame({"node": np.arange(n), "c": np.arange(n), "probe": True, "block": np.arange(n) % 2, "lo": 0, "hi": 0,
+                        "elements": [s.tobytes() for s in sets]})
+    tracemalloc.start()
+    got = jaccard._compare(80)(pdf)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(map(tuple, got.to_numpy().tolist())) == [(i, i + n // 2) for i in range(n // 2)]
+    assert peak < 28_000_000
+    monkeypatch.setattr(jaccard, "SLICE", 1000)
+    assert jaccard._compare(80)(pdf).equals(got)
+    size = np.array([1 << 16, 1, 1])  # as large as needed for large sets
+    assert jaccard._intersections([np.arange(1 << 16, dtype=np.uint64), np.array([5], np.uint64), np.array([], np.uint64)], size)[0, 1] == 1
+
+
+def test_tasks_find_no_memo_of_other_stages():
+    """The tokenizers of packing go when a task of near_duplicates starts."""
+    from feedrec.llm import tokenizer
+
+    memo = tokenizer._encoders
+    before = dict(memo)
+    memo["other"] = object()
+    seen = []
+
+    def run(batches):
+        seen.append(dict(memo))
+        yield from batches
+
+    try:
+        assert list(common.releasing(run)(iter([1, 2]))) == [1, 2]
+        assert seen == [{}]
+    finally:
+        memo.update(before)

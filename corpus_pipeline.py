@@ -13,6 +13,10 @@ from feedrec.llm import decontaminate, jaccard, packing, secrets, toxicity
 from feedrec.llm.common import drop_folder, read, scratch, shared_folder, smaller_batches, store
 
 
+#: Tokenised words that a worker keeps: it shares its executor with what all stages leave.
+PACKING_MEMO = 100_000
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the class-conditional models do not reject."""
     smaller_batches(spark)
@@ -40,7 +44,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and the windows they lie in."""
     smaller_batches(spark)
-    return packing.pack(docs)
+    return packing.pack(docs, memo=PACKING_MEMO)
 
 
 STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates), ("decontamination", drop_contaminated),

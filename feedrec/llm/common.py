@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import functools
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -50,6 +51,7 @@ def forget() -> None:
 def releasing(run: Callable) -> Callable:
     """A function over batches that finds little of other stages in its worker and
     leaves little behind when its task is done: the same workers run all stages."""
+    @functools.wraps(run)  # pandas_udf reads the type hints
     def whole(batches: Iterator) -> Iterator:
         forget()
         yield from run(batches)

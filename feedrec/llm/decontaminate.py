@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedrec.llm.common import free_name, lower_ascii, store
+from feedrec.llm.common import free_name, lower_ascii, releasing, store
 
 ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Odd multiplier of the rolling sum, modulo 2^64.
@@ -106,6 +106,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 13, slice_chars: int =
 
 def _pass(docs: DataFrame, windows, name: str) -> DataFrame:
     @F.pandas_udf(STATE)
+    @releasing
     def run(batches: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
         w = windows.value
         for texts, old in batches:

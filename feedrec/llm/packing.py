@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from feedrec.llm.tokenizer import BLANK_DROPPED, encoder, public_path
+from feedrec.llm.tokenizer import BLANK_DROPPED, RUNS, encoder, public_path
 
 VOCAB = "word_bpe_49k.json"
 END_ID = 2
@@ -88,12 +88,13 @@ def padding(n: int, capacity: int) -> int:
 
 
 def pack(docs: DataFrame, vocab_path: str | None = None, capacity: int = 4096, group_tokens: int = 1 << 20,
-         piece: int = 1024, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """One row per piece; ``with_ids`` adds the piece's ids (array of int)."""
+         piece: int = 1024, end_id: int = END_ID, with_ids: bool = False, memo: int = RUNS) -> DataFrame:
+    """One row per piece; ``with_ids`` adds the piece's ids (array of int). A worker
+    keeps at most about ``memo`` tokenised words: fewer take less memory and more time."""
     path = vocab_path or public_path(VOCAB)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(path, BLANK_DROPPED, end_id)
+        enc = encoder(path, BLANK_DROPPED, end_id, memo)
         serial = TaskContext.get().partitionId() << 33
         held: list[tuple] = []  # doc_id, start, ids as bytes, doc_tokens
         held_tokens = 0

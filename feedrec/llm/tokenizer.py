@@ -6,7 +6,7 @@ letters are cut here by the vocabulary's own pattern and given to the library's
 model; a run without white space that holds anything else goes to the library
 whole. Each distinct piece is encoded once per worker, and the ids of each run
 between blanks, its pieces put together, are kept as well; both memos are
-bounded. Strings of special tokens in a text are ordinary text."""
+bounded, and a caller whose workers hold other things can bound them further. Strings of special tokens in a text are ordinary text."""
 
 from __future__ import annotations
 
@@ -39,7 +39,10 @@ def _packed(ids: list[int]) -> bytes:
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit bytes, with ``end_id`` appended."""
+    """Ids as little-endian unsigned 32-bit bytes, with ``end_id`` appended. A memo
+    holds at most about ``most`` entries."""
+
+    most = max(PIECES, RUNS)
 
     def __init__(self, path: str, pieces: re.Pattern, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -66,7 +69,7 @@ class Encoder:
 
     def _learn(self, pieces: list[str]) -> None:
         memo = self.memo
-        if len(memo) > PIECES:
+        if len(memo) > min(PIECES, self.most):
             memo.clear()
         rest = []
         for p in {p for p in pieces if p not in memo}:
@@ -87,9 +90,9 @@ class Encoder:
 
     def _new_runs(self, runs: list[str], lead: str) -> None:
         known, memo = self.runs, self.memo
-        if len(known) > RUNS:
+        if len(known) > min(RUNS, self.most):
             known.clear()
-        if len(memo) > PIECES:
+        if len(memo) > min(PIECES, self.most):
             memo.clear()
         for r in {r for r in runs if r not in known}:
             if r.isascii() and r.isalpha():  # one piece
@@ -124,11 +127,12 @@ _encoders: dict[tuple, Encoder] = {}
 kept.append(_encoders)
 
 
-def encoder(path: str, pieces: re.Pattern, end_id: int) -> Encoder:
-    """One encoder per worker process and vocabulary."""
+def encoder(path: str, pieces: re.Pattern, end_id: int, most: int = Encoder.most) -> Encoder:
+    """One encoder per worker process and vocabulary; the last caller bounds its memos."""
     key = (path, pieces.pattern, end_id)
     if key not in _encoders:
         _encoders[key] = Encoder(path, pieces, end_id)
+    _encoders[key].most = most
     return _encoders[key]
 
 

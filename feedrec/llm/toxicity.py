@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedrec.llm.common import fold, sample_labelled, store
+from feedrec.llm.common import fold, releasing, sample_labelled, store
 
 LETTERS = re.compile(r"[^\W\d_]+")
 STEM = 5
@@ -136,6 +136,7 @@ def _counts(sample: DataFrame):
     reaches the driver is bounded by the sample."""
     spark = sample.sparkSession
 
+    @releasing
     def word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             c = Counter()
@@ -150,6 +151,7 @@ def _counts(sample: DataFrame):
     size = len(names) + 1
     table = spark.sparkContext.broadcast(names)
 
+    @releasing
     def types(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens = Tokens(table.value)
         for pdf in batches:
@@ -201,6 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5,
     models = [Model(*counts, d) for d in p.discounts]
     shipped = spark.sparkContext.broadcast(models)
 
+    @releasing
     def values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens = Tokens(shipped.value[0].names)
         for pdf in batches:
@@ -224,6 +227,7 @@ def score(docs: DataFrame, fitted: tuple[Model, float, float] | None, p: Toxicit
     model = docs.sparkSession.sparkContext.broadcast(fitted)  # bounded by the sample
 
     @F.pandas_udf("double")
+    @releasing
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokens = Tokens(model.value[0].names) if model.value else None
         for texts in batches:

@@ -667,3 +667,61 @@ def test_tasks_find_no_memo_of_other_stages():
         assert seen == [{}]
     finally:
         memo.update(before)
+
+
+def test_packing_keeps_as_many_words_as_it_is_told(spark, docs):
+    """Fewer words kept, the same ids; the bound is the last caller's."""
+    from feedrec.llm import tokenizer
+
+    e = tokenizer.encoder(public_path(packing.VOCAB), BLANK_DROPPED, 2, 50)
+    try:
+        plain = Encoder(public_path(packing.VOCAB), BLANK_DROPPED, 2)
+        rng = random.Random(6)
+        for _ in range(40):
+            text = " ".join("".join(rng.choices("abcdeé1-", k=rng.randint(1, 9))) for _ in range(30))
+            assert e.encode(text) == plain.encode(text)
+            assert len(e.runs) <= 50 + 30 and len(e.memo) <= 50 + 30 * 9
+        assert len(plain.runs) > 500
+        assert tokenizer.encoder(public_path(packing.VOCAB), BLANK_DROPPED, 2) is e and e.most == Encoder.most
+    finally:
+        tokenizer._encoders.clear()
+    some = docs.where("doc_id % 4 = 0").coalesce(1)
+    assert rows_of(packing.pack(some, memo=100)) == rows_of(packing.pack(some))
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_toxicity_and_decontamination_find_no_tokenizers(monkeypatch):
+    """What packing left in the workers goes when the pipeline's stages run in them again."""
+    from types import SimpleNamespace as Name
+
+    from feedrec.llm import tokenizer
+
+    functions = []
+
+    def pandas_udf(kind):
+        def taken(f):
+            functions.append(f)
+            return lambda *columns: None
+        return taken
+
+    class Docs:  # takes the functions that tasks would run
+        sparkSession = Name(sparkContext=Name(broadcast=lambda x: Name(value=x)))
+
+        def withColumn(self, *_):
+            return self
+
+    monkeypatch.setattr(F, "pandas_udf", pandas_udf)
+    toxicity.score(Docs(), None)
+    decontaminate._pass(Docs(), Name(value=decontaminate.Windows([(1, "a b c")], 13)), "found")
+    old = pd.DataFrame({"n_words": [0], "starts": [[]], "ends": [[]], "items": [[]]})
+    before = dict(tokenizer._encoders)
+    try:
+        for f, batch in zip(functions, (pd.Series(["a b c d"]), (pd.Series(["a b c d"]), old)), strict=True):
+            tokenizer._encoders["other"] = object()
+            assert len(list(f(iter([batch])))) == 1
+            assert not tokenizer._encoders
+    finally:
+        tokenizer._encoders.update(before)

@@ -42,9 +42,10 @@ def enrich_theme(df: DataFrame, catalog: DataFrame, theme_col: str = "theme_id")
     """Left look-up of quality, grade and ctime by theme; a theme or a
     cell that is missing takes the per-field default. ``catalog`` must hold
     one row per id (O04 guarantees it). Callers pass aggregated or distinct
-    rows so the join moves one row per key, and AQE broadcasts the catalogue
-    side only when its measured size is under the threshold."""
-    look = catalog.select(F.col("id").alias("_cid"), "quality", "grade", "ctime")
+    rows so the join moves one row per key. It is a merge join whatever the
+    catalogue's size: rows parsed from lines are estimated at some hundredth of
+    what they take, so a planner left to itself sends any catalogue through the driver."""
+    look = catalog.select(F.col("id").alias("_cid"), "quality", "grade", "ctime").hint("merge")
     j = df.join(look, F.col(theme_col) == F.col("_cid"), "left").drop("_cid")
     for c, d in THEME_DEFAULTS.items():
         j = j.withColumn(c, F.coalesce(F.col(c), F.lit(d)))

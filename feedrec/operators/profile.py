@@ -106,10 +106,21 @@ def expand_recall(orig: DataFrame, ls: DataFrame, tg: DataFrame, history: DataFr
     on users need no exchange; only the tag index meets the frontier by tag, as a
     broadcast where it is small. Written tables keep the plan small, and a lost
     executor does not replay earlier hops. Output (user_id, theme_id, hop)."""
+    return listed_themes(expand_lists(orig, ls, tg, history, p))
+
+
+def expand_lists(orig: DataFrame, ls: DataFrame, tg: DataFrame, history: DataFrame, p: Params) -> DataFrame:
+    """``expand_recall`` with the themes of a user's hop as an array, one row:
+    (user_id, themes, hop), bucketed by user."""
     with joins_on_part_of_keys(orig.sparkSession):
         return _expand(orig, ls, tg, history, p)
 
 
+def listed_themes(lists: DataFrame) -> DataFrame:
+    """The rows of ``expand_recall`` from those of ``expand_lists``."""
+    return lists.select("user_id", F.explode("themes").alias("theme_id"), "hop")
+
+
 def _signature(frontier: DataFrame) -> DataFrame:
     return frontier.groupBy("user_id").agg(F.max(r9("weight")).alias("m"), F.sort_array(F.collect_set("tag")).alias("sig"))
 
@@ -141,7 +152,7 @@ def _expand(orig: DataFrame, ls: DataFrame, tg: DataFrame, history: DataFrame, p
             out = parts[0].select(user, "themes", "hop")
             for part in parts[1:]:
                 out = out.unionByName(part)
-            return out.select(user, F.explode("themes").alias("theme_id"), F.col("hop").cast("long").alias("hop"))
+            return out.select(user, "themes", F.col("hop").cast("long").alias("hop"))
         hop += 1
         on = frontier.join(state.select(user), user, "left_semi")
         part = bucketed(_listed(on, lists).join(state.select(user, "known"), user)
@@ -160,11 +171,17 @@ def profile_lists(cand: DataFrame, orig: DataFrame, recall: DataFrame, n: int) -
     A profile has at most ``max_profile_tag`` entries, so it is one row per
     user and each candidate is scored in its own row, in tag order. The orders of
     both lists are each other's reverse: a user's candidates are sorted once.
+    ``cand``: rows (user_id, theme_id), or those of ``expand_lists``, which meet the
+    profile as one row a hop, so that neither candidates nor profiles are sorted for it.
     Output (user_id, list, pos, theme_id)."""
     attrs = recall.select("theme_id", "quality", "ctime", "tokens").dropDuplicates(["theme_id"])
     tags = orig.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("tag", "weight"))).alias("tags"))
     places = tags.agg(F.max(F.size("tags"))).first()[0] or 0
-    c = cand.select("user_id", "theme_id").join(attrs, "theme_id").join(tags, "user_id", "left")
+    if "themes" in cand.columns:
+        c = (cand.select("user_id", "themes").join(tags, "user_id", "left")
+             .select("user_id", "tags", F.explode("themes").alias("theme_id")).join(attrs, "theme_id"))
+    else:
+        c = cand.select("user_id", "theme_id").join(attrs, "theme_id").join(tags, "user_id", "left")
     score = F.lit(0.0)
     if places <= PLACES:  # one term a place is compiled code, a lambda over the profile is not
         for i in range(places):

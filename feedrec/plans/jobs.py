@@ -197,7 +197,7 @@ def profile_job(inp: Inputs, p: Params, stages: set[str]) -> None:
         write(orig, inp.path("indexed_profile"))
         orig = inp.table("indexed_profile")
         hist = inp.history(p)
-        cand = PR.expand_recall(orig, ls, tg, hist, p)
+        cand = PR.expand_lists(orig, ls, tg, hist, p)
         write(PR.profile_lists(cand, orig, ls, p.n_theme_per_user), inp.path("profile_lists"))
         inp.publish("profile_lists", p)
         PR.profile_list_text(inp.table("profile_lists")).write.mode("overwrite").text(inp.path("profile_list_txt"))

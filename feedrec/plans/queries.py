@@ -180,13 +180,18 @@ class Ctx:
             PR.user_profile(self.profile_window, self.features_t, self.p), ls, tg))
 
     @property
-    def expanded(self):
+    def expanded_lists(self):
+        """One row a user and hop."""
         ls, tg = self.index_t
-        return self._m("expanded", lambda: PR.expand_recall(self.orig_t, ls, tg, self.history_t, self.p))
+        return self._m("expanded_lists", lambda: PR.expand_lists(self.orig_t, ls, tg, self.history_t, self.p))
+
+    @property
+    def expanded(self):
+        return PR.listed_themes(self.expanded_lists)
 
     @property
     def lists(self):
-        return self._m("lists", lambda: PR.profile_lists(self.expanded, self.orig_t, self.recall_t,
+        return self._m("lists", lambda: PR.profile_lists(self.expanded_lists, self.orig_t, self.recall_t,
                                                         self.p.n_theme_per_user))
 
     # E3

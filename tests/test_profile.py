@@ -149,3 +149,20 @@ def test_a_hop_holds_one_row_a_user(spark, monkeypatch):
     assert sorted((r.user_id, r.hop, r.n) for r in out.groupBy("user_id", "hop").agg(F.count("*").alias("n")).collect()) == [
         ("u", 0, 20), ("u", 1, 19), ("u", 2, 20), ("v", 0, 20), ("v", 1, 19)]
     assert max(t.count() for t in tables) <= 2
+
+
+def test_lists_of_a_hop_as_one_row(spark):
+    """Candidates as one row a user and hop: the same lists, and the profile
+    joins the rows, not every candidate."""
+    orig = spark.createDataFrame([("u", "a", 0.5), ("u", "b", 0.25), ("v", "a", 1.0)], "user_id string, tag string, weight double")
+    recall = spark.createDataFrame([(t, i, f"t{i}", "4", str(i % 2), f"15000{i % 3}", list(f"{'ab'[i % 2]}xc")) for i in range(30) for t in "xc"],
+                                   "tag string, rank long, theme_id string, grade string, quality string, ctime string, tokens array<string>")
+    hops = [("u", [f"t{i}" for i in range(10)], 0), ("u", [f"t{i}" for i in range(10, 25)], 1), ("v", ["t3", "t8", "none"], 0),
+            ("w", ["t1"], 0), ("w", [], 1), (None, ["t5"], 0)]
+    wide = spark.createDataFrame(hops, "user_id string, themes array<string>, hop long")
+    flat = PR.listed_themes(wide)
+    got = PR.profile_lists(wide, orig, recall, 6)
+    want = sorted(map(str, PR.profile_lists(flat, orig, recall, 6).collect()))
+    assert sorted(map(str, got.collect())) == want and len(want) == 12 + 4 + 2 + 2
+    p = got._jdf.queryExecution().optimizedPlan().toString()
+    assert p.index("Generate explode(themes") < p.index("Join LeftOuter")  # the join lies below

@@ -439,7 +439,7 @@ def q_sorted_export(spark, d):
     c = Ctx(spark, d)
     cells = cut_lineage(S.serving_cells(c.merged))
     starts, files = S.split_points(cells, EXPORT_ROWS)
-    return S.placed_rows(S.export_sorted(cells, starts, files))
+    return S.placed_rows(S.export_sorted(cells, starts, files, files_per_task=S.files_per_task(EXPORT_ROWS)))
 
 
 # ---------------------------------------------------------------- ALS

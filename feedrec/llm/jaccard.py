@@ -56,6 +56,7 @@ from pyspark.sql import functions as F
 from feedrec.llm.blocks import ODD, U, bucket_cuts, hashes, key_packed, key_unpacked, mix, packed, unpacked, word_hashes
 from feedrec.llm.common import free_name, release, releasing, store, words
 from feedrec.llm.graph import components
+from feedrec.session import joins_broadcast_up_to
 
 HOT = 24
 SMALL_BAND = 48  # bands that begin below this also write one-deletion neighbours
@@ -63,6 +64,7 @@ CHUNK_KEYS = 800_000  # keys held by a task before they are written out
 PIECES, PIECE_KEYS = 16, 250_000  # of a bucket; keys of a piece, read at once
 CELL_ELEMENTS, CELL_NODES = 1_000_000, 1500  # of a block of a cell
 BROADCAST_IDS = 100_000  # rows of two or three ids: the most that is broadcast, a few MB of the driver whatever the input
+BROADCAST_BYTES = 1 << 20  # of a stored table that the planner broadcasts uncounted: some 170,000 ids
 STRIP, COLUMNS = 256, 1024  # rows of a cell's comparison and elements of its product held at once
 SLICE = 250_000  # elements of a cell's sets that are sorted at once
 
@@ -314,7 +316,7 @@ def _fits(r: Column | str, s: Column | str, percent: int) -> Column:
 def _small(ids: DataFrame) -> DataFrame:
     """Broadcast a stored list of ids or pairs behind its count; beyond the
     bound the join shuffles."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("merge")
 
 
 def _contents(docs: DataFrame, nodes: DataFrame, rows: DataFrame, n: int, repeats: bool) -> DataFrame:
@@ -517,6 +519,11 @@ def _exceptions(rows: DataFrame, percent: int) -> DataFrame:
 
 def node_links(docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
     """Verified links (a, b) between nodes that join all similar sets."""
+    with joins_broadcast_up_to(docs.sparkSession, BROADCAST_BYTES):
+        return _node_links(docs, rows, n, percent)
+
+
+def _node_links(docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = bucket_count(total)
     groups = store(_groups(_blocks(docs, n, percent, buckets), buckets, percent), "jaccard-groups")
@@ -546,6 +553,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     rows = store(sets(docs, n, percent), "jaccard-rows")
     links = node_links(docs, rows, n, percent)
+    with joins_broadcast_up_to(docs.sparkSession, BROADCAST_BYTES):
+        of_node = store(_components_of(rows, links), "jaccard-classes")
+    out = rows.join(_small(of_node), "node", "left")
+    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"))
+
+
+def _components_of(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component_id) of every node, the least document of its class."""
     named = rows.where("doc_id is not null")
     filled = named.where("n_shingles > 0")
     if docs_repeat(named):  # one id with several texts joins their nodes
@@ -558,10 +574,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     classes = of_node.join(labels, "node", "left").withColumn("class", F.coalesce("component", "node"))
     least = classes.groupBy("class").agg(F.min("least").alias("component_id"))
     # nodes alone in their class need no second look-up: their least document is the class's
-    of_node = classes.join(least, "class").select("node", "component_id")
-    out = rows.join(of_node, "node", "left")
-    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"))
+    return classes.join(least, "class").select("node", "component_id")
 
 
 def docs_repeat(named: DataFrame) -> bool:
@@ -577,7 +590,7 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         return _keep_one_text(docs, n, percent)
     found = near_duplicates(docs, n, percent)
     gone = found.where("doc_id is not null and component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    return docs.join(_small(store(gone, "jaccard-gone")), "doc_id", "left_anti")
 
 
 def _keep_one_text(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -587,12 +600,15 @@ def _keep_one_text(docs: DataFrame, n: int, percent: int) -> DataFrame:
         return pd.Series([digest(shingles(t, n)) for t in texts], dtype="int64")
 
     rows = store(sets(docs, n, percent), "jaccard-rows")
-    labels = components(node_links(docs, rows, n, percent))
-    filled = rows.where("doc_id is not null and n_shingles > 0").select("doc_id", "node").distinct()
-    classes = filled.join(labels, "node", "left").withColumn("class", F.coalesce("component", "node"))
-    first = classes.groupBy("class").agg(F.min(F.struct("doc_id", "node")).alias("first"))
-    gone = classes.join(first, "class").where("doc_id <> first.doc_id or node <> first.node")
+    links = node_links(docs, rows, n, percent)
+    with joins_broadcast_up_to(docs.sparkSession, BROADCAST_BYTES):
+        labels = components(links)
+        filled = rows.where("doc_id is not null and n_shingles > 0").select("doc_id", "node").distinct()
+        classes = filled.join(labels, "node", "left").withColumn("class", F.coalesce("component", "node"))
+        first = classes.groupBy("class").agg(F.min(F.struct("doc_id", "node")).alias("first"))
+        gone = classes.join(first, "class").where("doc_id <> first.doc_id or node <> first.node").select("doc_id", "node")
+        gone = store(gone, "jaccard-gone")
     name = free_name(docs, "_node")
-    kept = docs.withColumn(name, node("text")).join(gone.select("doc_id", F.col("node").alias(name)), ["doc_id", name], "left_anti")
+    kept = docs.withColumn(name, node("text")).join(_small(gone.withColumnRenamed("node", name)), ["doc_id", name], "left_anti")
     kept = kept.where("doc_id is not null").dropDuplicates(["doc_id", name]).unionByName(kept.where("doc_id is null"))
     return kept.select(docs.columns)

@@ -105,3 +105,11 @@ def joins_on_part_of_keys(spark: SparkSession):
     """Let rows that lie together by one join key be joined on more keys as
     they lie."""
     return setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
+def joins_broadcast_up_to(spark: SparkSession, most: int):
+    """Let the planner broadcast what it takes for ``most`` bytes at most, or less where
+    the session says so. It goes by the size of files, of which a table of packed ids takes
+    ten times as much in the driver."""
+    now = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return setting(spark, "spark.sql.autoBroadcastJoinThreshold", str(min(now, most)))
